@@ -9,15 +9,18 @@ from pyspark.sql import functions as F
 from tidemark.functions.text import tokens
 
 
+def _array_facet(name: str) -> Column:
+    return F.transform(
+        F.array_distinct(name), lambda v: F.struct(F.lit(name).alias("facet"), v.cast("string").alias("value"))
+    )
+
+
 def facet_counts(documents: DataFrame, facets: list[str], arrays: list[str] = ()) -> DataFrame:
     """Documents per facet value. Distinct facet combinations are counted first, in
     one pass, and only their counts are unpivoted."""
     combos = documents.groupBy(*facets, *arrays).agg(F.count("*").alias("n"))
     pairs = [F.array(F.struct(F.lit(f).alias("facet"), F.col(f).cast("string").alias("value"))) for f in facets]
-    pairs += [
-        F.transform(F.array_distinct(a), lambda v, name=a: F.struct(F.lit(name).alias("facet"), v.cast("string").alias("value")))
-        for a in arrays
-    ]
+    pairs += [_array_facet(a) for a in arrays]
     long = combos.select(F.explode(F.concat(*pairs)).alias("p"), "n").select("p.*", "n")
     return long.groupBy("facet", "value").agg(F.sum("n").cast("bigint").alias("docs"))
 

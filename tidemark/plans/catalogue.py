@@ -1,4 +1,15 @@
 """All registered queries."""
 
-from tidemark.plans import access, documents, identity, sources, sync  # noqa: F401
+from tidemark.plans import (  # noqa: F401
+    access,
+    catalog,
+    documents,
+    identity,
+    metrics,
+    retrieval,
+    sinks,
+    sources,
+    streams,
+    sync,
+)
 from tidemark.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -17,7 +17,7 @@ SUFFIXES = [".pdf", ".TXT", ".md", ".Html", ".htm", ".docx", ".PPTX", ".xlsx", "
 FISCAL_START_MONTH = 4
 ANCHOR = "2001-08-02"
 MIRROR_CUT = "2024-01-25 00:00:00"
-ASKER = "customer#000000001"
+ASKER = "customer#000000022"
 NO_NAMES = "array<string>"
 
 CTE: dict[str, str] = {}

@@ -47,7 +47,7 @@ def dense_index(rows: DataFrame, key: str, weight: Column | None = None) -> Data
 
 def numbered_batches(rows: DataFrame, key: str, size: int) -> DataFrame:
     """Adds ``batch``: consecutive groups of ``size`` rows."""
-    return dense_index(rows, key).withColumn("batch", F.floor(F.col("idx") / size).cast("bigint"))
+    return dense_index(rows, key).withColumn("batch", F.floor(F.col("idx") / size).cast("bigint")).drop("idx")
 
 
 def size_bounded_batches(
