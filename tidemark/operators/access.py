@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import access as A
+from tidemark.session import cut_lineage
 
 
 def access_classes(documents: DataFrame, checksum: Column | None = None) -> DataFrame:
@@ -129,7 +130,8 @@ def hidden_documents(documents: DataFrame, visible: DataFrame, id_column: str =
 
 
 def visible_counts(documents: DataFrame, user_principals: DataFrame, checksum: Column) -> DataFrame:
-    """Documents each user may read, for all users at once, as a count and a checksum.
+    """Documents each user may read, for all users at once, as a count and a checksum
+    (an action: classes and profiles are written once and used several times).
 
     Users holding the same group principals share a *profile*; profiles are matched
     with access classes, then personal principals add the classes the profile did
@@ -137,49 +139,56 @@ def visible_counts(documents: DataFrame, user_principals: DataFrame, checksum: C
     times classes, never with users times documents.
     """
     classes = access_classes(documents, checksum).withColumn("cls", F.sha2(F.concat_ws("\x01", "readers"), 256))
+    classes = cut_lineage(classes)
     sizes = classes.select("cls", "docs", "checksum")
     exploded = classes.select("cls", F.explode("readers").alias("principal"))
-    public = classes.where(F.array_contains("readers", "idp_wide"))
-    public_docs = public.select(F.coalesce(F.sum("docs"), F.lit(0))).scalar()
-    public_checksum = public.select(F.coalesce(F.sum("checksum"), F.lit(0))).scalar()
-    lists = user_principals.groupBy("user").agg(
-        F.array_sort(F.collect_set(F.when(F.col("shared"), F.col("principal")))).alias("shared_principals")
+    public = classes.where(F.array_contains("readers", "idp_wide")).select(
+        F.struct(F.coalesce(F.sum("docs"), F.lit(0)).alias("docs"), F.coalesce(F.sum("checksum"), F.lit(0)).alias("checksum"))
     )
-    users = lists.withColumn("profile", F.sha2(F.concat_ws("\x01", "shared_principals"), 256))
-    profiles = users.select("profile", "shared_principals").dropDuplicates(["profile"])
-    profile_cls = (
-        profiles.select("profile", F.explode("shared_principals").alias("principal"))
+    everyone = public.scalar()
+
+    def held_when(shared: Column) -> Column:
+        return F.array_sort(F.collect_set(F.when(shared, F.col("principal"))))
+
+    # Principals no document names would only make profiles differ; their users stay.
+    used = exploded.select("principal", F.lit(True).alias("used")).distinct()
+    relevant = user_principals.join(used, "principal", "left").withColumn("principal", F.when(F.col("used"), F.col("principal")))
+    users = relevant.groupBy("user").agg(
+        held_when(F.col("shared")).alias("of_groups"), held_when(~F.col("shared")).alias("of_user")
+    )
+    users = cut_lineage(users.withColumn("profile", F.sha2(F.concat_ws("\x01", "of_groups"), 256)))
+    profiles = users.select("profile", "of_groups").dropDuplicates(["profile"])
+    opened = cut_lineage(
+        profiles.select("profile", F.explode("of_groups").alias("principal"))
         .join(exploded, "principal")
         .select("profile", "cls")
         .distinct()
     )
-    per_profile = (
-        profile_cls.join(sizes, "cls")
-        .groupBy("profile")
-        .agg(F.sum("docs").alias("docs"), F.sum("checksum").alias("checksum"))
-    )
-    personal = (
-        user_principals.where(~F.col("shared"))
+    totals = [F.sum("docs").alias("docs"), F.sum("checksum").alias("checksum")]
+    per_profile = opened.join(sizes, "cls").groupBy("profile").agg(*totals)
+    own = (
+        users.select("user", "profile", F.explode("of_user").alias("principal"))
         .join(exploded, "principal")
-        .select("user", "cls")
+        .select("user", "profile", "cls")
         .distinct()
-        .join(users.select("user", "profile"), "user")
-        .join(profile_cls, ["profile", "cls"], "left_anti")
+        .join(opened, ["profile", "cls"], "left_anti")
         .join(sizes, "cls")
         .groupBy("user")
         .agg(F.sum("docs").alias("own_docs"), F.sum("checksum").alias("own_checksum"))
     )
     zero = F.lit(0)
+
+    def total(shared: str, personal: str, public: str) -> Column:
+        return (F.coalesce(shared, zero) + F.coalesce(personal, zero) + everyone[public]).cast("bigint")
+
     return (
         users.select("user", "profile")
         .join(per_profile, "profile", "left")
-        .join(personal, "user", "left")
+        .join(own, "user", "left")
         .select(
             "user",
-            (F.coalesce("docs", zero) + F.coalesce("own_docs", zero) + public_docs).cast("bigint").alias("visible"),
-            (F.coalesce("checksum", zero) + F.coalesce("own_checksum", zero) + public_checksum)
-            .cast("bigint")
-            .alias("checksum"),
+            total("docs", "own_docs", "docs").alias("visible"),
+            total("checksum", "own_checksum", "checksum").alias("checksum"),
         )
     )
 

@@ -139,15 +139,14 @@ def stale_grants(stored: DataFrame, current: DataFrame) -> DataFrame:
 
 
 def group_closure(nested: DataFrame, max_depth: int = 32) -> DataFrame:
-    """(root, descendant) for groups nested in groups, including each group itself (an action per level).
+    """(root, descendant) for groups nested in groups at any depth (an action per level).
 
     ``nested`` is (parent, child). Visited pairs are dropped each round, which ends
     cycles; the bound only guards against endless data, and reaching it is an error.
     Lineage is cut in the shared folder each round.
     """
     nested = nested.distinct()
-    names = nested.select(F.col("parent").alias("root")).unionByName(nested.select(F.col("child").alias("root"))).distinct()
-    reached = cut_lineage(names.select("root", F.col("root").alias("descendant")))
+    reached = cut_lineage(nested.select(F.col("parent").alias("root"), F.col("child").alias("descendant")))
     frontier = reached
     for _ in range(max_depth):
         step = (
@@ -165,6 +164,6 @@ def group_closure(nested: DataFrame, max_depth: int = 32) -> DataFrame:
 
 def flatten_groups(nested: DataFrame, members: DataFrame) -> DataFrame:
     """(group_name, user_name) with members of nested groups counted in their ancestors."""
-    closure = group_closure(nested)
-    joined = members.withColumnRenamed("group_name", "descendant").join(closure, "descendant")
-    return joined.select(F.col("root").alias("group_name"), "user_name").distinct()
+    direct = members.select("group_name", "user_name")
+    inherited = direct.join(group_closure(nested), F.col("group_name") == F.col("descendant"))
+    return direct.unionByName(inherited.select(F.col("root").alias("group_name"), "user_name")).distinct()

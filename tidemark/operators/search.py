@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import tokens
+from tidemark.session import cut_lineage
 
 
 def _array_facet(name: str) -> Column:
@@ -43,25 +44,30 @@ def attach_embeddings(documents: DataFrame, vectors: DataFrame, dimension: int)
 
 
 def keyword_matches(documents: DataFrame, queries: DataFrame) -> DataFrame:
-    """(query_id, doc_id, score) for documents that hold every word of a query.
+    """(query_id, doc_id, score) for documents that hold every word of a query (an action).
 
     Candidates come from each query's rarest word alone, so common words never pair
     documents with queries; a candidate is then checked against all words. ``score``
     is the number of query word occurrences in the document.
+
+    Rarest words and candidates are written as small tables. Their real size then
+    decides the joins: broadcast next to a document scan that is not shuffled, or a
+    shuffle join when a batch of queries is too big for that.
     """
     wanted = queries.select("query_id", F.array_distinct(tokens(F.col("text"))).alias("words")).where("size(words) > 0")
-    query_words = wanted.select("query_id", "words", F.explode("words").alias("word"))
+    query_words = wanted.select("query_id", F.explode("words").alias("word"))
     doc_words = documents.select("doc_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("word"))
-    relevant = doc_words.join(query_words.select("word").distinct(), "word", "left_semi")
-    frequency = relevant.groupBy("word").agg(F.count("*").alias("df"))
-    counted = query_words.join(frequency, "word", "left")
+    vocabulary = cut_lineage(query_words.select("word").distinct())
+    frequency = doc_words.join(vocabulary, "word", "left_semi").groupBy("word").agg(F.count("*").alias("df"))
     # A word no document holds has no frequency; NULL sorts first, and the query finds nothing.
-    rarest = counted.groupBy("query_id").agg(F.min_by("word", F.struct("df", "word")).alias("word"))
-    candidates = doc_words.join(rarest, "word").select("query_id", "doc_id")
+    counted = query_words.join(frequency, "word", "left")
+    rarest = cut_lineage(counted.groupBy("query_id").agg(F.min_by("word", F.struct("df", "word")).alias("word")))
+    candidates = cut_lineage(doc_words.join(rarest, "word").select("query_id", "doc_id"))
     checked = (
-        candidates.join(wanted, "query_id")
-        .join(documents.select("doc_id", "text"), "doc_id")
+        documents.select("doc_id", "text")
+        .join(candidates, "doc_id")
         .withColumn("found", tokens(F.col("text")))
+        .join(wanted, "query_id")
         .where(F.size(F.array_except("words", "found")) == 0)
     )
     hits = F.size(F.filter("found", lambda w: F.array_contains("words", w)))

@@ -47,8 +47,11 @@ def run_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def cut_lineage(df):
-    """``checkpoint()`` in the shared folder; the result outlives lost executors."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
+    """Write ``df`` as a table in the shared folder and read it back (an action).
+
+    Lost executors cost nothing before this point, nothing above it runs twice, and
+    the file size is known, so Spark broadcasts the result only when it really is small.
+    """
+    folder = run_folder(df.sparkSession, "step")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
