@@ -16,6 +16,10 @@ def one(spark, value, expression, schema="v string"):
     return spark.createDataFrame([(value,)], schema).select(expression(F.col("v"))).first()[0]
 
 
+def html_text(spark, value, **flags):
+    return X.with_html_text(spark.createDataFrame([(value,)], "v string"), "v", "t", **flags).first()["t"]
+
+
 def cleaned(source):
     return re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]+>", " ", source))).strip()
 
@@ -33,24 +37,24 @@ def cleaned(source):
     ],
 )
 def test_html_to_text(spark, source):
-    assert one(spark, source, X.html_to_text) == cleaned(source)
+    assert html_text(spark, source) == cleaned(source)
 
 
 def test_html_to_text_of_null_is_empty(spark):
-    assert one(spark, None, X.html_to_text) == ""
+    assert html_text(spark, None) == ""
 
 
 @settings(max_examples=15, deadline=None)
 @given(st.lists(st.text(alphabet="ab <>&;#amplt3 \n", max_size=12), min_size=20, max_size=20))
 def test_html_to_text_any(spark, sources):
     rows = spark.createDataFrame([(i, s) for i, s in enumerate(sources)], "i int, v string")
-    got = {r["i"]: r["t"] for r in rows.select("i", X.html_to_text(F.col("v")).alias("t")).collect()}
+    got = {r["i"]: r["t"] for r in X.with_html_text(rows, "v", "t").collect()}
     assert got == {i: cleaned(s) for i, s in enumerate(sources)}
 
 
 def test_raw_variants_keep_spaces_or_entities(spark):
-    assert one(spark, "<p>a  &amp; b</p>", lambda c: X.html_to_text(c, collapse=False)) == "a  & b"
-    assert one(spark, "<p>a &amp; b</p>", lambda c: X.html_to_text(c, unescape=False, collapse=False)) == "a &amp; b"
+    assert html_text(spark, "<p>a  &amp; b</p>", space="strip") == "a  & b"
+    assert html_text(spark, "<p>a &amp; b</p>", unescape=False, space="strip") == "a &amp; b"
 
 
 @pytest.mark.parametrize("value", [0.1, 1.0, 12345678.9, 1e7, 1e15, 1e16, 1.5e-4, 1e-5, 2.5e300, -1e7, float("inf"), 1e22])

@@ -5,7 +5,7 @@ from __future__ import annotations
 import html
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +13,7 @@ from tidemark.constants import ID_MAX_CHARS
 
 # Java's \s under (?U) lacks the four separators that the source systems' regex counts as space.
 SPACE = r"(?U)[\s\x1c-\x1f]+"
+NOT_SPACE = r"(?U)[^\s\x1c-\x1f]"
 TAG = r"<[^>]+>"
 
 COMMON_ENTITIES = {
@@ -31,16 +32,15 @@ def _unescape_all(text: pd.Series) -> pd.Series:
     return text.map(html.unescape, na_action="ignore")
 
 
-def unescape_entities(text: Column) -> Column:
-    """All HTML entities. Rows whose entities are all common ones stay in the JVM;
-    the Arrow function receives NULL for them."""
-    known = "&(?:amp|" + "|".join(e[1:-1] for e in COMMON_ENTITIES) + ");"
-    rest = F.regexp_replace(text, known, "").contains("&")
-    simple = text
+RARE_ENTITY = "&(?!(?:amp|" + "|".join(e[1:-1] for e in COMMON_ENTITIES) + ");)"
+
+
+def _unescape_common(text: Column) -> Column:
+    """Entities of the short table; ``&amp;`` last, so nothing is decoded twice."""
+    decoded = text
     for entity, char in COMMON_ENTITIES.items():
-        simple = F.replace(simple, F.lit(entity), F.lit(char))
-    simple = F.replace(simple, F.lit("&amp;"), F.lit("&"))
-    return F.when(rest, _unescape_all(F.when(rest, text))).otherwise(simple)
+        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
+    return F.when(text.contains("&"), F.replace(decoded, F.lit("&amp;"), F.lit("&"))).otherwise(text)
 
 
 def strip(text: Column) -> Column:
@@ -52,14 +52,27 @@ def strip_tags(html_text: Column) -> Column:
     return F.regexp_replace(F.coalesce(html_text, F.lit("")), TAG, " ")
 
 
-def html_to_text(html_text: Column, unescape: bool = True, collapse: bool = True) -> Column:
-    """Tags become spaces, entities are decoded, white space is collapsed."""
-    text = strip_tags(html_text)
+def with_html_text(
+    df: DataFrame, source: str, target: str, unescape: bool = True, space: str = "collapse"
+) -> DataFrame:
+    """Adds ``target``: tags become spaces, entities are decoded, and white space is
+    collapsed (and trimmed), only trimmed (``strip``) or left alone (``keep``).
+
+    Each step is a column of its own, so Spark computes it once per row. Only rows
+    with an entity outside the short table go through Python; it gets NULL for the rest.
+    """
+    plain, rare, full = f"_{target}_plain", f"_{target}_rare", f"_{target}_full"
+    df = df.withColumn(plain, strip_tags(F.col(source)))
+    text = F.col(plain)
     if unescape:
-        text = unescape_entities(text)
-    if not collapse:
-        return strip(text)
-    return F.trim(F.regexp_replace(text, SPACE, " "))
+        df = df.withColumn(rare, text.rlike(RARE_ENTITY))
+        df = df.withColumn(full, _unescape_all(F.when(F.col(rare), text)))
+        text = F.when(F.col(rare), F.col(full)).otherwise(_unescape_common(text))
+    if space == "collapse":
+        text = F.trim(F.regexp_replace(text, SPACE, " "))
+    elif space == "strip":
+        text = strip(text)
+    return df.withColumn(target, text).drop(plain, rare, full)
 
 
 def as_text(column: str, dtype: T.DataType) -> Column:

@@ -102,10 +102,10 @@ def article_to_document(articles: DataFrame, scheme: str = K.ARTICLE_ID_SCHEME)
         F.coalesce("tags", F.array().cast("array<string>")).alias("tags"),
         X.iso_utc(F.col("updated_at")).alias("updated_at"),
     )
-    return articles.select(
+    return X.with_html_text(articles, "body_html", "body").select(
         F.concat(F.lit(scheme + ":"), F.col("id").cast("string")).alias("id"),
         F.coalesce("title", blank).alias("title"),
-        X.html_to_text(F.col("body_html")).alias("body"),
+        "body",
         F.lit("text/plain").alias("mime_type"),
         F.to_json(metadata).alias("metadata"),
         F.col("updated_at"),
@@ -117,9 +117,10 @@ def route_by_status(articles: DataFrame) -> DataFrame:
     """Adds ``action``: delete, skip or upsert. No status means published; a body
     that is blank after cleaning is skipped."""
     status = F.coalesce("status", F.lit("published"))
-    blank = X.html_to_text(F.col("body_html"), collapse=False) == ""
-    action = F.when(status == "deleted", "delete").when((status != "published") | blank, "skip").otherwise("upsert")
-    return articles.withColumn("action", action)
+    cleaned = X.with_html_text(articles, "body_html", "cleaned", space="keep")
+    skip = (status != "published") | ~F.col("cleaned").rlike(X.NOT_SPACE)
+    action = F.when(status == "deleted", "delete").when(skip, "skip").otherwise("upsert")
+    return cleaned.withColumn("action", action).drop("cleaned")
 
 
 def published_html_document(articles: DataFrame) -> DataFrame:
@@ -156,9 +157,10 @@ def kb_to_document(
         F.coalesce("sys_updated_on", blank).alias("updated_at"),
         link.alias("source_url"),
     )
-    return articles.select(
+    cleaned = X.with_html_text(articles, "text", "body", unescape=False, space="strip")
+    return cleaned.select(
         F.concat(F.lit(scheme + ":"), F.col("sys_id").cast("string")).alias("id"),
-        X.html_to_text(F.col("text"), unescape=False, collapse=False).alias("body"),
+        "body",
         views.alias("view_count"),
         link.alias("source_url"),
         F.to_json(metadata).alias("metadata"),

@@ -158,7 +158,7 @@ def group_closure(nested: DataFrame, max_depth: int = 32) -> DataFrame:
         frontier = cut_lineage(step)
         if frontier.isEmpty():
             return reached
-        reached = cut_lineage(reached.unionByName(frontier))
+        reached = reached.unionByName(frontier)
     raise ValueError(f"groups are nested deeper than {max_depth} levels")
 
 

@@ -9,6 +9,7 @@ that were asked for are joined.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -27,13 +28,17 @@ METRICS = ("net_revenue", "total_orders", "units_sold", "avg_order_value")
 class Star:
     """lines(order_id, product_id, gross_amount, discount_amount, quantity),
     orders(order_id, customer_id, order_date), customers(customer_id, segment, region),
-    products(product_id, category, sku), dates(date_key, fiscal_quarter, fiscal_year, calendar_month)."""
+    products(product_id, category, sku), dates(date_key, fiscal_quarter, fiscal_year, calendar_month).
+
+    Amounts are decimals, or integers counting ``10 ** -minor_digits`` of the currency.
+    Integers are added without boxing, and an overflow is an error, never a wrong sum."""
 
     lines: DataFrame
     orders: DataFrame
     customers: DataFrame
     products: DataFrame
     dates: DataFrame
+    minor_digits: int = 0
 
 
 def fact_columns(lines: DataFrame) -> DataFrame:
@@ -101,13 +106,21 @@ def per_order(star: Star, dimensions: list[str]) -> DataFrame:
     return facts
 
 
-def _measures(names: list[str], orders: Column) -> list[Column]:
-    money = F.sum("gross").cast("double")
+def _money(total: str, minor_digits: int) -> Column:
+    """A sum of per-order amounts as a double, rounded once. Integer amounts are
+    added as wide decimals here, so a grand total cannot overflow."""
+    if not minor_digits:
+        return F.sum(total).cast("double")
+    unit = F.lit(Decimal(1).scaleb(-minor_digits))
+    return (F.sum(F.col(total).cast("decimal(28,0)")).cast("decimal(38,0)") * unit).cast("double")
+
+
+def _measures(names: list[str], orders: Column, minor_digits: int) -> list[Column]:
     known = {
-        "net_revenue": F.sum("net").cast("double"),
+        "net_revenue": _money("net", minor_digits),
         "total_orders": orders.cast("bigint"),
         "units_sold": F.sum("units").cast("bigint"),
-        "avg_order_value": F.try_divide(money, orders.cast("double")),
+        "avg_order_value": F.try_divide(_money("gross", minor_digits), orders.cast("double")),
     }
     return [known[n].alias(n) for n in names]
 
@@ -117,7 +130,7 @@ def metrics_by_dimension(star: Star, metrics: list[str], dimensions: list[str])
     metrics, dimensions = [resolve_term(m) for m in metrics], [resolve_term(d) for d in dimensions]
     facts = per_order(star, dimensions)
     orders = F.count("*")  # one row per order and product attributes, all of which are grouped on
-    return facts.groupBy(*dimensions).agg(*_measures(metrics, orders))
+    return facts.groupBy(*dimensions).agg(*_measures(metrics, orders, star.minor_digits))
 
 
 def year_over_year(yearly: DataFrame, year: str, value: str, by: list[str]) -> DataFrame:
@@ -133,17 +146,21 @@ def metric_rollup(star: Star, metrics: list[str], dimensions: list[str]) -> Data
     """Subtotals from the most detailed level up to the grand total.
 
     Customer and date dimensions only: there one row is one order at every level.
-    The detailed level is aggregated once and its few rows are rolled up.
+    The detailed level is aggregated first and its few rows are rolled up.
     """
     metrics, dimensions = [resolve_term(m) for m in metrics], [resolve_term(d) for d in dimensions]
     if set(dimensions) & set(PRODUCT_DIMENSIONS):
         raise ValueError("an order can span products; roll up customer and date dimensions")
+    wide = "decimal(28,0)" if star.minor_digits else "decimal(38,6)"
     detail = (
         per_order(star, dimensions)
         .groupBy(*dimensions)
-        .agg(F.sum("net").alias("net"), F.sum("gross").alias("gross"), F.sum("units").alias("units"), F.count("*").alias("orders"))
+        .agg(
+            F.sum(F.col("net").cast(wide)).alias("net"),
+            F.sum(F.col("gross").cast(wide)).alias("gross"),
+            F.sum("units").alias("units"),
+            F.count("*").alias("orders"),
+        )
     )
     level = F.grouping_id().cast("bigint").alias("level")
-    return detail.rollup(*dimensions).agg(level, *_measures(metrics, F.sum("orders")))
-
-
+    return detail.rollup(*dimensions).agg(level, *_measures(metrics, F.sum("orders"), star.minor_digits))

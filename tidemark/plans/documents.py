@@ -191,7 +191,7 @@ def duplicate_ids(spark, sf):
 
 @query("html_to_text", X.sql_with("articles", f"SELECT id, {_CLEAN} AS text FROM articles"))
 def html_to_text(spark, sf):
-    return X.articles(spark, sf).select("id", T.html_to_text(F.col("body_html")).alias("text"))
+    return T.with_html_text(X.articles(spark, sf), "body_html", "text").select("id", "text")
 
 
 @query(
@@ -204,12 +204,9 @@ FROM (SELECT id, regexp_replace(body_html, '<[^>]+>', ' ', 'g') AS t FROM articl
     ),
 )
 def html_to_text_raw(spark, sf):
-    body = F.col("body_html")
-    return X.articles(spark, sf).select(
-        "id",
-        T.html_to_text(body, unescape=False, collapse=False).alias("no_unescape"),
-        T.html_to_text(body, collapse=False).alias("no_collapse"),
-    )
+    articles = X.articles(spark, sf).select("id", "body_html")
+    escaped = T.with_html_text(articles, "body_html", "no_unescape", unescape=False, space="strip")
+    return T.with_html_text(escaped, "body_html", "no_collapse", space="strip").drop("body_html")
 
 
 ROUTED = """SELECT id, CASE WHEN coalesce(status, 'published') = 'deleted' THEN 'delete'
@@ -253,7 +250,7 @@ def decode_attachment_query(spark, sf):
     """Half the bodies arrive gzipped; decoding gives every text back."""
     raw = F.encode("text", "UTF-8")
     sent = F.base64(F.when(F.col("doc_id") % 2 == 0, _zip(raw)).otherwise(raw))
-    attachments = X.table(spark, sf, "documents").select("doc_id", sent.alias("content"))
+    attachments = X.text_table(spark, sf, "documents").select("doc_id", sent.alias("content"))
     return attachments.select("doc_id", F.decode(decode_attachment(F.col("content")), "UTF-8").alias("text"))
 
 

@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.operators import identity as I
 from tidemark.operators.metrics import Star, calendar
+from tidemark.session import spread
 from tidemark.sources.tables import union_sources
 
 SUFFIXES = [".pdf", ".TXT", ".md", ".Html", ".htm", ".docx", ".PPTX", ".xlsx", ".json", ".csv", ".bin", ""]
@@ -45,8 +47,24 @@ def _cte(name: str, sql: str, needs: str = "") -> None:
     _NEEDS[name] = needs.split()
 
 
+# Tables whose rows carry text, with the key to spread them by.
+TEXT_TABLES = {"documents": "doc_id", "pages": "page_id"}
+
+
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A given table. Its schema is read from a footer once per process, not once per use."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+
+def text_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A text table for per-row work that is heavier than its scan."""
+    return spread(table(spark, sf, name), TEXT_TABLES[name])
 
 
 def _hours_after(day: str, column: str):
@@ -90,7 +108,7 @@ FROM documents""",
 def kb(spark, sf) -> DataFrame:
     lang = F.col("lang")
     views = F.when(lang == "de", None).when(lang == "fr", "n/a").otherwise(F.col("n_chars").cast("string"))
-    return table(spark, sf, "documents").select(
+    return text_table(spark, sf, "documents").select(
         F.col("doc_id").alias("sys_id"),
         F.concat(F.lit("KB"), "doc_id").alias("number"),
         F.concat("source", F.lit(" "), "doc_id").alias("short_description"),
@@ -172,7 +190,7 @@ def articles(spark, sf) -> DataFrame:
         .otherwise("published")
     )
     return (
-        table(spark, sf, "pages")
+        text_table(spark, sf, "pages")
         .select(
             F.col("page_id").alias("id"),
             F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"),
@@ -572,12 +590,14 @@ JOIN products USING (product_id) JOIN dates ON order_date = date_key""",
 
 
 def star(spark, sf) -> Star:
-    gross = F.col("l_extendedprice").cast("decimal(12,2)")
+    # Amounts in 1/10000 of the currency: price and discount both have two decimals.
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    percent = F.round(F.col("l_discount") * 100).cast("bigint")
     lines = table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
-        gross.alias("gross_amount"),
-        (gross * F.col("l_discount").cast("decimal(4,2)")).alias("discount_amount"),
+        (cents * 100).alias("gross_amount"),
+        (cents * percent).alias("discount_amount"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
     )
     raw_orders = table(spark, sf, "orders")
@@ -598,4 +618,4 @@ def star(spark, sf) -> Star:
     dates = calendar(
         F.min("o_orderdate").cast("date"), F.max("o_orderdate").cast("date"), raw_orders, FISCAL_START_MONTH
     )
-    return Star(lines, orders, customers, products, dates)
+    return Star(lines, orders, customers, products, dates, minor_digits=4)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import metrics as M
@@ -26,7 +28,7 @@ fiscal_quarter, calendar_month FROM star""",
 )
 def star_join(spark, sf):
     return M.star_join(X.star(spark, sf)).select(
-        "order_id", "product_id", "customer_id", F.col("gross_amount").cast("double").alias("gross"), "quantity", "segment",
+        "order_id", "product_id", "customer_id", (F.col("gross_amount") / 10000).alias("gross"), "quantity", "segment",
         "region", "category", "sku", "fiscal_quarter", "calendar_month",
     )
 
@@ -40,8 +42,8 @@ quantity AS units FROM lines""",
 def fact_columns(spark, sf):
     facts = M.fact_columns(X.star(spark, sf).lines)
     return facts.select(
-        "order_id", "product_id", F.col("gross_revenue").cast("double").alias("gross_revenue"),
-        F.col("discount").cast("double").alias("discount"), "units",
+        "order_id", "product_id", (F.col("gross_revenue") / 10000).alias("gross_revenue"),
+        (F.col("discount") / 10000).alias("discount"), "units",
     )
 
 
@@ -109,7 +111,7 @@ def last_quarter_revenue(spark, sf):
     orders = star.orders.where(
         (F.col("order_date") >= F.add_months(this_quarter, -3)) & (F.col("order_date") < this_quarter)
     )
-    narrowed = M.Star(star.lines, orders, star.customers, star.products, star.dates)
+    narrowed = replace(star, orders=orders)
     return M.metrics_by_dimension(narrowed, ["revenue"], ["region"])
 
 

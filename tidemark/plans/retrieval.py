@@ -62,7 +62,7 @@ CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS IN
 
 def _matches(spark, sf):
     queries = X.table(spark, sf, "benchmark").withColumnRenamed("item_id", "query_id")
-    return R.keyword_matches(X.table(spark, sf, "documents").select("doc_id", "text"), queries)
+    return R.keyword_matches(X.text_table(spark, sf, "documents").select("doc_id", "text"), queries)
 
 
 @query("keyword_search_topk", _MATCHES + "\n" + _top("matches"))

@@ -17,6 +17,7 @@ def local_session(cpus: int | str = "*", **conf: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no stack capture per column call
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
@@ -46,6 +47,16 @@ def run_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/tidemark/{purpose}-{uuid.uuid4().hex}"
 
 
+def spread(df, key: str):
+    """Use all cores on a source that arrives in fewer splits than there are cores.
+
+    A plan-time look at the number of splits; a table with more splits than cores,
+    as any big one has, is returned as it is and nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def cut_lineage(df):
     """Write ``df`` as a table in the shared folder and read it back (an action).
 

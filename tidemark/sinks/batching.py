@@ -17,7 +17,9 @@ BUCKET_DIGITS = 4
 
 
 def _bucket(key: str) -> Column:
-    return F.substring(F.md5(F.col(key).cast("string")), 1, BUCKET_DIGITS)
+    # Never NULL: Spark then adds no NULL filter to one side of the join below, and
+    # both sides share a single shuffle of the numbered rows.
+    return F.coalesce(F.substring(F.md5(F.col(key).cast("string")), 1, BUCKET_DIGITS), F.lit(""))
 
 
 def dense_index(rows: DataFrame, key: str, weight: Column | None = None) -> DataFrame:
@@ -47,7 +49,7 @@ def dense_index(rows: DataFrame, key: str, weight: Column | None = None) -> Data
 
 def numbered_batches(rows: DataFrame, key: str, size: int) -> DataFrame:
     """Adds ``batch``: consecutive groups of ``size`` rows."""
-    return dense_index(rows, key).withColumn("batch", F.floor(F.col("idx") / size).cast("bigint")).drop("idx")
+    return dense_index(rows, key).withColumn("batch", F.expr(f"idx div {size}")).drop("idx")
 
 
 def size_bounded_batches(
@@ -64,8 +66,8 @@ def size_bounded_batches(
     sized = rows.withColumn("bytes", size.cast("bigint")).withColumn("solo", F.col("bytes") > half)
     small = F.when(F.col("solo"), 0).otherwise(F.col("bytes"))
     placed = dense_index(sized, key, small)
-    slot = F.floor(F.col("start") / half) + F.floor(F.col("idx") / max_rows)
-    return placed.withColumn("batch", F.when(~F.col("solo"), slot).cast("bigint")).drop("start")
+    slot = F.expr(f"start div {half} + idx div {max_rows}")
+    return placed.withColumn("batch", F.when(~F.col("solo"), slot)).drop("start", "idx")
 
 
 def any_filter(ids: Column) -> Column:

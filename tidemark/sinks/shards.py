@@ -29,7 +29,7 @@ def import_manifest(shards: DataFrame, run_id: str, mode: str, per_request: int
     A FULL run is one reconcile over the whole snapshot: ``part`` of ``parts`` tells
     the importer which requests belong together.
     """
-    placed = dense_index(shards, "uri").withColumn("part", F.floor(F.col("idx") / per_request).cast("bigint"))
+    placed = dense_index(shards, "uri").withColumn("part", F.expr(f"idx div {per_request}"))
     requests = placed.groupBy("part").agg(
         F.count("*").alias("files"), F.sum("docs").alias("docs"), F.sort_array(F.collect_list("uri")).alias("uris")
     )
