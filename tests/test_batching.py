@@ -36,9 +36,21 @@ def test_purge_filter(spark):
 
 def test_shards_and_manifest(spark, tmp_path):
     folder = str(tmp_path / "shards")
-    S.write_jsonl(spark.range(0, 250, numPartitions=2).withColumn("text", F.lit("line\nbreak")), folder, 50)
+    documents = spark.range(0, 250, numPartitions=2).select(
+        F.concat(F.lit('quo"te '), "id").alias("id"),
+        F.lit("line\nbreak é" * 40).alias("body"),
+        F.lit("text/plain").alias("mime_type"),
+        F.lit('{"title":"t"}').alias("metadata"),
+        F.from_json(
+            F.lit('[{"kind":"group","id":"g"},{"kind":"user","id":"u"},{"kind":"idp_wide"}]'),
+            "array<struct<kind:string,id:string>>",
+        ).alias("principals"),
+    )
+    S.write_jsonl(documents, folder, 50)
     shards = S.shard_files(spark, folder)
     assert sorted(r["docs"] for r in shards.collect()) == [25, 25, 50, 50, 50, 50]
+    back = S.read_jsonl(spark, folder).withColumn("body", F.decode("body", "UTF-8"))
+    assert sorted(map(str, back.collect())) == sorted(map(str, documents.select(back.columns).collect()))
     requests = S.import_manifest(shards, "r", "FULL", per_request=4).orderBy("part").collect()
     assert [(r["part"], r["parts"], r["files"]) for r in requests] == [(0, 2, 4), (1, 2, 2)]
     assert sum(r["docs"] for r in requests) == 250

@@ -66,3 +66,9 @@ TERM_SYNONYMS = {
     "volume": "units_sold",
     "AOV": "avg_order_value",
 }
+
+# Keys of an identity configuration file.
+CONFIG_GROUP = "databricks_group"
+CONFIG_USER = "databricks_user_name"
+CONFIG_TARGET_GROUP = "google_group"
+CONFIG_TARGET_EMAIL = "google_email"

@@ -21,14 +21,16 @@ def _place(key: str) -> str:
     return f"(row_number() OVER (ORDER BY substr(md5(CAST({key} AS VARCHAR)), 1, 4), {key}) - 1)"
 
 
-@query("jsonl_shards", CUSTOMER_DOCUMENTS)
+@query(
+    "jsonl_shards",
+    f"SELECT id, body, mime_type, metadata, readers FROM ({CUSTOMER_DOCUMENTS})",
+)
 def jsonl_shards(spark, sf):
-    """Documents written as JSON lines of at most 200 per file, then read back."""
+    """Documents written as import lines of at most 200 per file, then read back."""
     folder = run_folder(spark, "shards")
-    documents = flat(customer_documents(spark, sf), "id", "title", "body", "mime_type", "metadata", "updated_at")
-    S.write_jsonl(documents, folder, 200)
-    schema = "id string, title string, body string, mime_type string, metadata string, updated_at timestamp_ntz, readers string"
-    return spark.read.schema(schema).json(folder)
+    S.write_jsonl(customer_documents(spark, sf), folder, 200)
+    read = S.read_jsonl(spark, folder).withColumn("body", F.decode("body", "UTF-8"))
+    return flat(read, "id", "body", "mime_type", "metadata")
 
 
 @query(

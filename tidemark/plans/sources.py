@@ -80,7 +80,7 @@ def json_feed_explode(spark, sf):
     )
     folder = run_folder(spark, "feed")
     landed.write.json(folder)
-    return feeds.read_article_feed(spark, folder).withColumn("status", F.coalesce("status", F.lit("none")))
+    return feeds.read_feed(spark, folder).withColumn("status", F.coalesce("status", F.lit("none")))
 
 
 @query(

@@ -20,7 +20,7 @@ from tidemark.functions.access import access_key, principal_text
 from tidemark.operators import changes as C
 from tidemark.operators.documents import duplicate_ids
 from tidemark.sinks.batching import purge_requests
-from tidemark.sinks.shards import import_manifest, shard_files
+from tidemark.sinks.shards import import_manifest, shard_files, write_jsonl
 from tidemark.sinks.tables import VersionedTable
 
 
@@ -36,7 +36,8 @@ class SyncResult:
 
 def state_of(documents: DataFrame) -> DataFrame:
     """(id, content_hash, acl_hash): what the diff compares, without any body."""
-    content = F.sha2(F.to_json(F.struct("title", "body", "mime_type", "metadata")), 256)
+    body = F.sha2(F.col("body").cast("binary"), 256)
+    content = F.sha2(F.to_json(F.struct("title", body.alias("body"), "mime_type", "metadata")), 256)
     return documents.select("id", content.alias("content_hash"), access_key(F.col("principals")).alias("acl_hash"))
 
 
@@ -55,6 +56,7 @@ def run_sync(
     """Sync one source. ``read_source(since)`` gives documents with id, title, body,
     mime_type, metadata, updated_at and principals; ``deleted_ids`` (column ``id``)
     are tombstones. ``root`` must be a folder all executors share."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")  # marks are UTC without zone
     home = f"{root.rstrip('/')}/{source_key}"
     mirror_table = VersionedTable(spark, f"{home}/mirror", "id")
     marks_table = VersionedTable(spark, f"{home}/watermark", "source_key")
@@ -139,13 +141,12 @@ def _stage(spark, documents, difference, mirror, folder, run_id, reconcile, docs
 
     On the first run every document goes out, so bodies are written without a join.
     """
+    batch = documents if mirror is None else C.import_batch(difference, documents).drop("change")
+    write_jsonl(batch, f"{folder}/shards", docs_per_shard)
     readers = principal_text(F.col("principals")).alias("readers")
-    payloads = documents.withColumn("readers", readers).drop("principals")
-    batch = payloads if mirror is None else C.import_batch(difference, payloads).drop("change")
-    batch.write.mode("overwrite").option("maxRecordsPerFile", docs_per_shard).json(f"{folder}/shards")
     patches = C.acl_only(difference).join(documents.select("id", readers), "id").select("id", "readers")
     patches.write.mode("overwrite").json(f"{folder}/patches")
     gone = difference.where("change = 'delete'").select("id")
-    purge_requests(gone, "id", K.IDS_PER_PURGE).write.mode("overwrite").json(f"{folder}/purges")
+    purge_requests(gone, "id").write.mode("overwrite").json(f"{folder}/purges")
     manifest = import_manifest(shard_files(spark, f"{folder}/shards"), run_id, reconcile)
     manifest.write.mode("overwrite").parquet(f"{folder}/manifest")

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.constants import BYTES_PER_FILE, DOCS_PER_SHARD, IDS_PER_PURGE
+
 BUCKET_DIGITS = 4
 
 
@@ -53,7 +55,7 @@ def numbered_batches(rows: DataFrame, key: str, size: int) -> DataFrame:
 
 
 def size_bounded_batches(
-    rows: DataFrame, key: str, size: Column, max_rows: int, max_bytes: int
+    rows: DataFrame, key: str, size: Column, max_rows: int = DOCS_PER_SHARD, max_bytes: int = BYTES_PER_FILE
 ) -> DataFrame:
     """Adds ``batch`` such that no batch passes ``max_rows`` rows or ``max_bytes`` bytes.
 
@@ -76,7 +78,7 @@ def any_filter(ids: Column) -> Column:
     return F.concat(F.lit("id: ANY("), F.concat_ws(",", quoted), F.lit(")"))
 
 
-def purge_requests(ids: DataFrame, key: str, size: int) -> DataFrame:
+def purge_requests(ids: DataFrame, key: str, size: int = IDS_PER_PURGE) -> DataFrame:
     """One filter string per request; a request holds at most ``size`` ids."""
     batches = numbered_batches(ids.select(key), key, size)
     return batches.groupBy("batch").agg(F.count("*").alias("ids"), any_filter(F.col(key)).alias("filter"))

@@ -5,16 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.constants import FILES_PER_REQUEST
+from tidemark.constants import DOCS_PER_SHARD, FILES_PER_REQUEST
+from tidemark.functions.payload import IMPORT_SCHEMA, import_line, read_principals
 from tidemark.sinks.batching import dense_index
 
 
-def write_jsonl(documents: DataFrame, folder: str, per_file: int) -> None:
-    """One JSON document per line, at most ``per_file`` lines in a file (an action).
+def write_jsonl(documents: DataFrame, folder: str, per_file: int = DOCS_PER_SHARD, body: str = "body") -> None:
+    """One import document per line, at most ``per_file`` lines in a file (an action).
 
     Tasks write in parallel; Spark's commit protocol replaces files of failed attempts.
     """
-    documents.write.mode("errorifexists").option("maxRecordsPerFile", per_file).json(folder)
+    lines = documents.select(import_line(F.col(body)).alias("value"))
+    lines.write.mode("overwrite").option("maxRecordsPerFile", per_file).text(folder)
+
+
+def read_jsonl(spark: SparkSession, folder: str) -> DataFrame:
+    """Written shards as documents again."""
+    lines = spark.read.schema(IMPORT_SCHEMA).json(folder)
+    return lines.select(
+        "id",
+        F.unbase64("content.rawBytes").alias("body"),
+        F.col("content.mimeType").alias("mime_type"),
+        F.col("structData").alias("metadata"),
+        read_principals(F.col("aclInfo")).alias("principals"),
+    )
 
 
 def shard_files(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,13 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ARTICLE = "struct<id:bigint,title:string,body_html:string,url:string,author:string,status:string>"
-FEED_SCHEMA = (
-    f"articles array<{ARTICLE}>, next_page_token string, items array<{ARTICLE}>, next_page bigint, total bigint"
-)
 
 
-def read_article_feed(spark: SparkSession, path: str) -> DataFrame:
-    """One row per article from pages shaped ``{articles, next_page_token}`` or
-    ``{items, next_page, total}``. The schema is given, so nothing is read twice."""
-    pages = spark.read.schema(FEED_SCHEMA).json(path)
-    return pages.select(F.explode(F.coalesce("articles", "items")).alias("a")).select("a.*")
+def read_feed(spark: SparkSession, path: str, row: str = ARTICLE) -> DataFrame:
+    """One row per record from pages that keep their records under ``articles``,
+    ``items``, ``result`` or ``d.results``. ``row`` is the record type; it is given,
+    so nothing is read twice to infer it, and fields outside it are not parsed."""
+    schema = f"articles array<{row}>, items array<{row}>, result array<{row}>, d struct<results:array<{row}>>"
+    pages = spark.read.schema(schema).json(path)
+    return pages.select(F.explode(F.coalesce("articles", "items", "result", "d.results")).alias("a")).select("a.*")
