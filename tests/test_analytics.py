@@ -34,6 +34,13 @@ def test_candidate_keys_with_nulls(spark):
     assert got == {"a": True, "b": False, "c": False}
 
 
+def test_catalog_inventory(spark):
+    spark.range(7).createOrReplaceTempView("seven_rows")
+    got = C.catalog_inventory(spark, "default").where("name = 'seven_rows'").first()
+    assert (got["type"], got["row_count"], got["ingest_rows"], got["comment"]) == ("TEMPORARY", 7, True, None)
+    spark.catalog.dropTempView("seven_rows")
+
+
 @pytest.fixture(scope="module")
 def star(spark):
     """One order holds most lines."""

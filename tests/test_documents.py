@@ -55,7 +55,7 @@ def test_row_metadata_replaces_built_in_and_keeps_types(spark):
     assert doc["id"] == "databricks_row:c.s.t:1"
     assert metadata["title"] == "own title" and metadata["n"] == 2 and metadata["b"] is True
     assert metadata["t"] == "2024-01-01 00:00:00.000005" and metadata["price"] == "2.50" and metadata["l"] == "[1,2]"
-    assert metadata["updated_at"] == "2024-01-01T00:00:00.000005+00:00" and "missing" not in metadata
+    assert metadata["updated_at"] == "2024-01-01T00:00:00.000005+00:00" and metadata["missing"] is None
     assert doc["principals"] == []
 
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import access as A
+from tidemark.plans.identity_job import run_identity_sync
 from tidemark.plans.sync_job import run_sync
 from tidemark.sinks.tables import VersionedTable
 
@@ -97,3 +98,21 @@ def test_guards(spark, tmp_path):
         sync(spark, tmp_path, source, "reconcile", "r2")
     assert sync(spark, tmp_path, source, "reconcile", "r3", allow_empty=True).counts["delete"] == 1
     assert mirror(spark, tmp_path) == []
+
+
+def test_identity_run(spark, tmp_path):
+    def mapping(*rows):
+        return spark.createDataFrame(list(rows), "external_identity string, target_user string, target_group string")
+
+    first = mapping(("g", "a", None), ("g", "b", None), ("h", None, "h@x"))
+    dry = run_identity_sync(spark, first, str(tmp_path), "r1", dry_run=True)
+    assert (dry.added, dry.removed) == (3, 0)
+    done = run_identity_sync(spark, first, str(tmp_path), "r1", per_request=2)
+    assert (done.added, done.removed, done.requests) == (3, 0, 2)
+    second = mapping(("g", "a", None), ("g", "c", None), ("h", None, "h@x"), ("g", "c", None))
+    left = run_identity_sync(spark, second, str(tmp_path), "r2")
+    assert (left.added, left.removed) == (1, 1)
+    again = run_identity_sync(spark, second, str(tmp_path), "r3")
+    assert (again.added, again.removed, again.requests) == (0, 0, 0)
+    with pytest.raises(ValueError, match="exactly one"):
+        run_identity_sync(spark, mapping(("g", "a", "b")), str(tmp_path), "r4")

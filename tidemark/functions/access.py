@@ -1,4 +1,4 @@
-"""Access list expressions. A principal is STRUCT<kind, id>, kind being user, group or idp_wide."""
+"""Access list expressions. A principal is STRUCT<kind, id>, kind being user, group, entity or idp_wide."""
 
 from __future__ import annotations
 
@@ -50,8 +50,9 @@ def split_list(csv: Column) -> Column:
     return F.filter(trimmed, lambda x: x != "")
 
 
-def csv_principals(csv: Column, empty_policy: str = "deny") -> Column:
-    return apply_empty_policy(_listed("group", split_list(csv), EXTERNAL_GROUP), empty_policy)
+def csv_principals(csv: Column, empty_policy: str = "deny", kind: str = "group") -> Column:
+    """External groups out of a comma list; ``kind`` is group, or entity where the target wants that."""
+    return apply_empty_policy(_listed(kind, split_list(csv), EXTERNAL_GROUP), empty_policy)
 
 
 def apply_empty_policy(principals: Column, policy: str) -> Column:

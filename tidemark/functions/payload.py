@@ -21,6 +21,7 @@ def import_line(body: Column) -> Column:
         return F.struct(
             F.when(p["kind"] == "user", p["id"]).alias("userId"),
             F.when(p["kind"] == "group", p["id"]).alias("groupId"),
+            F.when(p["kind"] == "entity", p["id"]).alias("externalEntityId"),
             F.when(p["kind"] == "idp_wide", True).alias("idpWide"),
         )
 
@@ -42,7 +43,7 @@ def import_line(body: Column) -> Column:
 
 IMPORT_SCHEMA = (
     "id string, structData string, content struct<mimeType:string,rawBytes:string>, "
-    "aclInfo struct<readers:array<struct<principals:array<struct<userId:string,groupId:string,idpWide:boolean>>>>>"
+    "aclInfo struct<readers:array<struct<principals:array<struct<userId:string,groupId:string,externalEntityId:string,idpWide:boolean>>>>>"
 )
 
 
@@ -50,8 +51,13 @@ def read_principals(access: Column) -> Column:
     """The principals of an import line, back as STRUCT<kind, id>."""
 
     def one(p: Column) -> Column:
-        kind = F.when(p["userId"].isNotNull(), "user").when(p["groupId"].isNotNull(), "group").otherwise("idp_wide")
-        return F.struct(kind.alias("kind"), F.coalesce(p["userId"], p["groupId"]).alias("id"))
+        kind = (
+            F.when(p["userId"].isNotNull(), "user")
+            .when(p["groupId"].isNotNull(), "group")
+            .when(p["externalEntityId"].isNotNull(), "entity")
+            .otherwise("idp_wide")
+        )
+        return F.struct(kind.alias("kind"), F.coalesce(p["userId"], p["groupId"], p["externalEntityId"]).alias("id"))
 
     return F.transform(F.flatten(F.transform(access["readers"], lambda r: r["principals"])), one)
 

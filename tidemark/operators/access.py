@@ -36,11 +36,11 @@ def principal_counts(documents: DataFrame) -> DataFrame:
 
 
 def _identity(principal: Column) -> Column:
-    return A.bare_identity(F.regexp_replace(principal, "^(?:user|group):", ""))
+    return A.bare_identity(F.regexp_replace(principal, "^(?:user|group|entity):", ""))
 
 
 def _is_external(principal: Column) -> Column:
-    return F.regexp_like(principal, F.lit("^(?:user|group):external_(?:user|group):"))
+    return F.regexp_like(principal, F.lit("^(?:user|group|entity):external_(?:user|group):"))
 
 
 def resolve_principals(documents: DataFrame, mappings: DataFrame) -> DataFrame:
@@ -61,7 +61,7 @@ def resolve_principals(documents: DataFrame, mappings: DataFrame) -> DataFrame:
         "principal",
         F.substring_index("principal", ":", 1).alias("subject_kind"),
         F.when(F.col("principal") == "idp_wide", "*")
-        .otherwise(F.regexp_replace("principal", "^(?:user|group):", ""))
+        .otherwise(F.regexp_replace("principal", "^(?:user|group|entity):", ""))
         .alias("subject"),
         "docs",
     )
@@ -101,13 +101,14 @@ def user_principals(mappings: DataFrame, memberships: DataFrame) -> DataFrame:
             F.array(
                 texts(F.lit("user:external_user:"), "external_identity"),
                 texts(F.lit("group:external_group:"), "external_identity"),
+                texts(F.lit("entity:external_group:"), "external_identity"),
             )
         ).alias("principal"),
     )
     own = direct.select(F.col("target_user").alias("user"), texts(F.lit("user:"), "target_user").alias("principal"))
     in_group = memberships.select("user", texts(F.lit("group:"), "target_group").alias("principal"))
     everything = named.unionByName(own).unionByName(in_group).distinct()
-    return everything.withColumn("shared", F.col("principal").startswith("group:"))
+    return everything.withColumn("shared", ~F.col("principal").startswith("user:"))
 
 
 def visible_documents(documents: DataFrame, held: DataFrame, id_column: str = "doc_id") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -27,6 +27,18 @@ def table_inventory(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def catalog_inventory(spark: SparkSession, schema: str) -> DataFrame:
+    """The inventory of all tables and views of a catalog schema, with their type and comment."""
+    listed = spark.catalog.listTables(schema)
+    if not listed:
+        empty = "name string, type string, row_count bigint, ingest_rows boolean, over_scale_gate boolean, comment string"
+        return spark.createDataFrame([], empty)
+    frames = {t.name: spark.table(t.name if t.isTemporary else f"{schema}.{t.name}") for t in listed}
+    described = [(t.name, t.tableType, t.description) for t in listed]
+    details = spark.createDataFrame(described, "name string, type string, comment string")
+    return table_inventory(frames).drop("type").join(details, "name").orderBy("name")
+
+
 def _value_counts(df: DataFrame, column: str) -> DataFrame:
     """Values of one column with their counts: reads that column alone, combines
     before the shuffle, so a hot value is one row per task."""
@@ -53,6 +65,7 @@ def column_profile(table: str, df: DataFrame, key: str, samples: int = 5) -> Dat
                 F.lit(field.name).alias("column"),
                 F.lit(field.dataType.simpleString()).alias("type"),
                 F.lit(field.nullable).alias("nullable"),
+                F.lit(field.metadata.get("comment")).cast("string").alias("comment"),
                 "null_count",
                 "distinct_count",
                 "min_value",

@@ -28,6 +28,11 @@ def json_safe(column: str, dtype: T.DataType) -> Column:
     return X.as_text(column, dtype)
 
 
+def _metadata(fields: Column) -> Column:
+    """Metadata as a JSON object; an entry without a value is kept as null."""
+    return F.to_json(fields, {"ignoreNullFields": "false"}).alias("metadata")
+
+
 def row_to_document(
     rows: DataFrame,
     catalog: str,
@@ -41,9 +46,9 @@ def row_to_document(
     scheme: str = K.ROW_ID_SCHEME,
 ) -> DataFrame:
     """Table rows as plain-text documents. A metadata column named like a built-in
-    entry replaces it. Without a watermark column ``updated_at`` is the query time."""
+    entry replaces it. Without a time in the watermark column ``updated_at`` is the query time."""
     pk = F.col(key).cast("string")
-    if watermark_column:
+    if watermark_column and isinstance(rows.schema[watermark_column].dataType, (T.TimestampType, T.TimestampNTZType)):
         updated = F.coalesce(F.col(watermark_column).cast("timestamp_ntz"), F.localtimestamp())
     else:
         updated = F.localtimestamp()
@@ -64,7 +69,7 @@ def row_to_document(
         entries["title"].cast("string").alias("title"),
         X.render_row_text(list(text_columns), rows.schema).alias("body"),
         F.lit("text/plain").alias("mime_type"),
-        F.to_json(F.struct(*[v.alias(k) for k, v in entries.items()])).alias("metadata"),
+        _metadata(F.struct(*[v.alias(k) for k, v in entries.items()])),
         updated.alias("updated_at"),
         A.reader_principals(F.array().cast("array<string>"), groups, F.lit(False)).alias("principals"),
     )
@@ -83,7 +88,7 @@ def file_to_document(files: DataFrame, reader_groups: list[str] = (), scheme: st
         X.file_document_id(scheme, F.col("path")).alias("id"),
         F.col("name").alias("title"),
         mime_by_extension(F.col("name")).alias("mime_type"),
-        F.to_json(metadata).alias("metadata"),
+        _metadata(metadata),
         F.col("updated_at"),
         A.reader_principals(F.array().cast("array<string>"), groups, F.lit(False)).alias("principals"),
     ]
@@ -107,7 +112,7 @@ def article_to_document(articles: DataFrame, scheme: str = K.ARTICLE_ID_SCHEME)
         F.coalesce("title", blank).alias("title"),
         "body",
         F.lit("text/plain").alias("mime_type"),
-        F.to_json(metadata).alias("metadata"),
+        _metadata(metadata),
         F.col("updated_at"),
         A.external_principals(F.col("reader_users"), F.col("reader_groups"), F.col("is_public")).alias("principals"),
     )
@@ -137,7 +142,7 @@ def published_html_document(articles: DataFrame) -> DataFrame:
         F.col("id").cast("string").alias("id"),
         F.lit("text/html").alias("mime_type"),
         F.replace(F.base64(F.encode("body_html", "UTF-8")), F.lit("\r\n"), F.lit("")).alias("raw_bytes"),
-        F.to_json(metadata).alias("metadata"),
+        _metadata(metadata),
     )
 
 
@@ -163,11 +168,58 @@ def kb_to_document(
         "body",
         views.alias("view_count"),
         link.alias("source_url"),
-        F.to_json(metadata).alias("metadata"),
+        _metadata(metadata),
         A.csv_principals(F.col("can_read_user_criteria"), empty_policy).alias("principals"),
     )
 
 
+def kb_html_to_document(articles: DataFrame, instance: str, empty_policy: str = "deny") -> DataFrame:
+    """The knowledge variant that ships HTML under ``kb_<id>`` and reads a comma list of roles."""
+    blank = F.lit("")
+    title = X.first_filled(F.col("short_description"), F.col("title"), F.lit("Untitled"))
+    link = F.concat(F.lit(instance + "/kb_view.do?sys_kb_id="), F.col("sys_id").cast("string"))
+    metadata = F.struct(
+        title.alias("title"),
+        F.coalesce("number", blank).alias("kb_number"),
+        F.coalesce("kb_category", blank).alias("category"),
+        F.coalesce("kb_knowledge_base", blank).alias("knowledge_base"),
+        F.coalesce("sys_updated_on", blank).alias("updated_at"),
+        link.alias("url"),
+    )
+    return articles.select(
+        F.concat(F.lit(K.KB_ID_SCHEME_PLAIN), F.col("sys_id").cast("string")).alias("id"),
+        title.alias("title"),
+        F.coalesce("text", blank).alias("body"),
+        F.lit("text/html").alias("mime_type"),
+        _metadata(metadata),
+        A.csv_principals(F.col("roles"), empty_policy).alias("principals"),
+    )
+
+
+def policy_file_document(policies: DataFrame, files_at: str, portal: str) -> DataFrame:
+    """The policy variant whose body is a staged file. Input is policies already joined
+    to their attachment; the document names the file instead of carrying it."""
+    identity = F.col("document_id")
+    title = X.first_filled(F.col("title"), F.col("file_name"))
+    metadata = F.struct(
+        title.alias("title"),
+        F.col("description").alias("summary"),
+        F.date_format("effective_date", "yyyy-MM-dd'T'HH:mm:ss").alias("effective_date"),
+        F.col("language").alias("locale"),
+        F.col("owner").alias("owner_sap_user_id"),
+        F.lit(K.POLICY_SOURCE_TAG).alias("source_system"),
+        F.concat(F.lit(portal), identity).alias("source_url"),
+        F.date_format("updated_at", "yyyy-MM-dd'T'HH:mm:ss").alias("last_modified"),
+    )
+    return policies.select(
+        identity.alias("id"),
+        F.concat(F.lit(files_at + "/"), identity, F.lit(".pdf")).alias("uri"),
+        F.lit("application/pdf").alias("mime_type"),
+        _metadata(metadata),
+        A.csv_principals(F.col("visible_to"), kind="entity").alias("principals"),
+    )
+
+
 def policy_to_document(policies: DataFrame, host: str) -> DataFrame:
     """HR policies; missing text facets and dates become empty strings."""
 
@@ -194,7 +246,7 @@ def policy_to_document(policies: DataFrame, host: str) -> DataFrame:
         F.concat(F.lit(K.POLICY_ID_SCHEME + ":"), F.col("document_id")).alias("id"),
         title.alias("title"),
         F.coalesce("mime_type", F.lit("application/pdf")).alias("mime_type"),
-        F.to_json(metadata).alias("metadata"),
+        _metadata(metadata),
         F.when(public, A.everyone()).otherwise(named).alias("principals"),
         F.col("body"),
     )

@@ -31,7 +31,7 @@ PROFILED = {
 
 def _profile_sql(table: str, key: str, columns: str) -> str:
     return " UNION ALL ".join(
-        f"""SELECT '{table}' AS "table", {i} AS ordinal, '{c}' AS "column", '{t}' AS type, true AS nullable,
+        f"""SELECT '{table}' AS "table", {i} AS ordinal, '{c}' AS "column", '{t}' AS type, true AS nullable, CAST(NULL AS VARCHAR) AS comment,
 count(*) - count({c}) AS null_count, count(DISTINCT {c}) AS distinct_count,
 CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value,
 (SELECT string_agg(CAST({c} AS VARCHAR), '|' ORDER BY {key}) FROM (SELECT * FROM {table} ORDER BY {key} LIMIT 5)) AS samples FROM {table}"""

@@ -15,6 +15,7 @@ from tidemark.functions.payload import decode_attachment
 from tidemark.operators import documents as D
 from tidemark.plans import inputs as X
 from tidemark.plans.registry import query
+from tidemark.sources.tables import attach
 
 INSTANCE = "https://kb.example.com"
 HOST = "hr.example.com"
@@ -128,6 +129,51 @@ def kb_to_document(spark, sf):
     return flat(documents, "id", "body", "view_count", "source_url", "metadata")
 
 
+@query(
+    "kb_html_to_document",
+    X.sql_with(
+        "kb",
+        """SELECT 'kb_' || sys_id AS id, short_description AS title, text AS body, 'text/html' AS mime_type,
+CAST(json_object('title', short_description, 'kb_number', number, 'category', kb_category, 'knowledge_base', '', 'updated_at', sys_updated_on,
+  'url', 'https://kb.example.com/kb_view.do?sys_kb_id=' || sys_id) AS VARCHAR) AS metadata,
+CASE WHEN can_read_user_criteria = '' THEN ''
+ELSE 'group:external_group:' || split_part(can_read_user_criteria, ', ,', 1) || ',group:external_group:' || split_part(can_read_user_criteria, ', ,', 2) END AS readers
+FROM kb""",
+    ),
+)
+def kb_html_to_document(spark, sf):
+    missing = F.lit(None).cast("string")
+    articles = X.kb(spark, sf).withColumnsRenamed({"can_read_user_criteria": "roles"})
+    articles = articles.withColumn("title", missing).withColumn("kb_knowledge_base", missing)
+    return flat(D.kb_html_to_document(articles, INSTANCE), "id", "title", "body", "mime_type", "metadata")
+
+
+@query(
+    "policy_file_document",
+    X.sql_with(
+        "policies",
+        """SELECT p.document_id AS id, 'https://files.example.com/pdfs/' || p.document_id || '.pdf' AS uri, 'application/pdf' AS mime_type,
+CAST(json_object('title', coalesce(nullif(p.title, ''), 'file-' || p.doc_id), 'summary', p.description, 'effective_date', strftime(p.effective_date, '%Y-%m-%dT%H:%M:%S'),
+  'locale', p.language, 'owner_sap_user_id', 'owner-' || l.quality, 'source_system', 'sap_successfactors',
+  'source_url', 'https://hr.example.com/policy/' || p.document_id, 'last_modified', strftime(p.updated_at, '%Y-%m-%dT%H:%M:%S')) AS VARCHAR) AS metadata,
+array_to_string(list_transform(p.groups, lambda g: 'entity:external_group:' || g), ',') AS readers
+FROM policies p JOIN labels l ON l.doc_id = p.doc_id""",
+    ),
+)
+def policy_file_document(spark, sf):
+    """Policies joined to their attachment; those without one are left out."""
+    attachments = X.table(spark, sf, "labels").select(
+        "doc_id",
+        F.concat(F.lit("file-"), "doc_id").alias("file_name"),
+        F.concat(F.lit("owner-"), "quality").alias("owner"),
+    )
+    policies = X.policies(spark, sf).drop("body").withColumn("visible_to", F.array_join("groups", ","))
+    documents = D.policy_file_document(
+        attach(policies, attachments, "doc_id"), "https://files.example.com/pdfs", "https://hr.example.com/policy/"
+    )
+    return flat(documents, "id", "uri", "mime_type", "metadata")
+
+
 _POLICY_TITLE = "coalesce(nullif(title, ''), nullif(name, ''), document_id)"
 
 

@@ -342,10 +342,10 @@ WHERE d.target_group IS NOT NULL""",
 _cte(
     "held",
     """SELECT DISTINCT "user", principal FROM (
-SELECT target_user AS "user", unnest(['user:external_user:' || external_identity, 'group:external_group:' || external_identity]) AS principal
+SELECT target_user AS "user", unnest(['user:external_user:' || external_identity, 'group:external_group:' || external_identity, 'entity:external_group:' || external_identity]) AS principal
 FROM mappings WHERE target_user IS NOT NULL
 UNION ALL
-SELECT g."user", unnest(['user:external_user:' || m.external_identity, 'group:external_group:' || m.external_identity])
+SELECT g."user", unnest(['user:external_user:' || m.external_identity, 'group:external_group:' || m.external_identity, 'entity:external_group:' || m.external_identity])
 FROM mappings m JOIN group_members g ON g.target_group = m.target_group
 UNION ALL SELECT target_user, 'user:' || target_user FROM mappings WHERE target_user IS NOT NULL
 UNION ALL SELECT "user", 'group:' || target_group FROM group_members)""",
