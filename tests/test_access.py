@@ -73,9 +73,9 @@ def test_visibility_against_brute_force(spark):
     counted = {r["user"]: (r["visible"], r["checksum"]) for r in O.visible_counts(acl, held, F.col("doc_id")).collect()}
     assert counted == {u: (len(d), sum(d)) for u, d in expected.items()}
     for user, docs in expected.items():
-        seen = O.visible_documents(acl, held.where(F.col("user") == user))
-        assert sorted(r[0] for r in seen.collect()) == sorted(docs)
-        assert sorted(r[0] for r in O.hidden_documents(acl, seen).collect()) == sorted(set(texts) - docs)
+        opened = O.open_classes(acl, held.where(F.col("user") == user))
+        assert sorted(r[0] for r in O.visible_documents(acl, opened).collect()) == sorted(docs)
+        assert sorted(r[0] for r in O.hidden_documents(acl, opened).collect()) == sorted(set(texts) - docs)
 
 
 def test_unresolved(spark):

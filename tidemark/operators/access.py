@@ -111,23 +111,31 @@ def user_principals(mappings: DataFrame, memberships: DataFrame) -> DataFrame:
     return everything.withColumn("shared", ~F.col("principal").startswith("user:"))
 
 
-def visible_documents(documents: DataFrame, held: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """Ids one asker may read; ``held`` is that asker's principals (column ``principal``).
+def open_classes(documents: DataFrame, held: DataFrame) -> DataFrame:
+    """Access keys of the reader lists one asker can pass (an action); ``held`` is that
+    asker's principals (column ``principal``).
 
-    Classes are matched first, so the semi join on documents compares one hash per
-    document instead of exploding every reader list.
+    Reader lists are reduced to distinct ones per task before the shuffle. The result
+    is written, so its real size decides the join with documents: a broadcast next to
+    a scan that is not shuffled, whatever share of documents one list has.
     """
-    keyed = documents.select(id_column, A.access_key(F.col("principals")).alias("access_key"), "principals")
+    keyed = documents.select(A.access_key(F.col("principals")).alias("access_key"), "principals")
     classes = keyed.groupBy("access_key").agg(F.first("principals").alias("principals"))
     texts = classes.select("access_key", F.explode(A.principal_text(F.col("principals"))).alias("principal"))
-    everyone = texts.where("principal = 'idp_wide'").select("access_key")
-    granted = texts.join(held, "principal", "left_semi").select("access_key")
-    open_keys = everyone.unionByName(granted).distinct()
-    return keyed.join(open_keys, "access_key", "left_semi").select(id_column)
+    passes = held.select("principal").unionByName(held.sparkSession.range(1).select(F.lit("idp_wide").alias("principal")))
+    return cut_lineage(texts.join(passes, "principal", "left_semi").select("access_key").distinct())
 
 
-def hidden_documents(documents: DataFrame, visible: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    return documents.select(id_column).join(visible, id_column, "left_anti")
+def visible_documents(documents: DataFrame, opened: DataFrame, id_column: str = "doc_id") -> DataFrame:
+    """Ids of the documents in opened classes; one hash is compared per document."""
+    keyed = documents.select(id_column, A.access_key(F.col("principals")).alias("access_key"))
+    return keyed.join(opened, "access_key", "left_semi").select(id_column)
+
+
+def hidden_documents(documents: DataFrame, opened: DataFrame, id_column: str = "doc_id") -> DataFrame:
+    """The complement of ``visible_documents``."""
+    keyed = documents.select(id_column, A.access_key(F.col("principals")).alias("access_key"))
+    return keyed.join(opened, "access_key", "left_anti").select(id_column)
 
 
 def visible_counts(documents: DataFrame, user_principals: DataFrame, checksum: Column) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.constants import ROW_CAP, SCALE_GATE_ROWS, SMALL_TABLE_ROWS
+from tidemark.session import cut_lineage
 
 
 def table_inventory(tables: dict[str, DataFrame]) -> DataFrame:
@@ -144,8 +145,11 @@ def lookup_by_key(df: DataFrame, key: str, keys: DataFrame, order: list[str]) ->
 
 
 def row_access_filter(facts: DataFrame, entitlements: DataFrame, scope: str, asker: str) -> DataFrame:
-    """Fact rows in the scopes one asker is entitled to."""
-    held = entitlements.where(F.col("user") == asker).select(scope)
+    """Fact rows in the scopes one asker is entitled to (an action).
+
+    The asker's scopes are written first: few scopes hold many facts each, and a list
+    known to be small is broadcast instead of shuffling facts onto few keys."""
+    held = cut_lineage(entitlements.where(F.col("user") == asker).select(scope).distinct())
     return facts.join(held, scope, "left_semi")
 
 

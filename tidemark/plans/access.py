@@ -107,7 +107,8 @@ def held_by_asker(spark, sf):
 
 @query("visible_documents", X.sql_with("doc_principals held", "").rstrip() + VISIBLE + "SELECT doc_id FROM visible")
 def visible_documents(spark, sf):
-    return O.visible_documents(X.doc_principals(spark, sf), held_by_asker(spark, sf))
+    documents = X.doc_principals(spark, sf)
+    return O.visible_documents(documents, O.open_classes(documents, held_by_asker(spark, sf)))
 
 
 @query(
@@ -118,7 +119,7 @@ def visible_documents(spark, sf):
 )
 def hidden_documents(spark, sf):
     documents = X.doc_principals(spark, sf)
-    return O.hidden_documents(documents, O.visible_documents(documents, held_by_asker(spark, sf)))
+    return O.hidden_documents(documents, O.open_classes(documents, held_by_asker(spark, sf)))
 
 
 @query(

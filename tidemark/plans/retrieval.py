@@ -79,7 +79,8 @@ def keyword_search_topk(spark, sf):
     + _top("(SELECT * FROM matches WHERE doc_id IN (SELECT doc_id FROM visible))"),
 )
 def secure_search(spark, sf):
-    visible = O.visible_documents(X.doc_principals(spark, sf), held_by_asker(spark, sf))
+    documents = X.doc_principals(spark, sf)
+    visible = O.visible_documents(documents, O.open_classes(documents, held_by_asker(spark, sf)))
     return R.secure_search(_matches(spark, sf), visible, TOP).select("query_id", "doc_id", "score", "rank")
 
 

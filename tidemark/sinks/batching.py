@@ -5,6 +5,9 @@ into 65,536 buckets of even size whatever the ids look like, each bucket is
 numbered by its own window, and the bucket totals (at most 65,536 short rows,
 so their broadcast and their running sum have a fixed bound) turn the local
 numbers into global ones. Batches are therefore all full except the last.
+
+Pass narrow rows (a key and what must travel with it): then numbering and totals
+need the same columns and Spark runs one shuffle, and the input, for both.
 """
 
 from __future__ import annotations
