@@ -299,12 +299,12 @@ _cte("resolved", _RESOLVE.format(members="members"), "people members")
 _cte("old_resolved", _RESOLVE.format(members="old_members"), "people old_members")
 _cte(
     "global_overrides",
-    "SELECT lower(c_name) AS user_name, 'g' || c_custkey || '@example.com' AS email FROM customer WHERE c_custkey % 10 = 0",
+    "SELECT lower(c_name) AS user_name, 'g' || c_custkey || '@example.com' AS email FROM customer WHERE c_mktsegment = 'FURNITURE'",
 )
 _cte(
     "group_overrides",
     """SELECT n_name AS group_name, lower(c_name) AS user_name, 'go' || c_custkey || '@example.com' AS email
-FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 20 = 0""",
+FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 5000""",
 )
 _EMAILS = """SELECT r.group_name, r.user_name, coalesce(go.email, g.email, r.user_name) AS email
 FROM {resolved} r LEFT JOIN group_overrides go ON go.group_name = r.group_name AND go.user_name = r.user_name
@@ -432,13 +432,13 @@ def resolved(spark, sf) -> DataFrame:
 
 
 def global_overrides(spark, sf) -> DataFrame:
-    return table(spark, sf, "customer").where("c_custkey % 10 = 0").select(
+    return table(spark, sf, "customer").where("c_mktsegment = 'FURNITURE'").select(
         F.lower("c_name").alias("user_name"), F.concat(F.lit("g"), "c_custkey", F.lit("@example.com")).alias("email")
     )
 
 
 def group_overrides(spark, sf) -> DataFrame:
-    named = table(spark, sf, "customer").where("c_custkey % 20 = 0")
+    named = table(spark, sf, "customer").where("c_acctbal > 5000")
     return named.join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("n_name").alias("group_name"),
         F.lower("c_name").alias("user_name"),
