@@ -73,8 +73,14 @@ def file_to_document(spark, sf):
     return flat(D.file_to_document(X.files(spark, sf), ["docs_readers"]), "id", "title", "metadata")
 
 
-_CLEAN = r"""trim(regexp_replace(replace(replace(replace(replace(regexp_replace(body_html, '<[^>]+>', ' ', 'g'),
-'&quot;', '"'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&'), '[\s\x{85}\x{a0}]+', ' ', 'g'))"""
+def _decoded(text: str) -> str:
+    """The entities of the given pages; a page may cut one off before its semicolon."""
+    for entity, char in (("quot", '"'), ("middot", "·"), ("copy", "©"), ("amp", "&")):
+        text = f"regexp_replace({text}, '&{entity};?', '{char}', 'g')"
+    return text
+
+
+_CLEAN = f"""trim(regexp_replace({_decoded("regexp_replace(body_html, '<[^>]+>', ' ', 'g')")}, '[\\s\\x{{85}}\\x{{a0}}]+', ' ', 'g'))"""
 
 
 @query(
@@ -240,12 +246,14 @@ def html_to_text(spark, sf):
     return T.with_html_text(X.articles(spark, sf), "body_html", "text").select("id", "text")
 
 
+_ENDS = r"^[\s\x{a0}]+|[\s\x{a0}]+$"
+
+
 @query(
     "html_to_text_raw",
     X.sql_with(
         "articles",
-        r"""SELECT id, regexp_replace(t, '^[\s\x{a0}]+|[\s\x{a0}]+$', '', 'g') AS no_unescape,
-regexp_replace(replace(replace(replace(replace(t, '&quot;', '"'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&'), '^[\s\x{a0}]+|[\s\x{a0}]+$', '', 'g') AS no_collapse
+        rf"""SELECT id, regexp_replace(t, '{_ENDS}', '', 'g') AS no_unescape, regexp_replace({_decoded("t")}, '{_ENDS}', '', 'g') AS no_collapse
 FROM (SELECT id, regexp_replace(body_html, '<[^>]+>', ' ', 'g') AS t FROM articles)""",
     ),
 )
