@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import quality, toxicity
+from tidemark.llm import decontaminate, packing, quality, secrets, toxicity
 from tidemark.llm.common import fold, table
+from tidemark.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,3 +45,19 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score_toxicity(docs, model).withColumn("spans", F.to_json("spans"))
     return _predicted(scored, toxicity.FOLDS, toxicity.HELD_OUT)
+
+
+@query("op5_best_fit_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.tokenize(table(spark, sf_dir, "documents"))
+    return packing.assign_sequences(cut_lineage(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")))
+
+
+@query("op7_secret_scan")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(table(spark, sf_dir, "documents"))
+
+
+@query("op10_decontamination")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
