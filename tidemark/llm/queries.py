@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, packing, quality, secrets, toxicity
+from tidemark.llm import decontaminate, licenses, packing, pii, quality, rules, secrets, toxicity
 from tidemark.llm.common import fold, table
 from tidemark.session import cut_lineage
 
@@ -53,11 +53,29 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.assign_sequences(cut_lineage(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")))
 
 
+@query("op6_license_digests", licenses.oracle())
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 @query("op7_secret_scan")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+@query("op8_pii_boosted")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.scan_pii(docs, pii.fit_pii(docs))
+
+
+@query("op9_quality_rules")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id").distinct()
+    return rules.apply_rules(docs, rules.log_ratios(docs, trusted))
+
+
 @query("op10_decontamination")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
