@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, licenses, packing, pii, quality, rules, secrets, toxicity
+from tidemark.llm import decontaminate, jaccard, licenses, packing, pii, quality, rules, secrets, toxicity
 from tidemark.llm.common import fold, table
 from tidemark.session import cut_lineage
 
@@ -47,6 +47,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _predicted(scored, toxicity.FOLDS, toxicity.HELD_OUT)
 
 
+@query("op4_jaccard_join")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 @query("op5_best_fit_packing")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.tokenize(table(spark, sf_dir, "documents"))
