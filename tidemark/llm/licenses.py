@@ -18,7 +18,7 @@ COPYRIGHT_LINE = r"(^|\n)[^a-z0-9\n]*(copyright|[(]c[)]|©)[^\n]*"
 #: ASCII signs and white space, and typographic spaces, dashes, quotes and marks.
 PUNCTUATION = r"[\x{0}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{BF}\x{2000}-\x{206F}\x{3000}]+"
 #: Spellings taken as one, after punctuation is gone; fixed values.
-SPELLINGS = [("licence", "license"), ("licenced", "licensed"), ("sub license", "sublicense"), ("organisation", "organization"), ("favour", "favor"), ("non commercial", "noncommercial"), ("https", "http"), ("per cent", "percent"), ("owner", "holder")]
+SPELLINGS = [("licence", "license"), ("licenced", "licensed"), ("sub license", "sublicense"), ("organisation", "organization"), ("favour", "favor"), ("non commercial", "noncommercial"), ("https", "http"), ("per cent", "percent"), ("owner", "holder"), ("owners", "holders")]
 NAMES_A_LICENSE = r"[Ll][Ii][Cc][Ee][Nn][CcSs]"
 
 
@@ -55,7 +55,7 @@ def scan_licenses(docs: DataFrame, known: list[tuple[str, str]] | None = None) -
     named = F.filter(lines, lambda u: u["unit"].rlike(NAMES_A_LICENSE))
     whole = F.array(F.struct(F.lit(0).alias("line"), text.alias("unit")))
     units = F.when(text.contains("\n"), F.concat(whole, named)).otherwise(whole)
-    rows = docs.select("doc_id", F.inline(units)).select("doc_id", "line", digest(F.col("unit")).alias("digest"))
+    rows = docs.select("doc_id", F.inline_outer(units)).select("doc_id", "line", digest(F.col("unit")).alias("digest"))
     return rows.join(F.broadcast(known_digests(docs.sparkSession, known)), "digest", "left").filter((F.col("line") == 0) | F.col("license_id").isNotNull()).select("doc_id", "line", "digest", "license_id")
 
 

@@ -246,7 +246,8 @@ def fit_pii(docs: DataFrame) -> Trees:
     """Count all candidates of all documents by their bins, and fit. The driver gets at most the grid's cells."""
     proposed = _proposed(_prepared(docs))
     rows = [F.transform(_kept(kind, _wide_enough), _of(kind, _cell)) for kind in KINDS[len(BASE) :]]
-    grid = proposed.select(F.explode(F.concat(*rows)).alias("c")).groupBy(*(f"c.{n}" for n in FEATURES)).agg(F.count("*").alias("n"), F.sum("c.good").alias("good"))
+    # the outer form adds no filter on the array's size, which would work everything out twice
+    grid = proposed.select(F.explode_outer(F.concat(*rows)).alias("c")).filter("c IS NOT NULL").groupBy(*(f"c.{n}" for n in FEATURES)).agg(F.count("*").alias("n"), F.sum("c.good").alias("good"))
     return fit_trees(sorted(([r[n] for n in FEATURES], r.n, r.good) for r in grid.collect()))
 
 
