@@ -9,19 +9,19 @@ from tidemark.functions.access import principal_text
 from tidemark.operators import documents as D
 
 ARTICLE = "id string, title string, body_html string, author string, tags array<string>, url string, updated_at timestamp_ntz, status string"
-AT = dt.datetime(2026, 5, 15, 10)
+AT = dt.datetime(2023, 11, 2, 7, 45)
 
 
 @pytest.fixture(scope="module")
 def articles(spark):
     return spark.createDataFrame(
         [
-            ("42", "Hello", "<p>Hi there</p>", "Molly", ["news"], "https://intranet/articles/42", AT, "published"),
-            ("7", None, None, None, None, None, AT, "deleted"),
-            ("1", None, "x", None, None, None, AT, "draft"),
-            ("2", None, "  ", None, None, None, AT, "published"),
-            ("3", None, "<p>&nbsp;</p>", None, None, None, AT, None),
-            ("4", None, "<p>text</p>", None, None, None, AT, None),
+            ("n1", "Canteen menu", "<div>Soup &amp; bread</div>", "Sam", ["food", "week"], "http://news.test/n1", AT, "published"),
+            ("n2", "Old", "<p>gone</p>", None, None, None, AT, "deleted"),
+            ("n3", None, "<p>not yet</p>", None, None, None, AT, "draft"),
+            ("n4", None, "\t", None, None, None, AT, "published"),
+            ("n5", None, "<p>&nbsp;</p>", None, None, None, AT, None),
+            ("n6", None, "<p>text</p>", None, None, None, AT, None),
         ],
         ARTICLE,
     )
@@ -29,14 +29,14 @@ def articles(spark):
 
 def test_routing(articles):
     got = {r["id"]: r["action"] for r in D.route_by_status(articles).collect()}
-    assert got == {"42": "upsert", "7": "delete", "1": "skip", "2": "skip", "3": "skip", "4": "upsert"}
+    assert got == {"n1": "upsert", "n2": "delete", "n3": "skip", "n4": "skip", "n5": "skip", "n6": "upsert"}
 
 
 def test_published_article(articles):
-    doc = D.published_html_document(articles).where("id = '42'").first()
+    doc = D.published_html_document(articles).where("title = 'Canteen menu'").first()
     assert doc["mime_type"] == "text/html"
-    assert base64.b64decode(doc["raw_bytes"], validate=True) == b"<p>Hi there</p>"
-    assert json.loads(doc["metadata"])["title"] == "Hello"
+    assert base64.b64decode(doc["raw_bytes"], validate=True) == b"<div>Soup &amp; bread</div>"
+    assert json.loads(doc["metadata"])["title"] == "Canteen menu"
 
 
 def test_long_html_is_one_base64_line(spark):
