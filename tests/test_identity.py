@@ -1,6 +1,7 @@
 import pytest
 
 from tidemark.operators import identity as I
+from tidemark.sources.identity_config import read_identity_config
 
 MAPPING = "external_identity string, target_user string, target_group string"
 
@@ -78,7 +79,13 @@ def test_nested_groups_with_a_cycle(spark):
     assert got == sorted(ring + [("side", "u2"), ("alone", "u3")])
 
 
-def test_nesting_bound_is_an_error(spark):
-    nested = spark.createDataFrame([(str(i), str(i + 1)) for i in range(6)], "parent string, child string")
-    with pytest.raises(ValueError, match="deeper"):
-        I.group_closure(nested, max_depth=3)
+def test_nesting_has_no_bound(spark):
+    nested = spark.createDataFrame([(str(i), str(i + 1)) for i in range(40)], "parent string, child string")
+    assert I.group_closure(nested).count() == 40 * 41 // 2
+
+
+def test_cut_off_config_is_an_error(spark, tmp_path):
+    path = tmp_path / "config.json"
+    path.write_text('{"groups": [{"databricks_group": "a", "google_group": "b@x"}, {"databr')
+    with pytest.raises(Exception, match="MALFORMED|malformed|FAILFAST"):
+        read_identity_config(spark, str(path)).groups.collect()

@@ -68,8 +68,12 @@ def test_files_and_rows_end_to_end(spark, tmp_path):
         os.utime(files / name, (1_700_000_000 + i, 1_700_000_000 + i))
     root, now = str(tmp_path / "state"), dt.datetime(2024, 1, 1)
 
+    current = {}
+
     def run(source, key, run_id):
-        return run_sync(spark, source, root, key, "incremental", run_id, now)
+        known = {"mirror": current[key].mirror(spark), "mark": current[key].watermark} if key in current else {}
+        current[key] = run_sync(spark, source, root, key, "incremental", run_id, now, **known)
+        return current[key]
 
     source = file_source(spark, str(files), ["readers"])
     first = run(source, "files", "r1")

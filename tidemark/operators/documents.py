@@ -46,12 +46,12 @@ def row_to_document(
     scheme: str = K.ROW_ID_SCHEME,
 ) -> DataFrame:
     """Table rows as plain-text documents. A metadata column named like a built-in
-    entry replaces it. Without a time in the watermark column ``updated_at`` is the query time."""
+    entry replaces it. Without a time in the watermark column ``updated_at`` is NULL, in the metadata too: a document never depends on when it is built."""
     pk = F.col(key).cast("string")
     if watermark_column and isinstance(rows.schema[watermark_column].dataType, (T.TimestampType, T.TimestampNTZType)):
-        updated = F.coalesce(F.col(watermark_column).cast("timestamp_ntz"), F.localtimestamp())
+        updated = F.col(watermark_column).cast("timestamp_ntz")
     else:
-        updated = F.localtimestamp()
+        updated = F.lit(None).cast("timestamp_ntz")
     entries = {
         "title": F.concat(F.lit(f"{table} row "), pk),
         "source": F.lit(K.ROW_SOURCE_TAG),

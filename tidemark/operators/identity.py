@@ -138,17 +138,16 @@ def stale_grants(stored: DataFrame, current: DataFrame) -> DataFrame:
     return mapping_diff(stored, current).where("change = 'remove'").drop("change")
 
 
-def group_closure(nested: DataFrame, max_depth: int = 32) -> DataFrame:
+def group_closure(nested: DataFrame) -> DataFrame:
     """(root, descendant) for groups nested in groups at any depth (an action per level).
 
     ``nested`` is (parent, child). Visited pairs are dropped each round, which ends
-    cycles; the bound only guards against endless data, and reaching it is an error.
-    Lineage is cut in the shared folder each round.
+    cycles and the loop: there are only so many pairs. Lineage is cut in the shared folder each round.
     """
     nested = nested.distinct()
     reached = cut_lineage(nested.select(F.col("parent").alias("root"), F.col("child").alias("descendant")))
     frontier = reached
-    for _ in range(max_depth):
+    while True:
         step = (
             frontier.join(nested, frontier["descendant"] == nested["parent"])
             .select("root", F.col("child").alias("descendant"))
@@ -158,8 +157,7 @@ def group_closure(nested: DataFrame, max_depth: int = 32) -> DataFrame:
         frontier = cut_lineage(step)
         if frontier.isEmpty():
             return reached
-        reached = reached.unionByName(frontier)
-    raise ValueError(f"groups are nested deeper than {max_depth} levels")
+        reached = cut_lineage(reached.unionByName(frontier))
 
 
 def flatten_groups(nested: DataFrame, members: DataFrame) -> DataFrame:

@@ -38,12 +38,17 @@ def table_source(
     metadata_columns: list[str] = (),
     watermark_column: str | None = None,
     reader_groups: list[str] = (),
+    overlap_seconds: int = 0,
 ) -> Source:
-    """Rows of a table; bodies are bytes, as for files, so both can share a target."""
+    """Rows of a table; bodies are bytes, as for files, so both can share a target.
+
+    ``overlap_seconds`` reads that much before the mark again, so that rows which were stamped earlier and committed late are not
+    missed; what did not change costs no request. With an overlap the mark itself is read too.
+    """
 
     def read(since: dt.datetime | None) -> DataFrame:
         scan = projected_scan(table, key, list(text_columns), list(metadata_columns), watermark_column)
-        rows = incremental_scan(scan, watermark_column, since)
+        rows = incremental_scan(scan, watermark_column, since, overlap_seconds > 0, overlap_seconds)
         documents = row_to_document(
             rows, catalog, schema, name, key, list(text_columns), list(metadata_columns), watermark_column, reader_groups
         )

@@ -1,9 +1,7 @@
-"""One sync run: read, diff against the mirror, stage the requests, commit.
+"""One sync run: read, diff against the mirror, stage the requests.
 
-Order of effects: staged documents, shards, purge requests and patches first, then
-the new mirror version, the audit row and, last, the watermark. A run that dies
-anywhere leaves the old mirror and the old watermark, and the same run id can be
-run again.
+The mirror and the watermark are inputs; a run writes the new ones whole below its own run folder and returns them. Which run is
+current is the caller's to keep, so a run that dies changes nothing, and the same run can be made again with the same inputs.
 """
 
 from __future__ import annotations
@@ -20,12 +18,15 @@ from tidemark.functions.access import access_key, principal_text
 from tidemark.operators import changes as C
 from tidemark.operators.documents import duplicate_ids
 from tidemark.sinks.batching import purge_requests
-from tidemark.sinks.shards import import_manifest, shard_files, write_jsonl
-from tidemark.sinks.tables import VersionedTable
+from tidemark.sinks.shards import import_manifest, write_bounded_shards
+
+HASHES = ["content_hash", "acl_hash"]
 
 
 @dataclass(frozen=True)
 class SyncResult:
+    """``watermark`` and ``mirror()`` are what the next run takes."""
+
     run_id: str
     mode: str
     counts: dict[str, int]
@@ -33,12 +34,15 @@ class SyncResult:
     watermark: dt.datetime | None
     folder: str
 
+    def mirror(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(f"{self.folder}/mirror")
 
-def state_of(documents: DataFrame) -> DataFrame:
-    """(id, content_hash, acl_hash): what the diff compares, without any body."""
+
+def with_hashes(documents: DataFrame) -> DataFrame:
+    """Documents with ``content_hash`` and ``acl_hash``, what the diff compares without any body."""
     body = F.sha2(F.col("body").cast("binary"), 256)
     content = F.sha2(F.to_json(F.struct("title", body.alias("body"), "mime_type", "metadata")), 256)
-    return documents.select("id", content.alias("content_hash"), access_key(F.col("principals")).alias("acl_hash"))
+    return documents.withColumns({"content_hash": content, "acl_hash": access_key(F.col("principals"))})
 
 
 def run_sync(
@@ -49,52 +53,46 @@ def run_sync(
     mode: str,
     run_id: str,
     synced_at: dt.datetime,
+    mirror: DataFrame | None = None,
+    mark: dt.datetime | None = None,
     deleted_ids: DataFrame | None = None,
     allow_empty: bool = False,
     docs_per_shard: int = K.DOCS_PER_SHARD,
+    bytes_per_shard: int = K.BYTES_PER_FILE,
 ) -> SyncResult:
-    """Sync one source. ``read_source(since)`` gives documents with id, title, body,
-    mime_type, metadata, updated_at and principals; ``deleted_ids`` (column ``id``)
-    are tombstones. ``root`` must be a folder all executors share."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")  # marks are UTC without zone
+    """Sync one source (an action). ``read_source(since)`` gives documents with id, title, body,
+    mime_type, metadata, updated_at and principals; ``mirror`` and ``mark`` are those of the current run, None on the first;
+    ``deleted_ids`` (column ``id``) are tombstones. ``root`` must be a folder all executors share.
+
+    The new mark is the newest ``updated_at`` read (NULL times count for nothing), never the clock. ``bytes_per_shard`` bounds the lines of a shard.
+    """
+    if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "Z"):
+        raise ValueError("set spark.sql.session.timeZone to UTC: marks are UTC without zone")
     home = f"{root.rstrip('/')}/{source_key}"
-    mirror_table = VersionedTable(spark, f"{home}/mirror", "id")
-    marks_table = VersionedTable(spark, f"{home}/watermark", "source_key")
     folder = f"{home}/runs/{run_id}"
+    reconcile, since = C.reconcile_mode(mode, mark if mirror is not None else None)
 
-    marks = marks_table.read()
-    mark = None if marks is None else marks.first()["watermark"]
-    reconcile, since = C.reconcile_mode(mode, mark)
-
-    if not mirror_table.has(run_id):  # else an earlier attempt got as far as the mirror
-        # The source is read once; every later step sees the same rows.
-        read_source(since).write.mode("overwrite").parquet(f"{folder}/documents")
-        documents = spark.read.parquet(f"{folder}/documents")
-        mirror = mirror_table.read()
-        _check(documents, mirror, reconcile, allow_empty)
-        difference = _difference(spark, documents, mirror, reconcile, deleted_ids, folder)
-        _stage(spark, documents, difference, mirror, folder, run_id, reconcile, docs_per_shard)
-        stamp = F.lit(synced_at).cast("timestamp_ntz")
-        mirror_table.write(run_id, _mirror_version(documents, difference, mirror, reconcile, stamp))
-        history = C.sync_history(difference, run_id, source_key, mode)
-        history.write.mode("overwrite").parquet(f"{home}/history/run={run_id}")
-        mirror_table.publish(run_id, "base" if reconcile == "FULL" else "delta")
-
+    # The source is read and hashed once; every later step sees the same rows, and only shards read bodies.
+    with_hashes(read_source(since)).write.mode("overwrite").parquet(f"{folder}/documents")
     documents = spark.read.parquet(f"{folder}/documents")
+    state = documents.select("id", *HASHES)
+    _check(documents, mirror, reconcile, allow_empty)
+    difference = _difference(spark, state, mirror, reconcile, deleted_ids, folder)
+    _stage(spark, documents, difference, mirror, folder, run_id, reconcile, docs_per_shard, bytes_per_shard)
+    stamp = F.lit(synced_at).cast("timestamp_ntz")
+    _next_mirror(state, difference, mirror, reconcile, stamp).write.mode("overwrite").parquet(f"{folder}/mirror")
+    C.sync_history(difference, run_id, source_key, mode).write.mode("overwrite").parquet(f"{home}/history/run={run_id}")
+
     newest = documents.select(F.max("updated_at").cast("timestamp_ntz").alias("newest")).first()["newest"]
     advanced = max((t for t in (newest, mark) if t is not None), default=None)
-    if advanced is not None:
-        one = spark.range(1).select(
-            F.lit(source_key).alias("source_key"), F.lit(advanced).cast("timestamp_ntz").alias("watermark")
-        )
-        marks_table.write(run_id, one)
-        marks_table.publish(run_id, "base")
-    counts = C.change_counts(spark.read.parquet(f"{folder}/diff")).first().asDict()
+    counts = C.change_counts(difference).first().asDict()
     requests = spark.read.parquet(f"{folder}/manifest").count()
     return SyncResult(run_id, reconcile, counts, requests, advanced, folder)
 
 
 def _check(documents, mirror, reconcile, allow_empty) -> None:
+    if not documents.where("id IS NULL").isEmpty():
+        raise ValueError("some documents have no id")
     if not duplicate_ids(documents).isEmpty():
         raise ValueError("some ids are produced more than once; see duplicate_ids")
     empty_snapshot = reconcile == "FULL" and documents.isEmpty()
@@ -102,9 +100,8 @@ def _check(documents, mirror, reconcile, allow_empty) -> None:
         raise ValueError("the snapshot is empty and would delete everything; pass allow_empty to mean it")
 
 
-def _difference(spark, documents, mirror, reconcile, deleted_ids, folder) -> DataFrame:
+def _difference(spark, state, mirror, reconcile, deleted_ids, folder) -> DataFrame:
     """(id, change), written once. An incremental run looks only at the ids it was given."""
-    state = state_of(documents)
     if mirror is None:
         difference = state.select("id", F.lit("insert").alias("change"))
     elif reconcile == "FULL":
@@ -120,33 +117,27 @@ def _difference(spark, documents, mirror, reconcile, deleted_ids, folder) -> Dat
     return spark.read.parquet(f"{folder}/diff")
 
 
-def _mirror_version(documents, difference, mirror, reconcile, stamp) -> DataFrame:
-    """The whole new mirror after a FULL run, only the touched rows after an incremental one."""
-    state = state_of(documents)
+def _next_mirror(state, difference, mirror, reconcile, stamp) -> DataFrame:
+    """The whole mirror after the run."""
     if mirror is None:
         return state.withColumn("last_synced", stamp)
     if reconcile == "FULL":
         return C.advance_mirror(state, mirror, stamp)
-    changed = difference.where("change in ('insert', 'update', 'acl')").select("id")
-    no_hash = F.lit(None).cast("string")
-    removed = difference.where("change = 'delete'").select(
-        "id", no_hash.alias("content_hash"), no_hash.alias("acl_hash"), stamp.alias("last_synced"), F.lit(True).alias("removed")
-    )
-    stamped = state.join(changed, "id", "left_semi").withColumn("last_synced", stamp)
-    return stamped.withColumn("removed", F.lit(False)).unionByName(removed)
+    touched = difference.where("change <> 'same'").select("id", "change")
+    fresh = state.join(touched.where("change <> 'delete'").select("id"), "id", "left_semi").withColumn("last_synced", stamp)
+    return mirror.select("id", *HASHES, "last_synced").join(touched.select("id"), "id", "left_anti").unionByName(fresh)
 
 
-def _stage(spark, documents, difference, mirror, folder, run_id, reconcile, docs_per_shard) -> None:
+def _stage(spark, documents, difference, mirror, folder, run_id, reconcile, docs_per_shard, bytes_per_shard) -> None:
     """Write shards, their manifest, access patches and purge requests.
 
-    On the first run every document goes out, so bodies are written without a join.
+    On the first run every document goes out, so bodies are not joined to the difference.
     """
     batch = documents if mirror is None else C.import_batch(difference, documents).drop("change")
-    write_jsonl(batch, f"{folder}/shards", docs_per_shard)
+    shards = write_bounded_shards(spark, batch, f"{folder}/shards", docs_per_shard, bytes_per_shard)
     readers = principal_text(F.col("principals")).alias("readers")
     patches = C.acl_only(difference).join(documents.select("id", readers), "id").select("id", "readers")
     patches.write.mode("overwrite").json(f"{folder}/patches")
     gone = difference.where("change = 'delete'").select("id")
     purge_requests(gone, "id").write.mode("overwrite").json(f"{folder}/purges")
-    manifest = import_manifest(shard_files(spark, f"{folder}/shards"), run_id, reconcile)
-    manifest.write.mode("overwrite").parquet(f"{folder}/manifest")
+    import_manifest(shards, run_id, reconcile).write.mode("overwrite").parquet(f"{folder}/manifest")

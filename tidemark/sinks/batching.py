@@ -62,13 +62,14 @@ def size_bounded_batches(
 ) -> DataFrame:
     """Adds ``batch`` such that no batch passes ``max_rows`` rows or ``max_bytes`` bytes.
 
-    A row over half the byte limit gets a batch of its own (``solo``). The others
+    A row over half the byte limit gets a batch of its own (``solo``); ``oversize`` marks a row that is over the limit by itself. The others
     are cut where the running start crosses a multiple of half the limit: what
     starts in one slot plus the last row's length stays within the limit. Row and
     byte slots both only grow, so their sum names each pair once.
     """
     half = max_bytes // 2
     sized = rows.withColumn("bytes", size.cast("bigint")).withColumn("solo", F.col("bytes") > half)
+    sized = sized.withColumn("oversize", F.col("bytes") > max_bytes)
     small = F.when(F.col("solo"), 0).otherwise(F.col("bytes"))
     placed = dense_index(sized, key, small)
     slot = F.expr(f"start div {half} + idx div {max_rows}")

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.constants import DOCS_PER_SHARD, FILES_PER_REQUEST
+from tidemark.constants import BYTES_PER_FILE, DOCS_PER_SHARD, FILES_PER_REQUEST
 from tidemark.functions.payload import IMPORT_SCHEMA, import_line, read_principals
-from tidemark.sinks.batching import dense_index
+from tidemark.sinks.batching import dense_index, size_bounded_batches
 
 
 def write_jsonl(documents: DataFrame, folder: str, per_file: int = DOCS_PER_SHARD, body: str = "body") -> None:
@@ -19,6 +19,34 @@ def write_jsonl(documents: DataFrame, folder: str, per_file: int = DOCS_PER_SHAR
     lines.write.mode("overwrite").option("maxRecordsPerFile", per_file).text(folder)
 
 
+def write_bounded_shards(
+    spark: SparkSession, documents: DataFrame, folder: str, per_file: int = DOCS_PER_SHARD, bytes_per_file: int = BYTES_PER_FILE
+) -> DataFrame:
+    """Import lines in files of at most ``per_file`` lines and ``bytes_per_file`` bytes (an action); the files as (uri, docs).
+
+    Lines are written once; their ids and lengths alone are numbered into batches, and each batch becomes a file. A line over the limit by
+    itself is an error, found before any shard is written. File names come from a listing that opens no file.
+    """
+    lines = documents.select("id", import_line(F.col("body")).alias("value"))
+    lines.withColumn("bytes", F.octet_length("value") + 1).write.mode("overwrite").parquet(f"{folder}-lines")
+    lines = spark.read.parquet(f"{folder}-lines")
+    placed = size_bounded_batches(lines.select("id", "bytes"), "id", F.col("bytes"), per_file, bytes_per_file)
+    name = F.when(F.col("solo"), F.concat(F.lit("s"), F.md5("id"))).otherwise(F.concat(F.lit("b"), F.col("batch").cast("string")))
+    placed.select("id", "bytes", name.alias("shard"), "oversize").write.mode("overwrite").parquet(f"{folder}-placed")
+    placed = spark.read.parquet(f"{folder}-placed")
+    over = [r["id"] for r in placed.where("oversize").select("id").take(5)]
+    if over:
+        raise ValueError(f"documents longer than a file may be: {over}")
+    dealt = lines.select("id", "value").join(placed.select("id", "shard"), "id").repartition("shard")
+    dealt.select("shard", "value").write.mode("overwrite").partitionBy("shard").text(folder)
+    counts = placed.groupBy("shard").agg(F.count("*").alias("docs"))
+    if counts.isEmpty():
+        return counts.select(F.col("shard").alias("uri"), "docs")
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").load(folder)
+    files = listed.select(F.col("path").alias("uri"), F.regexp_extract("path", "/shard=([^/]+)/", 1).alias("shard"))
+    return files.join(counts, "shard").select("uri", "docs")
+
+
 def read_jsonl(spark: SparkSession, folder: str) -> DataFrame:
     """Written shards as documents again."""
     lines = spark.read.schema(IMPORT_SCHEMA).json(folder)

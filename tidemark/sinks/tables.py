@@ -1,15 +1,8 @@
-"""State tables on plain Parquet with a publish step.
-
-A version is written to its own folder and becomes current when its marker
-file appears. Losing executors or the whole run before that leaves the
-old version and the old watermark in place.
-"""
+"""The event log on plain Parquet."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -21,63 +14,3 @@ def append_events(events: DataFrame, folder: str, when: str) -> None:
     """
     dated = events.withColumn("event_date", F.date_format(when, "yyyy-MM-dd"))
     dated.hint("rebalance", "event_date").write.mode("append").partitionBy("event_date").parquet(folder)
-
-
-class VersionedTable:
-    """Rows keyed by ``key``, kept as a base and the deltas published after it.
-
-    A base holds everything; a delta holds only the rows an incremental run changed,
-    with ``removed`` set for rows that left. A run therefore writes what it changed,
-    not the table. Versions live in ``root/v=<run>``; empty marker files in
-    ``root/_published`` name them in order.
-    """
-
-    def __init__(self, spark: SparkSession, root: str, key: str):
-        self.spark, self.root, self.key = spark, root.rstrip("/"), key
-        self._path = spark._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def published(self) -> list[tuple[str, str]]:
-        """(kind, run) of each published version, oldest first."""
-        folder = self._path(f"{self.root}/_published")
-        if not self._fs.exists(folder):
-            return []
-        names = sorted(s.getPath().getName() for s in self._fs.listStatus(folder))
-        return [tuple(n.split("-", 2)[1:]) for n in names if n[0].isdigit()]
-
-    def has(self, run: str) -> bool:
-        return any(r == run for _, r in self.published())
-
-    def read(self) -> DataFrame | None:
-        """The current rows. Deltas are reduced to one row per key first; while they
-        are small the base is filtered in place and not shuffled."""
-        versions = self.published()
-        if not versions:
-            return None
-        start = max(i for i, (kind, _) in enumerate(versions) if kind == "base")
-        runs = [run for _, run in versions[start:]]
-        base = self.spark.read.parquet(f"{self.root}/v={runs[0]}").drop("removed")
-        if len(runs) == 1:
-            return base
-        parts = [
-            self.spark.read.parquet(f"{self.root}/v={run}").withColumn("seq", F.lit(n)) for n, run in enumerate(runs[1:])
-        ]
-        rest = [c for c in parts[0].columns if c not in (self.key, "seq")]
-        newest = reduce(DataFrame.unionByName, parts).groupBy(self.key).agg(F.max_by(F.struct(*rest), "seq").alias("r"))
-        newest = newest.select(self.key, "r.*")
-        kept = base.join(newest.select(self.key), self.key, "left_anti")
-        return kept.unionByName(newest.where(~F.col("removed")).drop("removed"))
-
-    def write(self, run: str, rows: DataFrame) -> None:
-        """Write a version without publishing it (an action). A retry replaces its own files."""
-        if "removed" not in rows.columns:
-            rows = rows.withColumn("removed", F.lit(False))
-        rows.write.mode("overwrite").parquet(f"{self.root}/v={run}")
-
-    def publish(self, run: str, kind: str) -> None:
-        """Make a written version current, as ``base`` or ``delta``. A run is published once."""
-        if self.has(run):
-            return
-        marker = f"{self.root}/_published/{len(self.published()):010d}-{kind}-{run}"
-        if not self._fs.createNewFile(self._path(marker)):
-            raise RuntimeError(f"another run published {marker} at the same time")

@@ -11,7 +11,7 @@ ARTICLE = "struct<id:bigint,title:string,body_html:string,url:string,author:stri
 def read_feed(spark: SparkSession, path: str, row: str = ARTICLE) -> DataFrame:
     """One row per record from pages that keep their records under ``articles``,
     ``items``, ``result`` or ``d.results``. ``row`` is the record type; it is given,
-    so nothing is read twice to infer it, and fields outside it are not parsed."""
+    so nothing is read twice to infer it, and fields outside it are not parsed. A broken page is an error, not fewer records."""
     schema = f"articles array<{row}>, items array<{row}>, result array<{row}>, d struct<results:array<{row}>>"
-    pages = spark.read.schema(schema).json(path)
+    pages = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
     return pages.select(F.explode(F.coalesce("articles", "items", "result", "d.results")).alias("a")).select("a.*")

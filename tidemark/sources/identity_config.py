@@ -29,7 +29,7 @@ class IdentityConfig:
 
 
 def read_identity_config(spark: SparkSession, path: str) -> IdentityConfig:
-    config = spark.read.schema(_SCHEMA).option("multiLine", True).json(path)
+    config = spark.read.schema(_SCHEMA).option("multiLine", True).option("mode", "FAILFAST").json(path)
     groups = config.select(F.explode("groups").alias("g")).select(
         F.col(f"g.{K.CONFIG_GROUP}").alias("group_name"),
         F.col(f"g.{K.CONFIG_TARGET_GROUP}").alias("target_group"),
