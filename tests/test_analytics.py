@@ -1,4 +1,5 @@
 import datetime as dt
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
@@ -69,8 +70,15 @@ def test_metrics(star):
 def test_rollup_levels(star):
     got = sorted((r["level"], r["segment"] or "", r["total_orders"]) for r in M.metric_rollup(star, ["order count"], ["segment", "region"]).collect())
     assert got == [(0, "s1", 2), (0, "s2", 1), (1, "s1", 2), (1, "s2", 1), (3, "", 3)]
-    with pytest.raises(ValueError):
-        M.metric_rollup(star, ["order count"], ["sku"])
+    products = M.metric_rollup(star, ["order count", "units"], ["sku"])
+    assert [tuple(r) for r in products.where("level = 1").select("total_orders", "units_sold").collect()] == [(3, 95)]
+
+
+def test_lines_without_an_order_are_no_order(star):
+    first = star.lines.schema["order_id"]
+    lost = star.lines.limit(1).withColumn("order_id", F.lit(None).cast(first.dataType))
+    more = replace(star, lines=star.lines.unionByName(lost))
+    assert M.metrics_by_dimension(more, ["order count"], []).first()[0] == 3
 
 
 def test_unknown_word():

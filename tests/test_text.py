@@ -93,12 +93,13 @@ def test_first_filled(spark):
     assert got == ["id", "n", "t"]
 
 
-def test_file_ids_collide_and_are_cut(spark):
+def test_file_ids_are_short_and_tell_paths_apart(spark):
     def make(c):
         return X.file_document_id("f", c)
 
-    assert one(spark, "/a/b", make) == one(spark, "/a_b", make) == "f:_a_b"
-    assert len(one(spark, "x" * 3000, make)) == 1024
+    assert one(spark, "/a/b", make) == "f:_a_b" and one(spark, "/a_b", make).startswith("f:_a_b_")
+    cut = [one(spark, "x" * 3000 + end, make) for end in "ab"]
+    assert [len(i) for i in cut] == [1024, 1024] and cut[0] != cut[1]
 
 
 def test_mime(spark):

@@ -133,7 +133,11 @@ def first_filled(*values: Column) -> Column:
 
 
 def file_document_id(scheme: str, path: Column) -> Column:
-    return F.substring(F.translate(F.concat(F.lit(scheme + ":"), path), "/", "_"), 1, ID_MAX_CHARS)
+    """The path with ``/`` as ``_``. Where that is longer than an id may be, or the path holds ``_`` itself, the
+    id ends with a hash of the whole path, so that different paths never share one."""
+    plain = F.translate(F.concat(F.lit(scheme + ":"), path), "/", "_")
+    hashed = F.concat(F.substring(plain, 1, ID_MAX_CHARS - 33), F.lit("_"), F.md5(path.cast("binary")))
+    return F.when((F.length(plain) > ID_MAX_CHARS) | path.contains("_"), hashed).otherwise(plain)
 
 
 def parse_mixed_date(value: Column) -> Column:

@@ -39,6 +39,8 @@ class Star:
     products: DataFrame
     dates: DataFrame
     minor_digits: int = 0
+    narrowed: bool = False
+    """Whether ``orders`` was filtered: then lines of other orders go before anything is summed."""
 
 
 def fact_columns(lines: DataFrame) -> DataFrame:
@@ -87,6 +89,8 @@ def per_order(star: Star, dimensions: list[str]) -> DataFrame:
     """One row per order and requested product attribute, with all requested dimensions."""
     by_product = [d for d in dimensions if d in PRODUCT_DIMENSIONS]
     lines = star.lines
+    if star.narrowed:
+        lines = lines.join(star.orders.select("order_id"), "order_id", "left_semi")
     if by_product:
         lines = lines.join(star.products.select("product_id", *by_product), "product_id")
     facts = lines.groupBy("order_id", *by_product).agg(
@@ -129,7 +133,7 @@ def metrics_by_dimension(star: Star, metrics: list[str], dimensions: list[str])
     """Any metrics by any dimensions; both may be given as business words."""
     metrics, dimensions = [resolve_term(m) for m in metrics], [resolve_term(d) for d in dimensions]
     facts = per_order(star, dimensions)
-    orders = F.count("*")  # one row per order and product attributes, all of which are grouped on
+    orders = F.count("order_id")  # one row per order and product attributes, all of which are grouped on
     return facts.groupBy(*dimensions).agg(*_measures(metrics, orders, star.minor_digits))
 
 
@@ -145,12 +149,14 @@ def year_over_year(yearly: DataFrame, year: str, value: str, by: list[str]) -> D
 def metric_rollup(star: Star, metrics: list[str], dimensions: list[str]) -> DataFrame:
     """Subtotals from the most detailed level up to the grand total.
 
-    Customer and date dimensions only: there one row is one order at every level.
-    The detailed level is aggregated first and its few rows are rolled up.
+    With customer and date dimensions one row is one order at every level: the detailed level is aggregated first and its few
+    rows are rolled up. An order can span products, so with a product dimension orders are counted distinct at each level.
     """
     metrics, dimensions = [resolve_term(m) for m in metrics], [resolve_term(d) for d in dimensions]
+    level = F.grouping_id().cast("bigint").alias("level")
     if set(dimensions) & set(PRODUCT_DIMENSIONS):
-        raise ValueError("an order can span products; roll up customer and date dimensions")
+        facts = per_order(star, dimensions)
+        return facts.rollup(*dimensions).agg(level, *_measures(metrics, F.count_distinct("order_id"), star.minor_digits))
     wide = "decimal(28,0)" if star.minor_digits else "decimal(38,6)"
     detail = (
         per_order(star, dimensions)
@@ -159,8 +165,7 @@ def metric_rollup(star: Star, metrics: list[str], dimensions: list[str]) -> Data
             F.sum(F.col("net").cast(wide)).alias("net"),
             F.sum(F.col("gross").cast(wide)).alias("gross"),
             F.sum("units").alias("units"),
-            F.count("*").alias("orders"),
+            F.count("order_id").alias("orders"),
         )
     )
-    level = F.grouping_id().cast("bigint").alias("level")
     return detail.rollup(*dimensions).agg(level, *_measures(metrics, F.sum("orders"), star.minor_digits))

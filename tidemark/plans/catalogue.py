@@ -5,6 +5,7 @@ from tidemark.plans import (  # noqa: F401
     catalog,
     documents,
     identity,
+    jobs,
     metrics,
     retrieval,
     sinks,

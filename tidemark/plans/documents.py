@@ -63,7 +63,7 @@ def row_to_document(spark, sf):
     "file_to_document",
     X.sql_with(
         "files",
-        """SELECT left(replace('databricks_volume:' || path, '/', '_'), 1024) AS id, name AS title,
+        """SELECT CASE WHEN length('databricks_volume:' || path) > 1024 OR contains(path, '_') THEN left(replace('databricks_volume:' || path, '/', '_'), 991) || '_' || md5(path) ELSE replace('databricks_volume:' || path, '/', '_') END AS id, name AS title,
 CAST(json_object('title', name, 'source', 'databricks_uc_volume', 'volume_path', path,
   'updated_at', strftime(updated_at, '%Y-%m-%dT%H:%M:%S+00:00')) AS VARCHAR) AS metadata,
 'group:external_group:docs_readers' AS readers FROM files""",
@@ -304,7 +304,7 @@ def decode_attachment_query(spark, sf):
     """Half the bodies arrive gzipped; decoding gives every text back."""
     raw = F.encode("text", "UTF-8")
     sent = F.base64(F.when(F.col("doc_id") % 2 == 0, _zip(raw)).otherwise(raw))
-    attachments = X.text_table(spark, sf, "documents").select("doc_id", sent.alias("content"))
+    attachments = X.table(spark, sf, "documents").select("doc_id", sent.alias("content"))
     return attachments.select("doc_id", F.decode(decode_attachment(F.col("content")), "UTF-8").alias("text"))
 
 

@@ -111,7 +111,7 @@ def last_quarter_revenue(spark, sf):
     orders = star.orders.where(
         (F.col("order_date") >= F.add_months(this_quarter, -3)) & (F.col("order_date") < this_quarter)
     )
-    narrowed = replace(star, orders=orders)
+    narrowed = replace(star, orders=orders, narrowed=True)
     return M.metrics_by_dimension(narrowed, ["revenue"], ["region"])
 
 
@@ -134,3 +134,12 @@ def year_over_year(spark, sf):
 )
 def metric_rollup(spark, sf):
     return M.metric_rollup(X.star(spark, sf), ["revenue", "order count", "units", "AOV"], ["tier", "geo"])
+
+
+@_q(
+    "metric_rollup_products",
+    "star",
+    f"SELECT category, region, CAST(grouping_id(category, region) AS BIGINT) AS level, {NET}, {ORDERS}, {UNITS}, {AOV} FROM star GROUP BY ROLLUP (category, region)",
+)
+def metric_rollup_products(spark, sf):
+    return M.metric_rollup(X.star(spark, sf), ["revenue", "order count", "units", "AOV"], ["category", "geo"])

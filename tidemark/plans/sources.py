@@ -99,7 +99,7 @@ def active_category_filter(spark, sf):
     "multi_source_union",
     X.sql_with(
         "files",
-        """SELECT left(replace('databricks_volume:' || path, '/', '_'), 1024) AS id, name AS title, NULL AS primary_key FROM files
+        """SELECT CASE WHEN length('databricks_volume:' || path) > 1024 OR contains(path, '_') THEN left(replace('databricks_volume:' || path, '/', '_'), 991) || '_' || md5(path) ELSE replace('databricks_volume:' || path, '/', '_') END AS id, name AS title, NULL AS primary_key FROM files
 UNION ALL SELECT 'databricks_row:main.sales.customer:' || c_custkey, 'customer row ' || c_custkey, CAST(c_custkey AS VARCHAR) FROM customer""",
     ),
 )

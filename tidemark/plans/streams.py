@@ -29,6 +29,11 @@ def _land(spark, arrivals):
     return folder
 
 
+def _land_shuffled(rows, folder):
+    """One arrival as six files, each with rows of all its times."""
+    rows.repartition(6).write.mode("append").parquet(folder)
+
+
 def _events(spark, sf):
     return X.ev(spark, sf).select("id", "ts", "event_id", "op", "content_hash", "acl_hash")
 
@@ -75,10 +80,11 @@ def stream_redelivery_dedup(spark, sf):
     """The second arrival repeats the first one whole."""
     events = X.table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts")
     first, second, third = (_slice(events, s) for s in SLICES)
-    folder = _land(spark, [first, union_sources(first, second), third])
-    sink, checkpoint = run_folder(spark, "once"), run_folder(spark, "checkpoint")
-    stream = J.read_landed(spark, folder, events.schema).withColumn("at", F.col("ts").cast("timestamp"))
-    J.drop_redelivered(stream, "event_id", "at", "60 days", sink, checkpoint)
+    folder, sink, checkpoint = (run_folder(spark, x) for x in ("landing", "once", "checkpoint"))
+    for arrival in (first, union_sources(first, second), third):
+        _land_shuffled(arrival, folder)
+        stream = J.read_landed(spark, folder, events.schema).withColumn("at", F.col("ts").cast("timestamp"))
+        J.drop_redelivered(stream, "event_id", "at", "15 days", sink, checkpoint)
     return spark.read.parquet(sink).select("event_id", "user_id", "event_type")
 
 
@@ -93,8 +99,9 @@ WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM ev) - INT
 def stream_change_counts(spark, sf):
     """Hourly counts of the windows that a one-day delay has closed."""
     events = _events(spark, sf)
-    folder = _land(spark, [_slice(events, s) for s in SLICES])
-    sink, checkpoint = run_folder(spark, "windows"), run_folder(spark, "checkpoint")
-    stream = J.read_landed(spark, folder, events.schema, files_per_batch=1).withColumn("at", F.col("ts").cast("timestamp"))
-    J.windowed_counts(stream, "at", "op", "1 hour", "1 day", sink, checkpoint)
+    folder, sink, checkpoint = (run_folder(spark, x) for x in ("landing", "windows", "checkpoint"))
+    for bounds in SLICES:
+        _land_shuffled(_slice(events, bounds), folder)
+        stream = J.read_landed(spark, folder, events.schema).withColumn("at", F.col("ts").cast("timestamp"))
+        J.windowed_counts(stream, "at", "op", "1 hour", "1 day", sink, checkpoint)
     return spark.read.parquet(sink).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "op", "changes")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -29,13 +30,14 @@ def local_session(cpus: int | str = "*", **conf: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Unset on a local master: a fresh folder under /tmp. Unset on a cluster: an
-    error, because a driver-local folder would lose data with its executor.
+    Unset on a master that is one process (``local``, ``local[n]``), where every folder is shared: a fresh
+    folder under /tmp. Unset anywhere else, ``local-cluster`` included: an error, because a
+    driver-local folder would lose data with its executor.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(folder)
@@ -47,16 +49,6 @@ def run_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/tidemark/{purpose}-{uuid.uuid4().hex}"
 
 
-def spread(df, key: str):
-    """Use all cores on a source that arrives in fewer splits than there are cores.
-
-    A plan-time look at the number of splits; a table with more splits than cores,
-    as any big one has, is returned as it is and nothing is shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def cut_lineage(df):
     """Write ``df`` as a table in the shared folder and read it back (an action).
 
