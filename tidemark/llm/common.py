@@ -45,13 +45,13 @@ def blocks(batch: pa.RecordBatch, limit: int = BLOCK_CHARS) -> Iterator[tuple[li
         yield keys[begin:], values.slice(begin).to_pylist()
 
 
-def map_texts(docs: DataFrame, run: Callable[[list, list[str]], dict[str, list]], schema: str) -> DataFrame:
+def map_texts(docs: DataFrame, run: Callable[[list, list[str]], dict[str, list]], schema: str, limit: int = BLOCK_CHARS) -> DataFrame:
     """Apply ``run(ids, texts) -> columns`` to all texts, block by block, without a shuffle."""
     target = to_arrow_schema(StructType.fromDDL(schema))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, values in blocks(batch):
+            for ids, values in blocks(batch, limit):
                 columns = run(ids, values)
                 yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in target], schema=target)
 
@@ -62,3 +62,18 @@ def span_list(kinds_first: list[str], spans: list[tuple[str, int, int]]) -> str:
     """``kind:start:end`` by start, then kind as listed, comma-joined."""
     place = {k: i for i, k in enumerate(kinds_first)}
     return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(spans, key=lambda s: (s[1], place[s[0]], s[2])))
+
+
+def filter_texts(docs: DataFrame, keep: Callable[[list[str]], list[bool]]) -> DataFrame:
+    """The rows whose text ``keep`` says to keep, with all columns as they are, block by block, without a shuffle."""
+    place = docs.columns.index("text")
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(place)
+            numbered = pa.RecordBatch.from_arrays([pa.array(range(batch.num_rows)), column.fill_null("")], names=["row", "text"])
+            for rows, values in blocks(numbered):
+                if rows:
+                    yield batch.slice(rows[0], len(rows)).filter(pa.array(keep(values), pa.bool_()))
+
+    return docs.mapInArrow(task, docs.schema)

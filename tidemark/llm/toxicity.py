@@ -16,13 +16,15 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fold, map_texts
+from tidemark.llm.common import filter_texts, fold, map_texts
 from tidemark.llm.crf import Chain, fit, logistic, marginals
 
 #: Labelled documents used to fit at most, taken by the hash of their id.
 FIT_DOCUMENTS = 6000
+#: The field is fitted to the marked words of these documents with so many words on each side; scoring runs over all words.
+CONTEXT = 8
 #: Longer documents are not used to fit (their one label says little about so many tokens); all are scored.
-FIT_CHARS = 10_000
+FIT_CHARS = 100_000
 FOLDS, HELD_OUT = 4, 2
 #: Words kept in the lexicon at most, by strength.
 LEXICON = 4000
@@ -31,8 +33,10 @@ TOKEN = re.compile(r"[^\W\d_]+")
 BEGINNINGS = (8, 7, 6, 5)
 #: Distinct words whose class a task remembers.
 REMEMBERED = 500_000
-#: Token classes: 0 unlisted, then from 2 one class per marked word or beginning (1 is free).
+#: Token classes: 0 unlisted, 1 free, then one for each marked word or beginning.
 UNLISTED = 0
+#: Marginals below this say nothing about a document.
+FLOOR = 1e-3
 
 
 class Kinds(dict):
@@ -98,15 +102,15 @@ def lexicon(counts: list[tuple[str, int, int]], n_toxic: int, n_other: int) -> d
     return {w: 2 + i for i, (_, w) in enumerate(sorted(found)[:LEXICON])}
 
 
-def _document_numbers(p: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Per document: 1, the log odds of its largest marginal, and the log of its expected toxic tokens."""
-    top, total = np.full(len(sizes), 1e-6), np.zeros(len(sizes))
+def _document_numbers(p: np.ndarray, begin: np.ndarray, sizes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Per document: 1, the log odds of its largest marginal, the logs of its expected toxic tokens and of all its tokens."""
+    top, total = np.full(len(sizes), FLOOR), np.zeros(len(sizes))
     has = sizes > 0
     if has.any():
-        q = np.clip(p, 1e-6, 1 - 1e-6)
+        q = np.clip(p, FLOOR, 1 - 1e-6)
         top[has] = np.maximum.reduceat(q, begin[has])
         total[has] = np.add.reduceat(np.where(q >= 0.05, q, 0.0), begin[has])
-    return np.stack([np.ones(len(sizes)), np.log(top / (1 - top)), np.log1p(total)], axis=1)
+    return np.stack([np.ones(len(sizes)), np.log(top / (1 - top)), np.log1p(total), np.log1p(lengths)], axis=1)
 
 
 def _stream(each: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -136,20 +140,38 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_documents: int = FIT_DO
 
     def classed(ids: list, texts: list[str]) -> dict[str, list]:
         kind = Kinds(marked)
-        return {"doc_id": ids, "kinds": [[kind[w] for w in tokens(t)] for t in texts]}
+        each = [[kind[w] for w in tokens(t)] for t in texts]
+        return {"doc_id": ids, "n_tokens": list(map(len, each)), "parts": list(map(_surroundings, each))}
 
-    found = map_texts(picked, classed, "doc_id long, kinds array<int>").orderBy("doc_id").collect()
+    found = map_texts(picked, classed, "doc_id long, n_tokens int, parts array<array<int>>").orderBy("doc_id").collect()
     if not found:
-        return ToxicityModel({}, 2, np.zeros(11), Chain(np.zeros((2, 2)), np.zeros(2)), np.zeros(3))
-    kinds, first, begin, sizes = _stream([np.array(r.kinds, int) for r in found])
+        return ToxicityModel({}, 2, np.zeros(11), Chain(np.zeros((2, 2)), np.zeros(2)), np.zeros(4))
+    kinds, first, _, _ = _stream([np.array(part, int) for r in found for part in r.parts])
+    sizes = np.array([sum(map(len, r.parts)) for r in found])
+    begin = np.cumsum(sizes) - sizes
     y = np.array([chosen[r.doc_id] for r in found])
     token_label = (np.repeat(y, sizes) == 1) & (kinds >= 2)
-    model = ToxicityModel(marked, n_classes, np.zeros(0), Chain(np.zeros((2, 2)), np.zeros(2)), np.zeros(3))
+    model = ToxicityModel(marked, n_classes, np.zeros(0), Chain(np.zeros((2, 2)), np.zeros(2)), np.zeros(4))
     model.weights, model.chain = fit(model.slots(kinds, first), 1 + n_classes + 8, first, token_label, rounds=rounds, l2=1e-6)
-    model.final = logistic(_document_numbers(model.tagged(kinds, first), begin, sizes), y)
+    model.final = logistic(_document_numbers(model.tagged(kinds, first), begin, sizes, np.array([r.n_tokens for r in found])), y)
     return model
 
 
+def _surroundings(kinds: list[int]) -> list[list[int]]:
+    """The parts of a document within ``CONTEXT`` words of a marked one."""
+    out: list[list[int]] = []
+    done = 0
+    for i, k in enumerate(kinds):
+        if k >= 2:
+            a, b = max(done, i - CONTEXT), min(len(kinds), i + CONTEXT + 1)
+            if out and a == done:
+                out[-1].extend(kinds[a:b])
+            else:
+                out.append(kinds[a:b])
+            done = b
+    return out
+
+
 def _vocabularies(ids: list, texts: list[str]) -> dict[str, list]:
     return {"doc_id": ids, "words": [sorted(keys_of(t)) for t in texts]}
 
@@ -165,16 +187,26 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, span_at: float = 0.5)
     state: dict[str, Kinds] = {}
 
     def run(ids: list, texts: list[str]) -> dict[str, list]:
-        kind = state.setdefault("kinds", Kinds(model.classes))
-        each = [np.array([kind[w] for w in tokens(t)], int) for t in texts]
-        kinds, first, begin, sizes = _stream(each)
-        p = model.tagged(kinds, first)
-        score = 1 / (1 + np.exp(-np.clip(_document_numbers(p, begin, sizes) @ model.final, -30, 30)))
+        score, sizes, begin, p = _judge(model, state, texts)
         return {"doc_id": ids, "score": score, "n_tokens": sizes, "spans": [_spans(t, p[a : a + n] >= span_at) for t, a, n in zip(texts, begin, sizes)]}
 
     return map_texts(docs, run, "doc_id long, score double, n_tokens int, spans array<struct<start:int,stop:int>>")
 
 
+def drop_toxic(docs: DataFrame, model: ToxicityModel, reject_at: float) -> DataFrame:
+    """The rows of ``docs`` whose score is below ``reject_at``, with all their columns."""
+    state: dict[str, Kinds] = {}
+    return filter_texts(docs, lambda texts: (_judge(model, state, texts)[0] < reject_at).tolist())
+
+
+def _judge(model: ToxicityModel, state: dict, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Score and number of tokens per text, where its tokens begin, and the marginals of all tokens."""
+    kind = state.setdefault("kinds", Kinds(model.classes))
+    kinds, first, begin, sizes = _stream([np.array([kind[w] for w in tokens(t)], int) for t in texts])
+    p = model.tagged(kinds, first)
+    return 1 / (1 + np.exp(-np.clip(_document_numbers(p, begin, sizes, sizes) @ model.final, -30, 30))), sizes, begin, p
+
+
 def _spans(text: str, hit: np.ndarray) -> list[dict[str, int]]:
     """Offsets in the text as given; lower-casing may change lengths, so tokens are found in a like-for-like way."""
     if not hit.any():
