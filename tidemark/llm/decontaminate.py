@@ -14,7 +14,7 @@ import ahocorasick
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_texts
+from tidemark.llm.common import filter_texts, map_texts
 
 #: One edit is allowed for so many characters of an item.
 CHARS_PER_ERROR = 16
@@ -130,3 +130,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         hits = map_texts(docs, run, SCHEMA).filter(F.size("hits") > 0).select("doc_id", F.inline("hits"))
         out = hits if out is None else out.unionByName(hits)
     return out
+
+
+def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without an occurrence of any item, with all their columns."""
+    for items in item_blocks(benchmark):
+        state: dict[str, Index] = {}
+
+        def keep(texts: list[str], items=items, state=state) -> list[bool]:
+            index = state.get("index") or state.setdefault("index", Index(items))
+            return [not index.search(normal(t)) for t in texts]
+
+        docs = filter_texts(docs, keep)
+    return docs

@@ -57,7 +57,7 @@ def find_components(rows: DataFrame, items: DataFrame, test: Callable[[str, str]
 
     ``rows``: distinct (``key``, ``id``). ``items``: ``id`` and what the cheap necessary condition ``test("a", "b")`` needs, its columns named ``*_a`` and
     ``*_b`` there. ``verify`` gets distinct pairs (``a``, ``b``) and returns the linked ones. ``search`` may replace the pairing of the
-    second step: it gets ``key, id, root, hub_root`` and the items' columns, for keys that still hold several groups.
+    second step: it gets ``key, id, root, hub_root`` for keys that still hold several groups.
     """
     keys = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("hub")).filter("n > 1")
     shared = cut_lineage(rows.join(keys.select("key", "hub"), "key"))
@@ -67,11 +67,11 @@ def find_components(rows: DataFrame, items: DataFrame, test: Callable[[str, str]
     roots = cut_lineage(components(edges))
     placed = cut_lineage(_rooted(_rooted(shared, roots, "id", "root"), roots, "hub", "hub_root").drop("hub"))
     mixed = placed.filter("root <> hub_root").select("key").distinct()
-    apart = placed.join(mixed, "key", "left_semi").join(items, "id")
+    apart = cut_lineage(placed.join(mixed, "key", "left_semi"))
     if search:
-        pairs = search(cut_lineage(apart))
+        pairs = search(apart)
     else:
-        apart = cut_lineage(apart)
+        apart = apart.join(items, "id")
         one = _sided(apart.filter("root <> hub_root"), "a")
         two = _sided(apart.drop("hub_root"), "b").withColumnRenamed("key_b", "key_a")
         # a pair of two items that are both apart from the hub is met from both sides: keep one of them

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, jaccard, licenses, packing, pii, quality, rules, secrets, toxicity
+from tidemark.llm import decontaminate, jaccard, licenses, line_dedup, packing, pii, quality, rules, secrets, toxicity
 from tidemark.llm.common import fold, table
 from tidemark.session import cut_lineage
 
@@ -39,6 +39,14 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _predicted(scored, quality.FOLDS, quality.HELD_OUT)
 
 
+@query("op2_fuzzy_line_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    gone = line_dedup.removed_lines(docs).groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("lines"))
+    found = docs.select("doc_id", F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("n_lines")).join(gone, "doc_id", "left")
+    return found.select("doc_id", "n_lines", F.coalesce(F.size("lines"), F.lit(0)).alias("n_removed"), F.coalesce(F.array_join("lines", ","), F.lit("")).alias("lines_removed"))
+
+
 @query("op3_toxicity_crf")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
