@@ -27,9 +27,10 @@ from tidemark.session import cut_lineage
 WIDTH = 5
 #: A link needs 100 * intersection >= PERCENT * union.
 PERCENT = 75
-GROUPS = 16
-#: A shingle counts as frequent from so many sightings on; the list is cut at HOT_SHINGLES, the most frequent first. Links do not depend on it.
-SEEN_OFTEN = 50
+GROUPS = 64
+#: A shingle counts as frequent from so many sightings on, in blocks of COUNTED_CHARS that have it SEEN_LOCALLY times; the list is cut at
+#: HOT_SHINGLES, the most frequent first. Links do not depend on it.
+SEEN_OFTEN, SEEN_LOCALLY, COUNTED_CHARS = 16, 3, 24_000_000
 HOT_SHINGLES = 250_000
 #: Points per leaf, and per cell of a key.
 LEAF = 32
@@ -68,16 +69,16 @@ def needed(n: int, percent: int = PERCENT) -> int:
 
 
 def frequent(docs: DataFrame) -> np.ndarray:
-    """Shingles that many documents have, as far as blocks of texts show it: those seen at least four times in a block are added up."""
+    """Shingles that many documents have, as far as blocks of texts show it: those seen several times in a block are added up."""
     hashes = WordHashes()
 
     def run(ids: list, texts: list[str]) -> dict[str, list]:
         every = [shingles(t, hashes) for t in texts]
         found, times = np.unique(np.concatenate(every), return_counts=True)
-        often = times >= 4
+        often = times >= SEEN_LOCALLY
         return {"shingle": found[often].view(np.int64), "times": times[often]}
 
-    seen = map_texts(docs, run, "shingle long, times long").groupBy("shingle").agg(F.sum("times").alias("times"))
+    seen = map_texts(docs, run, "shingle long, times long", COUNTED_CHARS).groupBy("shingle").agg(F.sum("times").alias("times"))
     rows = seen.filter(F.col("times") >= SEEN_OFTEN).orderBy(F.desc("times"), "shingle").limit(HOT_SHINGLES).select("shingle").collect()
     return np.sort(np.array([r.shingle for r in rows], np.int64).view(np.uint64))
 
@@ -118,10 +119,13 @@ def may_link(percent: int):
     return test
 
 
-def tree_pairs(q: np.ndarray, q_root: np.ndarray, p: np.ndarray, p_root: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """(query, point) places that may link: leaves packed along the size, searched by the bound of their upper corner, then their points."""
+def tree_pairs(q: np.ndarray, p: np.ndarray, wanted, percent: int = PERCENT) -> np.ndarray:
+    """(query, point) places that may link: leaves packed along the size, searched by the bound of their upper corner, then their points.
+
+    ``wanted(queries, points)`` says which places to compare at all, as a mask.
+    """
     order = np.lexsort((p[:, 0], p.sum(axis=1)))
-    p, p_root = p[order], p_root[order]
+    p = p[order]
     size_q, size_p = q.sum(axis=1), p.sum(axis=1)
     found = []
     for begin in range(0, len(p), LEAF):
@@ -133,27 +137,38 @@ def tree_pairs(q: np.ndarray, q_root: np.ndarray, p: np.ndarray, p_root: np.ndar
         if len(hit):
             low = np.minimum(q[hit, None, :], leaf[None]).sum(axis=2)
             near = (100 + percent) * low >= percent * (size_q[hit, None] + size_p[None, begin : begin + LEAF])
-            near &= q_root[hit, None] != p_root[None, begin : begin + LEAF]
+            near &= wanted(hit[:, None], order[None, begin : begin + LEAF])
             i, j = np.nonzero(near)
             found.append(np.stack([hit[i], order[begin + j]], axis=1))
     return np.concatenate(found) if found else np.zeros((0, 2), int)
 
 
-def forest_search(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
+def least_shared(n: np.ndarray, m: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """How many of their first shingles two linked sets of these sizes share at least.
+
+    Of the two, take the set whose first shingles end earlier in the order. Up to there the sets share only first shingles, and behind it that
+    set has fewer than the overlap that it needs with any set.
+    """
+    overlap = -(-percent * (n + m) // (100 + percent))
+    return np.maximum(1, overlap - np.maximum(-(-percent * n // 100), -(-percent * m // 100)) + 1)
+
+
+def forest_search(rows: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs (``a``, ``b``) of different groups that share a key and may link.
 
     Items apart from their key's hub are queries; all items of the key are points. Both are dealt into cells by hash, ``CELL`` of each, so
-    that no task holds more than one cell's points however many documents share a key.
+    that no task holds more than one cell's points however many documents share a key. A pair is found once for every key that it shares, and
+    stays only if these are as many as a link needs.
     """
     sizes = rows.groupBy("key").agg(F.count("*").alias("n"), F.count(F.when(F.col("root") != F.col("hub_root"), 1)).alias("m"))
     sizes = sizes.select("key", F.ceil(F.col("n") / CELL).cast("int").alias("right"), F.ceil(F.col("m") / CELL).cast("int").alias("left"))
-    dealt = rows.join(sizes, "key").withColumn("h", F.xxhash64("id"))
+    dealt = rows.join(sizes, "key").withColumns({"h": F.xxhash64("id"), "apart": F.col("root") != F.col("hub_root")})
     upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     own = lambda n: F.pmod(F.col("h"), F.col(n).cast("long")).cast("int")
-    columns = ("key", "i", "j", "side", "id", "root", "counts")
-    query = dealt.filter("root <> hub_root").select("*", own("left").alias("i"), F.explode(upto("right")).alias("j"), F.lit(0).alias("side"))
+    columns = ("key", "i", "j", "side", "id", "root", "apart")
+    query = dealt.filter("apart").select("*", own("left").alias("i"), F.explode(upto("right")).alias("j"), F.lit(0).alias("side"))
     point = dealt.select("*", F.explode(upto("left")).alias("i"), own("right").alias("j"), F.lit(1).alias("side"))
-    cells = query.select(*columns).unionByName(point.select(*columns))
+    cells = query.select(*columns).unionByName(point.select(*columns)).join(items.select("id", "counts"), "id")
     cells = cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,22 +185,30 @@ def forest_search(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
         if kept:
             yield _search_cells(kept[0], np.array([0, kept[0].num_rows]), percent)
 
-    return cells.select(*columns).mapInArrow(task, "a long, b long")
+    pairs = cells.select(*columns, "counts").mapInArrow(task, "a long, b long, least long")
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max("least").alias("least")).filter("shared >= least").select("a", "b")
 
 
 def _search_cells(rows: pa.Table, bounds: np.ndarray, percent: int) -> pa.RecordBatch:
     rows = rows.combine_chunks()
     side, ids, roots = (rows.column(c).to_numpy() for c in ("side", "id", "root"))
+    apart = rows.column("apart").to_numpy(zero_copy_only=False)
     counts = np.asarray(rows.column("counts").combine_chunks().flatten()).reshape(-1, GROUPS)
-    a, b = [], []
+    pairs = []
     for begin, end in zip(bounds, bounds[1:]):
         turn = begin + int(np.searchsorted(side[begin:end], 1))
+
+        def wanted(i, j, begin=begin, turn=turn):
+            """Other groups; two queries meet twice, and count once."""
+            return (roots[begin + i] != roots[turn + j]) & (~apart[turn + j] | (ids[begin + i] < ids[turn + j]))
+
         if begin < turn < end:
-            pairs = tree_pairs(counts[begin:turn], roots[begin:turn], counts[turn:end], roots[turn:end], percent)
-            a.append(ids[begin + pairs[:, 0]])
-            b.append(ids[turn + pairs[:, 1]])
-    none = np.zeros(0, np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else none, pa.int64()) for x in (a, b)], names=["a", "b"])
+            pairs.append(tree_pairs(counts[begin:turn], counts[turn:end], wanted, percent) + [begin, turn])
+    left, right = np.concatenate([*pairs, np.zeros((0, 2), np.int64)]).astype(np.int64).T
+    size = counts.sum(axis=1)
+    a, b = np.minimum(ids[left], ids[right]), np.maximum(ids[left], ids[right])
+    out = (a, b, least_shared(size[left], size[right], percent))
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["a", "b", "least"])
 
 
 def verifier(docs: DataFrame, percent: int = PERCENT):
@@ -218,18 +241,29 @@ def verifier(docs: DataFrame, percent: int = PERCENT):
 def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Per row of documents: ``doc_id, n_shingles, component_id`` (the smallest id it reaches by links) and ``n_copies``, how many documents have its very set.
 
-    A NULL, empty or blank text has an empty set and no links. Rows that repeat a doc_id should have the same text; each row is returned. An
-    empty table gives no rows.
+    A NULL, empty or blank text has an empty set and no links. Rows that repeat a doc_id should have the same text; each row is returned, with a NULL
+    component_id where doc_id is NULL. An empty table gives no rows.
     """
     stored = cut_lineage(points(docs, frequent(docs), percent))
     one = F.min("doc_id").alias("id")
-    classes = stored.filter("n_shingles > 0").groupBy("digest", "n_shingles").agg(one, F.count("*").alias("n_copies"))
+    classes = stored.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("digest", "n_shingles").agg(one, F.count("*").alias("n_copies"))
     classes = cut_lineage(classes)
-    firsts = stored.select("doc_id", "n_shingles", "counts", "first").join(classes.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-    firsts = cut_lineage(firsts.dropDuplicates(["doc_id"]))
+    copies = stored.select("doc_id", "digest", "n_shingles").join(classes, ["digest", "n_shingles"]).filter("doc_id <> id").select("doc_id").distinct()
+    firsts = stored.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(cut_lineage(copies), "doc_id", "left_anti")
     rows = firsts.select(F.explode("first").alias("key"), F.col("doc_id").alias("id"))
-    items = firsts.select(F.col("doc_id").alias("id"), "n_shingles", "counts")
-    _, roots = find_components(rows, items, may_link(percent), verifier(docs, percent), lambda left: forest_search(left, percent))
+    items = firsts.select(F.col("doc_id").alias("id"), "n_shingles", "counts").dropDuplicates(["id"])
+    _, roots = find_components(rows, items, may_link(percent), verifier(docs, percent), lambda left: forest_search(left, items, percent))
     named = classes.join(roots, "id", "left").select("digest", "n_shingles", "n_copies", F.coalesce("root", "id").alias("component_id"))
     joined = stored.select("doc_id", "n_shingles", "digest").join(named, ["digest", "n_shingles"], "left")
-    return joined.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"))
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    return joined.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"))
+
+
+def keep_one_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` that have the smallest id of their component, one row per id, with all their columns. Rows with a NULL doc_id stay."""
+    found = jaccard_components(docs, percent)
+    gone = cut_lineage(found.filter("component_id <> doc_id").select("doc_id").distinct())
+    twice = cut_lineage(found.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id"))
+    rest = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    once = rest.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    return rest.join(twice, "doc_id", "left_anti").select(docs.columns).unionByName(once)

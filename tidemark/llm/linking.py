@@ -79,5 +79,6 @@ def find_components(rows: DataFrame, items: DataFrame, test: Callable[[str, str]
         pairs = one.join(two, "key_a").filter((F.col("root_a") != F.col("root_b")) & once & test("a", "b")).select("a", "b")
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     late = cut_lineage(verify(pairs))
-    every = edges.union(late).distinct()
-    return every, cut_lineage(components(every))
+    # the groups found first stand for their pairs
+    joined = roots.select(F.col("id").alias("a"), F.col("root").alias("b")).union(late)
+    return edges.union(late).distinct(), cut_lineage(components(joined))
