@@ -319,3 +319,21 @@ def test_pipeline_stages(spark, tmp_path):
     before, after = seen["best_fit_packing"]
     assert {r.doc_id for r in after} == set(before)
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(after)
+
+
+def test_lines_with_replaced_words_meet_whatever_their_length(spark):
+    """Copies against edit similarity alone, over all pairs; most are more than 3 bits of a SimHash apart."""
+    pick, rows = random.Random(21), []
+    for i in range(60):
+        words = brute.prose(3000 + i, (6, 10, 20, 26, 40, 100)[i % 6]).replace("\n", " ").split()
+        rows.append((2 * i, " ".join(words)))
+        for _ in range(max(1, len(words) // 20)):
+            words[pick.randrange(len(words))] = "changed"
+        rows.append((2 * i + 1, " ".join(words)))
+    plain = {i: " ".join(line_dedup.normal_words(t)) for i, t in rows}
+    alike = [(a, b) for a, b in itertools.combinations(plain, 2) if abs(len(plain[a]) - len(plain[b])) < 20 and a // 2 == b // 2]
+    want = {(b, 0) for a, b in alike if brute.edit_distance(plain[a], plain[b]) <= int(max(len(plain[a]), len(plain[b])) * 0.15 + 1e-9)}
+    bits = line_dedup.simhashes([plain[i].split() for i in plain], line_dedup.WordBits())
+    assert len(want) > 40 and sum(int(bits[b] ^ bits[b - 1]).bit_count() > 3 for b, _ in want) > 25
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r.doc_id, r.line) for r in line_dedup.removed_lines(docs).collect()} == want
