@@ -177,3 +177,32 @@ def test_tables_without_rows_or_columns_of_other_names(spark, table):
     assert licenses.scan_licenses(docs).filter("line = 0").count() == n
     assert decontaminate.find_leaks(docs, none).count() == 0
     assert decontaminate.drop_leaks(docs, none).columns == docs.columns
+
+
+def test_leaks_with_a_repeated_phrase_and_edits_in_early_pieces():
+    """A piece of low offset recurs inside the item ahead of the first piece that is whole."""
+    words = brute.prose(8000, 33).replace(".", "").replace("\n", " ")
+    plain = decontaminate.normal(words)
+    first = decontaminate.pieces(plain)[0][1]
+    item = (plain[:97] + first + plain[97:])[:239].rstrip() + " "
+    cut, budget = decontaminate.pieces(item), len(item) // decontaminate.CHARS_PER_ERROR
+    edited = list(item)
+    for offset, piece in cut[:7]:
+        edited[offset + len(piece) // 2] = "0"
+    edited, lead = "".join(edited), brute.prose(8001, 90).replace(".", "").replace("\n", " ")
+    text = f" {lead}{edited}{lead} "
+    index = decontaminate.Index([(1, item)])
+    assert index.items[0][1] == item
+    found = index.search(text)
+    assert [(h["distance"], h["start"], h["stop"]) for h in found] == [(7, 1 + len(lead), 1 + len(lead) + len(item))] and brute.best_occurrence(item, text) == 7 <= budget
+
+
+def test_every_occurrence_in_a_run_is_found():
+    words = decontaminate.WORDS.findall(brute.prose(8100, 12).lower())
+    item, n = decontaminate.normal(" ".join(words)), len(decontaminate.normal(" ".join(words))) - 1
+    index = decontaminate.Index([(1, " ".join(words))])
+    found = index.search(decontaminate.normal(" ".join(words * 3)))
+    assert [(h["distance"], h["start"]) for h in found] == [(0, 0), (0, n), (0, 2 * n)] and found[0]["stop"] == len(item)
+    changed = words[:5] + [words[5][:-1] + "0"] + words[6:]
+    found = index.search(decontaminate.normal(" ".join(changed + words + changed)))
+    assert [(h["distance"], h["start"]) for h in found] == [(1, 0), (0, n), (1, 2 * n)]

@@ -58,6 +58,49 @@ def closest(item: str, text: str, budget: int) -> tuple[int, int] | None:
     return best
 
 
+def endings(item: str, text: str, budget: int) -> list[tuple[int, int]]:
+    """(distance, end) wherever an occurrence of the item within the budget ends: Myers, free start and end."""
+    m = len(item)
+    masks: dict[str, int] = {}
+    for i, c in enumerate(item):
+        masks[c] = masks.get(c, 0) | 1 << i
+    full, top = (1 << m) - 1, 1 << (m - 1)
+    plus, minus, score, found = full, 0, m, []
+    for j, c in enumerate(text):
+        eq = masks.get(c, 0)
+        zero = ((((eq & plus) + plus) ^ plus) | eq | minus) & full
+        up, down = (minus | ~(zero | plus)) & full, plus & zero
+        score += bool(up & top) - bool(down & top)
+        up, down = up << 1, down << 1
+        plus, minus = (down | ~(zero | up)) & full, up & zero & full
+        if score <= budget:
+            found.append((score, j + 1))
+    return found
+
+
+def occurrences(item: str, text: str, budget: int) -> list[tuple[int, int, int]]:
+    """(distance, start, end) of occurrences that share no more than the space between them, the best first, then the first."""
+    m, taken = len(item), []
+    at = text.find(item)
+    if at >= 0 and (not budget or max(at, len(text) - at - m) + 1 < m - budget):
+        while at >= 0:
+            taken.append((0, at, at + m))
+            at = text.find(item, at + m - 1)
+        return taken
+    if not budget:
+        return taken
+    for _, end in sorted(endings(item, text, budget)):
+        if any(a + 1 < end <= b for _, a, b in taken):
+            continue
+        low = max([end - m - budget, 0, *(b - (text[b - 1] == " ") for _, a, b in taken if a < end - 1)])
+        if end - low < m - budget:
+            continue
+        begun = closest(item[::-1], text[low:end][::-1], budget)
+        if begun:
+            taken.append((begun[0], end - begun[1], end))
+    return taken
+
+
 class Index:
     """The pieces of some items, ready to search."""
 
@@ -74,8 +117,8 @@ class Index:
             self.automaton.make_automaton()
 
     def search(self, text: str) -> list[dict[str, int]]:
-        """Matches in a normalised text: one for every run of overlapping windows around an item's hits."""
-        windows: dict[int, list[list[int]]] = {}
+        """Every occurrence in a normalised text, looked for in the runs of overlapping windows around an item's hits."""
+        windows: dict[int, set[tuple[int, int]]] = {}
         if not self.items:
             return []
         for last, (size, places) in self.automaton.iter(text):
@@ -83,23 +126,19 @@ class Index:
                 m = len(self.items[k][1])
                 slack = m // CHARS_PER_ERROR
                 begin = last + 1 - size - offset
-                a, b = max(0, begin - slack), min(len(text), begin + m + slack)
-                runs = windows.setdefault(k, [])
+                windows.setdefault(k, set()).add((max(0, begin - slack), min(len(text), begin + m + slack)))
+        found = []
+        for k, spans in windows.items():
+            item_id, item = self.items[k]
+            runs: list[list[int]] = []
+            for a, b in sorted(spans):  # begins do not come in order: a window starts a piece's offset before its hit
                 if runs and a <= runs[-1][1]:
                     runs[-1][1] = max(b, runs[-1][1])
                 else:
                     runs.append([a, b])
-        found = []
-        for k, runs in windows.items():
-            item_id, item = self.items[k]
             for a, b in runs:
-                budget = len(item) // CHARS_PER_ERROR
-                at = text.find(item, a, b)
-                end = (0, at - a + len(item)) if at >= 0 else closest(item, text[a:b], budget)
-                if end:
-                    stop = a + end[1]
-                    begun = closest(item[::-1], text[max(a, stop - len(item) - budget) : stop][::-1], budget) or end
-                    found.append({"item_id": item_id, "distance": end[0], "start": stop - begun[1], "stop": stop})
+                for distance, start, stop in occurrences(item, text[a:b], len(item) // CHARS_PER_ERROR):
+                    found.append({"item_id": item_id, "distance": distance, "start": a + start, "stop": a + stop})
         return sorted(found, key=lambda h: (h["item_id"], h["start"]))
 
 
