@@ -337,3 +337,29 @@ def test_lines_with_replaced_words_meet_whatever_their_length(spark):
     assert len(want) > 40 and sum(int(bits[b] ^ bits[b - 1]).bit_count() > 3 for b, _ in want) > 25
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {(r.doc_id, r.line) for r in line_dedup.removed_lines(docs).collect()} == want
+
+
+def test_short_lines_go_when_their_form_is_the_same(spark):
+    rows = [(1, "Read more\nPage 1 of 20\n---\non the moon"), (2, "read  MORE!\nPage 3 of 41\n---\non the noon"), (3, "Read more\nall of it\non the moon")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r.doc_id, r.line) for r in line_dedup.removed_lines(docs).collect()} == {(2, 0), (2, 1), (3, 0), (3, 2)}
+
+
+def test_letter_counts_keep_every_similar_pair(spark):
+    pick, pairs = random.Random(8), []
+    for i in range(300):
+        a = " ".join(line_dedup.normal_words(brute.prose(5000 + i % 40, pick.randint(5, 200)))) + "é漢" * (i % 3) + "a" * (i % 5 * 60)
+        b = list(a)
+        for _ in range(pick.randint(0, int(len(a) * 0.2))):
+            b[pick.randrange(len(b))] = pick.choice("abc é")
+        pairs.append((a, "".join(b) if i % 4 else brute.prose(i, 40)))
+    sides = [np.concatenate([np.array([[len(x) for x in side]]).T, line_dedup.letter_counts(list(side))], axis=1) for side in zip(*pairs)]
+    rows = [(i, *map(int, x), *map(int, y)) for i, (x, y) in enumerate(zip(*sides))]
+    names = ["i", *(f"{c}_{s}" for s in "ab" for c in ["size", *line_dedup.COUNTS])]
+    kept = {r.i for r in spark.createDataFrame(rows, names).filter(line_dedup.close_counts("a", "b")).collect()}
+    alike = {i for i, (a, b) in enumerate(pairs) if line_dedup.edit_similarity(a, b, 0.85)}
+    classes = [[collections.Counter(c if c in "abcdefghijklmnopqrstuvwxyz " else "?" for c in x) for x in p] for p in pairs]
+    capped = [[{k: min(n, 127) for k, n in c.items()} for c in p] for p in classes]
+    more = lambda x, y: sum(max(n - y.get(k, 0), 0) for k, n in x.items())
+    want = {i for i, ((a, b), (x, y)) in enumerate(zip(pairs, capped)) if max(more(x, y), more(y, x)) <= max(len(a), len(b)) * (1 - 0.85) + 1e-9}
+    assert kept == want and alike <= kept and len(alike) > 100 and len(kept) < 290
