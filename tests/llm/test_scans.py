@@ -206,3 +206,23 @@ def test_every_occurrence_in_a_run_is_found():
     changed = words[:5] + [words[5][:-1] + "0"] + words[6:]
     found = index.search(decontaminate.normal(" ".join(changed + words + changed)))
     assert [(h["distance"], h["start"]) for h in found] == [(1, 0), (0, n), (1, 2 * n)]
+
+
+def test_wrapped_licenses_and_licenses_on_one_line(spark):
+    import re
+    import textwrap
+
+    from tidemark.llm.license_texts import BSD_2, ISC, KNOWN, ZLIB
+
+    after = {w for _, t in KNOWN for w in re.findall(r"copyright[^a-z0-9]+([a-z]+?)s?\b", t.lower())}
+    assert after <= {"notice", "holder"}
+    bodies = {"MIT": MIT, "ISC": ISC, "BSD-2-Clause": BSD_2, "BSD-3-Clause": BSD_3, "Zlib": ZLIB}
+    wrapped = [(i, "Copyright (c) 2020 Somebody\n\n" + "\n\n".join(textwrap.fill(p, n) for p in t.split("\n\n"))) for n in range(40, 90) for i, t in bodies.items()]
+    signed = [("ISC", ISC.replace("the above copyright", "the above\n# copyright")), ("ISC", "Copyright Somebody\n" + ISC)]
+    lined = [(i, "first\n" + " ".join(t.split()) + "\nlast") for i, t in bodies.items()]
+    rows = wrapped + signed + lined
+    docs = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(rows)], "doc_id long, text string")
+    found = {(r.doc_id, r.line): r.license_id for r in licenses.scan_licenses(docs).collect()}
+    n = len(rows) - len(lined)
+    assert [found.get((k, 0)) for k in range(n)] == [i for i, _ in rows[:n]]
+    assert [found.get((k, 2)) for k in range(n, len(rows))] == [i for i, _ in lined]

@@ -1,8 +1,9 @@
 """Licence scan: canonical digests of entire texts, looked up by a hash join.
 
 A text is made canonical (case, copyright lines, equivalent spellings, punctuation and white space), digested, and joined to the digests
-of known texts. The units are entire documents, and the lines that name a licence, each as a text of its own.
-The same expressions run as Spark and as DuckDB SQL; both make letters lower-case for A-Z alone.
+of known texts. The units are entire documents, and their lines, each as a text of its own.
+``oracle`` is the older rule in DuckDB SQL: it takes lines that wrapping begins with "copyright notice" or "copyright holder" for statements,
+and looks up only lines that name a licence. Both make letters lower-case for A-Z alone.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from tidemark.llm.license_texts import KNOWN
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Lines that begin with a copyright mark, after any signs.
 COPYRIGHT_LINE = r"(^|\n)[^a-z0-9\n]*(copyright|[(]c[)]|©)[^\n]*"
+#: Line ends before words that speak of copyright without stating whose it is; such lines are unwrapped before copyright lines go.
+SPEAKS_OF = [(rf"\n[^a-z0-9\n]*copyright[^a-z0-9]+{word}", f" copyright {word}") for word in ("notice", "holder", "owner", "law", "statement", "license", "licence")]
 #: ASCII signs and white space, and typographic spaces, dashes, quotes and marks.
 PUNCTUATION = r"[\x{0}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{BF}\x{2000}-\x{206F}\x{3000}]+"
 #: Spellings taken as one, after punctuation is gone; fixed values.
@@ -25,6 +28,8 @@ NAMES_A_LICENSE = r"[Ll][Ii][Cc][Ee][Nn][CcSs]"
 def canonical(text: Column) -> Column:
     """The canonical form of a text; NULL counts as empty."""
     t = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
+    for a, b in SPEAKS_OF:
+        t = F.regexp_replace(t, a, b)
     t = F.regexp_replace(t, COPYRIGHT_LINE, " ")
     t = F.regexp_replace(t, PUNCTUATION, " ")
     t = F.concat(F.lit(" "), t, F.lit(" "))
@@ -52,9 +57,8 @@ def scan_licenses(docs: DataFrame, known: list[tuple[str, str]] | None = None) -
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.transform(F.split(text, "\n", -1), lambda line, i: F.struct((i + 1).alias("line"), line.alias("unit")))
-    named = F.filter(lines, lambda u: u["unit"].rlike(NAMES_A_LICENSE))
     whole = F.array(F.struct(F.lit(0).alias("line"), text.alias("unit")))
-    units = F.when(text.contains("\n"), F.concat(whole, named)).otherwise(whole)
+    units = F.when(text.contains("\n"), F.concat(whole, lines)).otherwise(whole)
     rows = docs.select("doc_id", F.inline_outer(units)).select("doc_id", "line", digest(F.col("unit")).alias("digest"))
     return rows.join(F.broadcast(known_digests(docs.sparkSession, known)), "digest", "left").filter((F.col("line") == 0) | F.col("license_id").isNotNull()).select("doc_id", "line", "digest", "license_id")
 
