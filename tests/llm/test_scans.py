@@ -232,3 +232,14 @@ def test_every_trusted_document_counts(spark):
     """More trusted documents than the 20,000 that used to be taken: with all documents trusted, target and raw are the same."""
     docs = spark.range(20_500).selectExpr("id AS doc_id", "concat('w', id % 97, ' v', id % 89) AS text")
     assert all(r.weight == 0 for r in rules.log_ratios(docs, docs.select("doc_id"), 64).collect())
+
+
+def test_account_numbers_where_every_candidate_passes(spark):
+    docs = spark.createDataFrame([(i, "pay DE89370400440532013000 now") for i in range(20)], "doc_id long, text string")
+    got = {r.spans for r in pii.scan_pii(docs, pii.Trees()).collect()}
+    assert got == {""}
+    model = pii.fit_trees([([1] * len(pii.FEATURES), 20, 20)])
+    assert model.thresholds == {1: 0.0} and not model.trees
+    kind = pii.KINDS[len(pii.BASE) :].index("iban")
+    model = pii.fit_trees([([kind] + [0] * (len(pii.FEATURES) - 1), 20, 20)])
+    assert {r.spans for r in pii.scan_pii(docs, model).collect()} == {"iban:4:26"}

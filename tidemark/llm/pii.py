@@ -170,12 +170,17 @@ def _split(x: np.ndarray, names: list[str], rows: np.ndarray, g: np.ndarray, h:
 
 
 def fit_trees(grid: list[tuple[list[int], int, int]], rounds: int = 12, rate: float = 0.5) -> Trees:
-    """Fit to (bins, candidates, candidates that pass); Newton leaves, and a threshold for each generator."""
+    """Fit to (bins, candidates, candidates that pass); Newton leaves, and a threshold for each generator.
+
+    A generator none of whose best scores reach the precision gets no threshold, and nothing of it is added, account numbers that pass their check included.
+    """
     names = list(FEATURES)
     x = np.array([bins for bins, _, _ in grid], int).reshape(-1, len(names))
     n, good = (np.array([row[i] for row in grid], float) for i in (1, 2))
-    if not good.sum() or good.sum() == n.sum():
+    if not good.sum():
         return Trees()
+    if good.sum() == n.sum():  # nothing to tell apart: every score is the lowest
+        return Trees(thresholds=dict.fromkeys(sorted(set(x[:, 0].tolist())), 0.0))
     share = good.sum() / n.sum()
     model = Trees(float(np.log(share / (1 - share))))
     f = np.full(len(grid), model.prior)
