@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, jaccard, licenses, line_dedup, packing, pii, quality, rules, secrets, toxicity
+from tidemark.llm import conversations, decontaminate, jaccard, licenses, line_dedup, oracles, packing, pii, quality, rules, secrets, spelling, toxicity
 from tidemark.llm.common import fold, table
 from tidemark.session import cut_lineage
 
@@ -92,3 +92,13 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_decontamination")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op11_spelling_variants", oracles.spelling_variants())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), spelling.DAMAGE)
+
+
+@query("op13_conversation_repair", oracles.conversation_repair())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.summarize_repairs(conversations.damaged(table(spark, sf_dir, "conversations")), gone=F.col("gone"))
