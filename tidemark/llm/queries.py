@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import conversations, decontaminate, jaccard, licenses, line_dedup, oracles, packing, pii, quality, rules, secrets, spelling, toxicity
+from tidemark.llm import conversations, decontaminate, jaccard, language_model, licenses, line_dedup, oracles, packing, pii, quality, rules, secrets, spelling, toxicity
 from tidemark.llm.common import fold, table
 from tidemark.session import cut_lineage
 
@@ -99,6 +99,14 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"), spelling.DAMAGE)
 
 
+@query("op12_log_bilinear_lm")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(fold(F.col("doc_id"), language_model.FOLDS) == language_model.HELD_OUT, F.lit(False))
+    scored = language_model.score_texts(docs, *language_model.fit_model(docs.filter(~held_out)))
+    return scored.withColumn("held_out", held_out)
+
+
 @query("op13_conversation_repair", oracles.conversation_repair())
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.summarize_repairs(conversations.damaged(table(spark, sf_dir, "conversations")), gone=F.col("gone"))
