@@ -5,6 +5,7 @@ import itertools
 import random
 
 import brute
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -89,16 +90,14 @@ def test_components_of_a_long_chain(spark):
 
 
 def line_groups(rows):
-    """Removed lines by comparing every pair of lines."""
-    where, words = collections.defaultdict(list), {}
+    """Removed lines by the edit similarity of every pair of lines of five words; shorter lines go by their normal form. ASCII texts only."""
+    where = collections.defaultdict(list)
     for i, t in rows:
         for k, line in enumerate((t or "").split("\n")):
             w = line_dedup.normal_words(line)
-            if i is not None and len(w) >= line_dedup.MIN_WORDS:
+            if i is not None and w:
                 where[" ".join(w)].append((i, k))
-                words[" ".join(w)] = w
     keys = list(where)
-    bits = line_dedup.simhashes([words[k] for k in keys], line_dedup.WordBits())
     root = list(range(len(keys)))
 
     def find(x):
@@ -106,11 +105,12 @@ def line_groups(rows):
             x = root[x]
         return x
 
-    for a, b in itertools.combinations(range(len(keys)), 2):
-        if int(bits[a] ^ bits[b]).bit_count() <= line_dedup.BITS_APART:
-            longer = max(len(keys[a]), len(keys[b]))
-            if brute.edit_distance(keys[a], keys[b]) <= int(longer * (1 - line_dedup.SIMILARITY) + 1e-9):
-                root[find(a)] = find(b)
+    db = duckdb.connect()
+    long = [(k, key) for k, key in enumerate(keys) if key.count(" ") >= line_dedup.MIN_WORDS - 1]
+    db.execute("CREATE TABLE t AS SELECT unnest(?) AS k, unnest(?) AS body", [[k for k, _ in long], [b for _, b in long]])
+    alike = f"levenshtein(a.body, b.body) <= floor(greatest(length(a.body), length(b.body)) * {1 - line_dedup.SIMILARITY} + 1e-9)"
+    for a, b in db.execute(f"SELECT a.k, b.k FROM t AS a JOIN t AS b ON a.k < b.k WHERE {alike}").fetchall():
+        root[find(a)] = find(b)
     groups = collections.defaultdict(set)
     for k, key in enumerate(keys):
         groups[find(k)].update(where[key])
