@@ -78,7 +78,7 @@ def test_files_and_rows_end_to_end(spark, tmp_path):
     source = file_source(spark, str(files), ["readers"])
     first = run(source, "files", "r1")
     assert first.counts["insert"] == 2 and first.watermark == dt.datetime(2023, 11, 14, 22, 13, 21)
-    bodies = sorted((bytes(r["body"]), r["mime_type"]) for r in read_jsonl(spark, f"{first.folder}/shards").collect())
+    bodies = sorted((bytes(r["body"]), r["mime_type"]) for r in read_jsonl(spark, f"{first.folder}/shards/files").collect())
     assert bodies == [(b"body 0", "text/plain"), (b"body 1", "text/markdown")]
     assert sum(run(source, "files", "r2").counts.values()) == 0
     (files / "a.txt").write_bytes(b"changed")

@@ -9,12 +9,14 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.payload import IMPORT_SCHEMA
 from tidemark.plans import inputs as X
 from tidemark.plans.identity_job import run_identity_sync
 from tidemark.plans.ingest import table_source
 from tidemark.plans.registry import query
 from tidemark.plans.sync_job import run_sync
 from tidemark.session import run_folder
+from tidemark.sinks.shard_writer import read_manifest
 
 AT = dt.datetime(2024, 6, 1)
 COUNTS = "source string, run int, inserts long, updates long, acl_updates long, deletes long, unchanged long"
@@ -80,3 +82,28 @@ def identity_job_removals(spark, sf):
     second = run_identity_sync(spark, customer.select(moved.alias("external_identity"), F.col("c_name").alias("target_user"), none), root, "r2", first.mapping(spark))
     staged = [spark.read.parquet(f"{second.folder}/{name}").select("external_identity", "target_user", F.lit(name).alias("staged")) for name in ("removes", "adds")]
     return staged[0].unionByName(staged[1])
+
+
+@query(
+    "sync_shards",
+    """WITH built AS (SELECT 'databricks_row:main.corpus.documents:' || doc_id AS id, 'text: ' || text || '.' AS body, CAST(json_object('title', 'documents row ' || doc_id,
+  'source', 'databricks_uc_table', 'catalog', 'main', 'schema', 'corpus', 'table', 'documents', 'primary_key', CAST(doc_id AS VARCHAR), 'updated_at', NULL,
+  'lang', lang, 'n_chars', n_chars) AS VARCHAR) AS metadata FROM documents),
+lines AS (SELECT id, body, '{"id":"' || id || '","structData":' || metadata || ',"content":{"mimeType":"text/plain","rawBytes":"' || to_base64(encode(body))
+  || '"},"aclInfo":{"readers":[{"principals":[]}]}}' AS line FROM built)
+SELECT id, md5(body) AS body_md5, CAST(octet_length(encode(line)) + 1 AS BIGINT) AS line_bytes, CAST(1 AS BIGINT) AS times_listed, count(*) OVER () AS listed_docs,
+  CAST(sum(octet_length(encode(line)) + 1) OVER () AS BIGINT) AS listed_bytes FROM lines""",
+)
+def sync_shards(spark, sf):
+    """What a first sync of the documents staged, read back from the files that its manifest names, and the totals of the manifest."""
+    source = table_source(X.table(spark, sf, "documents"), "main", "corpus", "documents", "doc_id", ["text"], ["lang", "n_chars"])
+    done = run_sync(spark, source, run_folder(spark, "shards"), "documents", "initial", "r1", AT)
+    name = lambda c: F.regexp_extract(c, "[^/]+$", 0).alias("name")
+    listed = spark.read.parquet(f"{done.folder}/manifest").select(F.explode("uris").alias("uri")).select(name("uri"))
+    shards = read_manifest(spark, f"{done.folder}/shards")
+    read = spark.read.text(f"{done.folder}/shards/files").select("value", name("_metadata.file_path")).join(listed, "name")
+    line = F.from_json("value", IMPORT_SCHEMA)
+    read = read.select(line["id"].alias("id"), F.md5(F.unbase64(line["content"]["rawBytes"])).alias("body_md5"), (F.octet_length("value") + 1).cast("bigint").alias("line_bytes"))
+    read = read.groupBy("id", "body_md5", "line_bytes").agg(F.count("*").alias("times_listed"))
+    total = lambda c: shards.agg(F.sum(c)).scalar()
+    return read.withColumns({"listed_docs": total("docs"), "listed_bytes": total("bytes")})

@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 
 from tidemark import constants as K
 from tidemark.functions.access import access_key, principal_text
+from tidemark.functions.payload import import_line
 from tidemark.operators import changes as C
 from tidemark.operators.documents import duplicate_ids
 from tidemark.sinks.batching import purge_requests
-from tidemark.sinks.shards import import_manifest, write_bounded_shards
+from tidemark.sinks.shard_writer import LINE, read_state, write_shards
+from tidemark.sinks.shards import import_manifest
 
 HASHES = ["content_hash", "acl_hash"]
 
@@ -72,13 +74,23 @@ def run_sync(
     folder = f"{home}/runs/{run_id}"
     reconcile, since = C.reconcile_mode(mode, mark if mirror is not None else None)
 
-    # The source is read and hashed once; every later step sees the same rows, and only shards read bodies.
-    with_hashes(read_source(since)).write.mode("overwrite").parquet(f"{folder}/documents")
-    documents = spark.read.parquet(f"{folder}/documents")
+    # The source is read and hashed once; every later step sees the same rows. On the first run every document goes out, so the pass that
+    # hashes them writes them as shards, once; later only those that changed are joined back and written.
+    hashed, limits = with_hashes(read_source(since)), (docs_per_shard, bytes_per_shard)
+    if mirror is None:
+        kept = hashed.select(*(c for c in hashed.columns if c != "body"), import_line(F.col("body")).alias(LINE))
+        shards = write_shards(kept, f"{folder}/shards", *limits)
+        documents = read_state(spark, f"{folder}/shards", kept.drop(LINE).schema)
+    else:
+        hashed.write.mode("overwrite").parquet(f"{folder}/documents")
+        documents = spark.read.parquet(f"{folder}/documents")
     state = documents.select("id", *HASHES)
     _check(documents, mirror, reconcile, allow_empty)
     difference = _difference(spark, state, mirror, reconcile, deleted_ids, folder)
-    _stage(spark, documents, difference, mirror, folder, run_id, reconcile, docs_per_shard, bytes_per_shard)
+    if mirror is not None:
+        lines = C.import_batch(difference, documents).select(import_line(F.col("body")).alias(LINE))
+        shards = write_shards(lines, f"{folder}/shards", *limits)
+    _stage(documents, difference, shards, folder, run_id, reconcile)
     stamp = F.lit(synced_at).cast("timestamp_ntz")
     _next_mirror(state, difference, mirror, reconcile, stamp).write.mode("overwrite").parquet(f"{folder}/mirror")
     C.sync_history(difference, run_id, source_key, mode).write.mode("overwrite").parquet(f"{home}/history/run={run_id}")
@@ -128,13 +140,8 @@ def _next_mirror(state, difference, mirror, reconcile, stamp) -> DataFrame:
     return mirror.select("id", *HASHES, "last_synced").join(touched.select("id"), "id", "left_anti").unionByName(fresh)
 
 
-def _stage(spark, documents, difference, mirror, folder, run_id, reconcile, docs_per_shard, bytes_per_shard) -> None:
-    """Write shards, their manifest, access patches and purge requests.
-
-    On the first run every document goes out, so bodies are not joined to the difference.
-    """
-    batch = documents if mirror is None else C.import_batch(difference, documents).drop("change")
-    shards = write_bounded_shards(spark, batch, f"{folder}/shards", docs_per_shard, bytes_per_shard)
+def _stage(documents, difference, shards, folder, run_id, reconcile) -> None:
+    """Write the manifest of the shards, access patches and purge requests."""
     readers = principal_text(F.col("principals")).alias("readers")
     patches = C.acl_only(difference).join(documents.select("id", readers), "id").select("id", "readers")
     patches.write.mode("overwrite").json(f"{folder}/patches")
