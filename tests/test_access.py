@@ -70,8 +70,16 @@ def test_visibility_against_brute_force(spark):
         tokens.setdefault(r["user"], set()).add(r["principal"])
     expected = {u: {d for d, p in texts.items() if p & (t | {"idp_wide"})} for u, t in tokens.items()}
 
-    counted = {r["user"]: (r["visible"], r["checksum"]) for r in O.visible_counts(acl, held, F.col("doc_id")).collect()}
-    assert counted == {u: (len(d), sum(d)) for u, d in expected.items()}
+    apart = (F.col("doc_id") * 9001).cast("bigint")  # over many bitmaps
+    for number in (F.col("doc_id"), apart):
+        counted = {r["user"]: r["visible"] for r in O.visible_counts(acl, held, number).collect()}
+        assert counted == {u: len(d) for u, d in expected.items()}
+    users, of_profiles, own = O.visible_bitmaps(O.principal_bitmaps(acl, apart), held)
+    bits = lambda r: {(r["bucket"] - 1) * 32768 + 8 * k + j + 1 if r["bucket"] else 0 for k, byte in enumerate(r["docs"]) for j in range(8) if byte >> j & 1}
+    seen = {u: set() for u in expected}
+    for r in users.join(of_profiles, "profile").select("user", "bucket", "docs").unionByName(own.drop("profile")).collect():
+        seen[r["user"]] |= bits(r)
+    assert seen == {u: {9001 * d for d in docs} for u, docs in expected.items()}
     for user, docs in expected.items():
         opened = O.open_classes(acl, held.where(F.col("user") == user))
         assert sorted(r[0] for r in O.visible_documents(acl, opened).collect()) == sorted(docs)

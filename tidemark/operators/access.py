@@ -15,14 +15,11 @@ from tidemark.functions import access as A
 from tidemark.session import cut_lineage
 
 
-def access_classes(documents: DataFrame, checksum: Column | None = None) -> DataFrame:
-    """One row per distinct reader list: access_key, principals, docs and a sum of ``checksum``."""
-    aggregates = [F.count("*").alias("docs")]
-    if checksum is not None:
-        aggregates.append(F.sum(checksum).cast("bigint").alias("checksum"))
+def access_classes(documents: DataFrame) -> DataFrame:
+    """One row per distinct reader list, with its number of documents."""
     listed = F.array_sort(F.array_distinct(A.principal_text(F.col("principals"))))
     keyed = documents.withColumn("readers", listed)
-    return keyed.groupBy("readers").agg(*aggregates)
+    return keyed.groupBy("readers").agg(F.count("*").alias("docs"))
 
 
 def principal_counts(documents: DataFrame) -> DataFrame:
@@ -138,68 +135,58 @@ def hidden_documents(documents: DataFrame, opened: DataFrame, id_column: str = "
     return keyed.join(opened, "access_key", "left_anti").select(id_column)
 
 
-def visible_counts(documents: DataFrame, user_principals: DataFrame, checksum: Column) -> DataFrame:
-    """Documents each user may read, for all users at once, as a count and a checksum
-    (an action: classes and profiles are written once and used several times).
+def principal_bitmaps(documents: DataFrame, number: Column) -> DataFrame:
+    """(principal, bucket, docs): the documents that name a principal, as one bitmap of 32,768 numbers per bucket.
 
-    Users holding the same group principals share a *profile*; profiles are matched
-    with access classes, then personal principals add the classes the profile did
-    not open. Public classes are added as one total. The work grows with profiles
-    times classes, never with users times documents.
+    ``number`` is a whole number, 0 or more, of its own for every document (``dense_index`` gives one where ids are not numbers). Bits are set in the
+    task before the shuffle, so a principal on a third of all documents is one bitmap per task and bucket.
     """
-    classes = access_classes(documents, checksum).withColumn("cls", F.sha2(F.concat_ws("\x01", "readers"), 256))
-    classes = cut_lineage(classes)
-    sizes = classes.select("cls", "docs", "checksum")
-    exploded = classes.select("cls", F.explode("readers").alias("principal"))
-    public = classes.where(F.array_contains("readers", "idp_wide")).select(
-        F.struct(F.coalesce(F.sum("docs"), F.lit(0)).alias("docs"), F.coalesce(F.sum("checksum"), F.lit(0)).alias("checksum"))
-    )
-    everyone = public.scalar()
+    named = documents.select(number.cast("bigint").alias("n"), F.explode(A.principal_text(F.col("principals"))).alias("principal"))
+    placed = named.select("principal", F.bitmap_bucket_number("n").alias("bucket"), F.bitmap_bit_position("n").alias("bit"))
+    return placed.groupBy("principal", "bucket").agg(F.bitmap_construct_agg("bit").alias("docs"))
 
-    def held_when(shared: Column) -> Column:
-        return F.array_sort(F.collect_set(F.when(shared, F.col("principal"))))
 
-    # Principals no document names would only make profiles differ; their users stay.
-    used = exploded.select("principal", F.lit(True).alias("used")).distinct()
-    relevant = user_principals.join(used, "principal", "left").withColumn("principal", F.when(F.col("used"), F.col("principal")))
-    users = relevant.groupBy("user").agg(
-        held_when(F.col("shared")).alias("of_groups"), held_when(~F.col("shared")).alias("of_user")
-    )
-    users = cut_lineage(users.withColumn("profile", F.sha2(F.concat_ws("\x01", "of_groups"), 256)))
-    profiles = users.select("profile", "of_groups").dropDuplicates(["profile"])
-    opened = cut_lineage(
-        profiles.select("profile", F.explode("of_groups").alias("principal"))
-        .join(exploded, "principal")
-        .select("profile", "cls")
-        .distinct()
-    )
-    totals = [F.sum("docs").alias("docs"), F.sum("checksum").alias("checksum")]
-    per_profile = opened.join(sizes, "cls").groupBy("profile").agg(*totals)
-    own = (
-        users.select("user", "profile", F.explode("of_user").alias("principal"))
-        .join(exploded, "principal")
-        .select("user", "profile", "cls")
-        .distinct()
-        .join(opened, ["profile", "cls"], "left_anti")
-        .join(sizes, "cls")
-        .groupBy("user")
-        .agg(F.sum("docs").alias("own_docs"), F.sum("checksum").alias("own_checksum"))
-    )
-    zero = F.lit(0)
+def user_profiles(user_principals: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((user, profile), (profile, principal)): users with the same shared principals have one profile.
 
-    def total(shared: str, personal: str, public: str) -> Column:
-        return (F.coalesce(shared, zero) + F.coalesce(personal, zero) + everyone[public]).cast("bigint")
+    A profile's name is made of sums over hashes of its principals, so no list of them is gathered; its principals are those of one of its users.
+    """
+    everyone = user_principals.select("user").distinct().withColumns({"principal": F.lit("idp_wide"), "shared": F.lit(True)})
+    rows = user_principals.unionByName(everyone).where("shared").select("user", "principal").distinct()
+    parts = [F.count("*"), F.bit_xor(F.xxhash64("principal")), F.bit_xor(F.xxhash64(F.lit("again"), "principal"))]
+    users = rows.groupBy("user").agg(F.concat_ws(":", *[p.cast("string") for p in parts]).alias("profile"))
+    first = users.groupBy("profile").agg(F.min("user").alias("user"))
+    return users, rows.join(first, "user").select("profile", "principal")
 
-    return (
-        users.select("user", "profile")
-        .join(per_profile, "profile", "left")
-        .join(own, "user", "left")
-        .select(
-            "user",
-            total("docs", "own_docs", "docs").alias("visible"),
-            total("checksum", "own_checksum", "checksum").alias("checksum"),
-        )
-    )
+
+def visible_bitmaps(index: DataFrame, user_principals: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """((user, profile), (profile, bucket, docs), (user, profile, bucket, docs)) from ``principal_bitmaps`` and ``user_principals``.
+
+    A profile reads the union of its principals' bitmaps. The third table has only what personal principals name, before the union with the
+    user's profile. No row stands for a profile or a user together with a document or a reader list.
+    """
+    users, shared = user_profiles(user_principals)
+    users = cut_lineage(users)
+    union = F.bitmap_or_agg("docs").alias("docs")
+    of_profiles = shared.join(index, "principal").groupBy("profile", "bucket").agg(union)
+    personal = user_principals.where(~F.col("shared")).select("user", "principal")
+    own = personal.join(index, "principal").groupBy("user", "bucket").agg(union).join(users, "user")
+    return users, cut_lineage(of_profiles), cut_lineage(own.select("user", "profile", "bucket", "docs"))
+
+
+def visible_counts(documents: DataFrame, user_principals: DataFrame, number: Column) -> DataFrame:
+    """Documents each user may read, for all users at once (an action: the index and the unions are written).
+
+    Counted per profile; where a user has documents of their own, the union with the profile is counted for those buckets alone.
+    """
+    users, of_profiles, own = visible_bitmaps(cut_lineage(principal_bitmaps(documents, number)), user_principals)
+    shared = of_profiles.groupBy("profile").agg(F.sum(F.bitmap_count("docs")).alias("shared"))
+    beside = own.select("user", "profile", "bucket").join(of_profiles, ["profile", "bucket"])
+    both = own.select("user", "bucket", "docs", F.lit(0).alias("less")).unionByName(beside.select("user", "bucket", "docs", F.bitmap_count("docs").alias("less")))
+    more = both.groupBy("user", "bucket").agg(F.bitmap_count(F.bitmap_or_agg("docs")).alias("all"), F.sum("less").alias("less"))
+    more = more.groupBy("user").agg(F.sum(F.col("all") - F.col("less")).alias("more"))
+    total = F.coalesce("shared", F.lit(0)) + F.coalesce("more", F.lit(0))
+    return users.join(shared, "profile", "left").join(more, "user", "left").select("user", total.cast("bigint").alias("visible"))
 
 
 def documents_without_readers(documents: DataFrame, id_column: str = "doc_id") -> DataFrame:

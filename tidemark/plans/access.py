@@ -126,7 +126,7 @@ def hidden_documents(spark, sf):
     "visible_document_counts",
     X.sql_with(
         "doc_principals held",
-        """SELECT "user", CAST(count(DISTINCT doc_id) AS BIGINT) AS visible, CAST(sum(doc_id) AS BIGINT) AS checksum FROM (
+        """SELECT "user", CAST(count(DISTINCT doc_id) AS BIGINT) AS visible FROM (
 SELECT DISTINCT "user", doc_id FROM held JOIN (SELECT doc_id, unnest(principals) AS principal FROM doc_principals) USING (principal)
 UNION ALL
 SELECT u."user", d.doc_id FROM (SELECT DISTINCT "user" FROM held) u, doc_principals d WHERE list_contains(d.principals, 'idp_wide'))
