@@ -1,4 +1,5 @@
 import datetime as dt
+import itertools
 from dataclasses import replace
 from decimal import Decimal
 
@@ -35,6 +36,38 @@ def test_candidate_keys_with_nulls(spark):
     assert got == {"a": True, "b": False, "c": False}
 
 
+def test_minimal_keys_by_trying_all_sets(spark, monkeypatch):
+    monkeypatch.setattr(C, "REFUTING_ROWS", 5)
+    rows = [(i % 4, i // 4 % 3, i // 12 % 5, i if i % 9 else None, f"{i % 7}|", f"{i // 7}") for i in range(60)]
+    columns = ["a", "b", "c", "d", "e", "f"]
+    table = spark.createDataFrame(rows, columns)
+
+    def is_key(s):
+        values = [tuple(r[columns.index(c)] for c in s) for r in rows]
+        return not any(None in v for v in values) and len(set(values)) == len(values)
+
+    keys = [s for n in (1, 2, 3) for s in itertools.combinations(columns, n) if is_key(s)]
+    want = [s for s in keys if not any(set(k) < set(s) for k in keys)]
+    assert C.minimal_keys(table) == want and ("a", "b", "c") in want and ("e", "f") in want
+    assert C.minimal_keys(table.where("false")) == []
+
+
+def test_sketches_merge_as_if_taken_at_once(spark):
+    table = spark.range(30_000).selectExpr("id % 5000 AS n", "id * 0.5 AS x", "concat('v', id % 300) AS s", "IF(id % 10 = 0, NULL, id) AS m", "array(id % 3) AS l")
+    parts = [C.column_sketches("t", table.where(f"pmod(x, 3) {test} 1")) for test in ("<", ">=")]
+    merged = {r["column"]: r for r in C.merge_sketches(parts[0].unionByName(parts[1])).select("*", F.hll_sketch_estimate("distinct_sketch").alias("d")).collect()}
+    whole = {r["column"]: r for r in C.column_sketches("t", table).collect()}
+    for c, distinct in {"n": 5000, "x": 30_000, "s": 300, "m": 27_000, "l": 3}.items():
+        assert abs(merged[c]["d"] - distinct) <= 0.025 * distinct + 1
+        for name in ("rows", "null_count", "min_value", "max_value", "type", "ordinal"):
+            assert merged[c][name] == whole[c][name], (c, name)
+    assert merged["m"]["null_count"] == 3000 and merged["l"]["min_value"] is None
+    half = C.merge_sketches(parts[0].unionByName(parts[1])).where("column = 'x'").select(F.kll_sketch_get_quantile_double("quantile_sketch", F.lit(0.5))).first()[0]
+    assert abs(half - 7500) < 0.015 * 15_000
+    plan = C.column_sketches("t", table)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (") == 1
+
+
 def test_catalog_inventory(spark):
     spark.range(7).createOrReplaceTempView("seven_rows")
     got = C.catalog_inventory(spark, "default").where("name = 'seven_rows'").first()

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import combinations
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import catalog as C
 from tidemark.plans import inputs as X
 from tidemark.plans.registry import query
+from tidemark.session import cut_lineage
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -23,29 +28,66 @@ def table_inventory(spark, sf):
     return C.table_inventory({t: X.table(spark, sf, t) for t in TABLES})
 
 
-PROFILED = {
-    "orders": ("o_orderkey", "o_orderkey:bigint o_custkey:bigint o_orderstatus:string o_orderdate:timestamp_ntz o_orderpriority:string"),
-    "customer": ("c_custkey", "c_custkey:bigint c_name:string c_nationkey:int c_mktsegment:string"),
+#: Columns of the given tables, and what orders their rows. Fixed values.
+COLUMNS = {
+    "region": "r_regionkey:int r_name:string",
+    "nation": "n_nationkey:int n_name:string n_regionkey:int",
+    "customer": "c_custkey:bigint c_name:string c_nationkey:int c_acctbal:double c_mktsegment:string",
+    "supplier": "s_suppkey:bigint s_name:string s_nationkey:int s_acctbal:double",
+    "part": "p_partkey:bigint p_name:string p_brand:string p_type:string p_size:int p_retailprice:double",
+    "orders": "o_orderkey:bigint o_custkey:bigint o_orderstatus:string o_totalprice:double o_orderdate:timestamp_ntz o_orderpriority:string",
+    "lineitem": "l_orderkey:bigint l_partkey:bigint l_suppkey:bigint l_linenumber:int l_quantity:double l_extendedprice:double l_discount:double l_tax:double "
+    "l_returnflag:string l_linestatus:string l_shipdate:timestamp_ntz",
+    "events": "event_id:bigint ts:timestamp_ntz user_id:bigint event_type:string value:double props:string",
+    "documents": "doc_id:bigint text:string lang:string source:string n_chars:bigint",
+    "embeddings": "vec_id:bigint embedding:array<float> label:int",
+    "pages": "page_id:bigint url:string html:string",
+    "benchmark": "item_id:bigint text:string",
+    "labels": "doc_id:bigint quality:int toxic:int",
+    "conversations": "conv_id:bigint turn:bigint role:string text:string",
 }
+ORDER = {"lineitem": "l_orderkey l_linenumber l_partkey l_suppkey l_extendedprice", "conversations": "conv_id turn role"}
+
+
+def _columns(table: str) -> list[tuple[str, str]]:
+    return [tuple(c.split(":")) for c in COLUMNS[table].split()]
+
 
+def _order(table: str) -> list[str]:
+    return ORDER.get(table, _columns(table)[0][0]).split()
 
-def _profile_sql(table: str, key: str, columns: str) -> str:
+
+def _shown(column: str, kind: str) -> str:
+    return f"printf('%.6f', {column})" if kind == "double" else f"CAST(len({column}) AS VARCHAR)" if kind.startswith("array") else f"CAST({column} AS VARCHAR)"
+
+
+def _profile_sql(table: str) -> str:
+    order = ", ".join(_order(table))
     return " UNION ALL ".join(
         f"""SELECT '{table}' AS "table", {i} AS ordinal, '{c}' AS "column", '{t}' AS type, true AS nullable, CAST(NULL AS VARCHAR) AS comment,
-count(*) - count({c}) AS null_count, count(DISTINCT {c}) AS distinct_count,
-CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value,
-(SELECT string_agg(CAST({c} AS VARCHAR), '|' ORDER BY {key}) FROM (SELECT * FROM {table} ORDER BY {key} LIMIT 5)) AS samples FROM {table}"""
-        for i, (c, t) in enumerate((x.split(":") for x in columns.split()), 1)
+count(*) AS rows, count(*) - count({c}) AS null_count, count(DISTINCT {c}) AS distinct_count,
+{"CAST(NULL AS VARCHAR)" if t.startswith("array") else _shown(f"min({c})", t)} AS min_value, {"CAST(NULL AS VARCHAR)" if t.startswith("array") else _shown(f"max({c})", t)} AS max_value,
+(SELECT string_agg(substr({_shown(c, t)}, 1, 60), '|' ORDER BY {order}) FROM (SELECT * FROM {table} ORDER BY {order} LIMIT 5)) AS samples,
+true AS distinct_within, true AS median_within FROM {table}"""
+        for i, (c, t) in enumerate(_columns(table), 1)
     )
 
 
-@query("column_profile", " UNION ALL ".join(_profile_sql(t, k, c) for t, (k, c) in PROFILED.items()))
+@query("column_profile", " UNION ALL ".join(map(_profile_sql, TABLES)))
 def column_profile(spark, sf):
-    profiles = []
-    for name, (key, columns) in PROFILED.items():
-        df = X.table(spark, sf, name).select(*[c.split(":")[0] for c in columns.split()])
-        profiles.append(C.column_profile(name, df, key))
-    return profiles[0].unionByName(profiles[1])
+    """All columns of all tables. The sketches' figures are given as whether they are within their stated errors, three deviations of the distinct
+    count and 1.5 % of the rank of the median, by exact counts."""
+    tables = {t: X.table(spark, sf, t) for t in TABLES}
+    profile = cut_lineage(C.column_profile(tables, {t: _order(t) for t in TABLES}))
+    medians: dict[str, dict[str, float]] = {}
+    for r in profile.where("median_estimate is not null").select("table", "column", "median_estimate").collect():
+        medians.setdefault(r["table"], {})[r["column"]] = r["median_estimate"]
+    ranks = reduce(DataFrame.unionByName, [C.median_ranks(tables[t], m).withColumn("table", F.lit(t)) for t, m in medians.items()])
+    near = ranks.select("table", "column", ((F.col("below") <= 0.515 * F.col("n")) & (F.col("upto") >= 0.485 * F.col("n"))).alias("near"))
+    error = 3 * 1.04 / 2 ** (C.HLL_BITS / 2)
+    within = F.abs(F.col("distinct_estimate") - F.col("distinct_count")) <= F.ceil(error * F.col("distinct_count"))
+    profile = profile.join(near, ["table", "column"], "left").withColumns({"distinct_within": within, "median_within": F.coalesce("near", F.lit(True))})
+    return profile.drop("near", "distinct_estimate", "median_estimate")
 
 
 @query(
@@ -77,25 +119,34 @@ def batch_key_lookup(spark, sf):
     return found.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
 
 
-KEYED = {
-    "orders": "o_orderkey o_custkey o_orderdate",
-    "lineitem": "l_orderkey l_partkey l_linenumber",
-    "customer": "c_custkey c_name c_mktsegment",
-    "nation": "n_nationkey n_name n_regionkey",
-    "events": "event_id ts user_id",
-}
-
-
 @query(
     "candidate_keys",
     " UNION ALL ".join(
         f"""SELECT '{t}' AS "table", '{c}' AS "column", count(DISTINCT {c}) AS distinct_values, count(*) = count(DISTINCT {c}) AS is_key FROM {t}"""
-        for t, cs in KEYED.items()
-        for c in cs.split()
+        for t in TABLES
+        for c, _ in _columns(t)
     ),
 )
 def candidate_keys(spark, sf):
-    return C.candidate_keys({t: X.table(spark, sf, t).select(*cs.split()) for t, cs in KEYED.items()})
+    return C.candidate_keys({t: X.table(spark, sf, t) for t in TABLES})
+
+
+def _keys_sql() -> str:
+    """Distinct counts of every set of up to three columns; of the sets that tell all rows apart, those without a smaller one inside."""
+    tried = [(t, s) for t in TABLES for n in (1, 2, 3) for s in combinations([c for c, _ in _columns(t)], n)]
+    sets = " UNION ALL ".join(
+        f"""SELECT '{t}' AS "table", [{", ".join(f"'{c}'" for c in s)}] AS columns, (SELECT count(*) FROM (SELECT DISTINCT {", ".join(s)} FROM {t}
+WHERE {" AND ".join(f"{c} IS NOT NULL" for c in s)})) = (SELECT count(*) FROM {t}) AND (SELECT count(*) FROM {t}) > 0 AS is_key"""
+        for t, s in tried
+    )
+    return f"""WITH sets AS ({sets}), keys AS (SELECT * FROM sets WHERE is_key)
+SELECT "table", array_to_string(columns, ',') AS columns, CAST(len(columns) AS INTEGER) AS size FROM keys AS k
+WHERE NOT EXISTS (SELECT 1 FROM keys AS s WHERE s."table" = k."table" AND len(s.columns) < len(k.columns) AND list_has_all(k.columns, s.columns))"""
+
+
+@query("composite_keys", _keys_sql())
+def composite_keys(spark, sf):
+    return C.composite_keys({t: X.table(spark, sf, t) for t in TABLES})
 
 
 def _order_facts(spark, sf):
