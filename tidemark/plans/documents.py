@@ -59,18 +59,24 @@ def row_to_document(spark, sf):
     return flat(customer_documents(spark, sf), "id", "title", "body", "mime_type", "metadata", "updated_at")
 
 
-@query(
-    "file_to_document",
-    X.sql_with(
-        "files",
-        """SELECT CASE WHEN length('databricks_volume:' || path) > 1024 OR contains(path, '_') THEN left(replace('databricks_volume:' || path, '/', '_'), 991) || '_' || md5(path) ELSE replace('databricks_volume:' || path, '/', '_') END AS id, name AS title,
+FILE_MIME = """CASE WHEN lower(name) LIKE '%.pdf' THEN 'application/pdf' WHEN lower(name) LIKE '%.txt' THEN 'text/plain'
+WHEN lower(name) LIKE '%.md' THEN 'text/markdown' WHEN lower(name) LIKE '%.html' OR lower(name) LIKE '%.htm' THEN 'text/html'
+WHEN lower(name) LIKE '%.docx' THEN 'application/vnd.openxmlformats-officedocument.wordprocessingml.document'
+WHEN lower(name) LIKE '%.pptx' THEN 'application/vnd.openxmlformats-officedocument.presentationml.presentation'
+WHEN lower(name) LIKE '%.xlsx' THEN 'application/vnd.openxmlformats-officedocument.spreadsheetml.sheet'
+WHEN lower(name) LIKE '%.json' THEN 'application/json' WHEN lower(name) LIKE '%.csv' THEN 'text/csv' ELSE 'application/octet-stream' END"""
+
+FILE_DOCUMENTS = f"""SELECT CASE WHEN length('databricks_volume:' || path) > 1024 OR contains(path, '_') THEN left(replace('databricks_volume:' || path, '/', '_'), 991) || '_' || md5(path)
+ELSE replace('databricks_volume:' || path, '/', '_') END AS id, name AS title, text AS body, {FILE_MIME} AS mime_type,
 CAST(json_object('title', name, 'source', 'databricks_uc_volume', 'volume_path', path,
-  'updated_at', strftime(updated_at, '%Y-%m-%dT%H:%M:%S+00:00')) AS VARCHAR) AS metadata,
-'group:external_group:docs_readers' AS readers FROM files""",
-    ),
-)
+  'updated_at', strftime(updated_at, '%Y-%m-%dT%H:%M:%S+00:00')) AS VARCHAR) AS metadata, updated_at,
+'group:external_group:docs_readers' AS readers FROM files JOIN documents USING (doc_id)"""
+
+
+@query("file_to_document", X.sql_with("files", FILE_DOCUMENTS))
 def file_to_document(spark, sf):
-    return flat(D.file_to_document(X.files(spark, sf), ["docs_readers"]), "id", "title", "metadata")
+    documents = D.file_to_document(X.files(spark, sf, with_body=True), ["docs_readers"])
+    return flat(documents.withColumn("body", F.decode("body", "UTF-8")), "id", "title", "body", "mime_type", "metadata", "updated_at")
 
 
 def _decoded(text: str) -> str:

@@ -73,7 +73,7 @@ FROM (SELECT *, list_extract({SUFFIXES}, CAST(doc_id % 12 AS INT) + 1) AS sfx FR
 )
 
 
-def files(spark, sf) -> DataFrame:
+def files(spark, sf, with_body: bool = False) -> DataFrame:
     suffix = F.element_at(F.array(*[F.lit(s) for s in SUFFIXES]), (F.col("doc_id") % 12).cast("int") + 1)
     name = F.concat(F.col("doc_id").cast("string"), suffix)
     return table(spark, sf, "documents").select(
@@ -81,6 +81,7 @@ def files(spark, sf) -> DataFrame:
         name.alias("name"),
         F.concat(F.lit("/Volumes/main/docs/"), "source", F.lit("/"), name).alias("path"),
         _hours_after("2024-01-01", "doc_id").alias("updated_at"),
+        *([F.encode("text", "UTF-8").alias("body")] if with_body else []),
     )
 
 

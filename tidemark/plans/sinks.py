@@ -96,6 +96,16 @@ def purge_batches(spark, sf):
     return B.purge_requests(gone, "doc_id", 250)
 
 
+@query(
+    "purge_lines",
+    f"""SELECT CAST(doc_id AS VARCHAR) AS id, CAST({_place("CAST(doc_id AS VARCHAR)")} // 250 AS BIGINT) AS request FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
+)
+def purge_lines(spark, sf):
+    from tidemark.operators.changes import missing_ids
+
+    return B.purge_lines(missing_ids(X.table(spark, sf, "documents"), X.table(spark, sf, "labels"), "doc_id"), "doc_id", 250)
+
+
 @query(
     "mapping_batches",
     X.sql_with(

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 from pyspark.sql import functions as F
 
+from tidemark.operators.documents import file_to_document
 from tidemark.plans import inputs as X
+from tidemark.plans.documents import CUSTOMER_DOCUMENTS, FILE_DOCUMENTS, customer_documents, flat
 from tidemark.plans.registry import query
 from tidemark.session import run_folder
 from tidemark.sources import feeds, files, tables
@@ -14,14 +17,39 @@ from tidemark.sources import feeds, files, tables
 SINCE = dt.datetime(2000, 1, 1)
 
 
-@query("file_inventory")
+def _land(spark, sf, folder: str, parity: int) -> None:
+    """Benchmark items with even or odd ids as one text file each."""
+    items = X.table(spark, sf, "benchmark").where(f"item_id % 2 = {parity}").withColumn("item", F.concat("item_id", F.lit(".txt")))
+    items.select("item", "text").write.mode("append").partitionBy("item").option("lineSep", "\x00").text(folder)
+
+
+def _listed(found):
+    """What does not depend on where and when the files were landed."""
+    item = F.regexp_extract("path", "/item=(\\d+)", 1).cast("bigint")
+    return found.select(item.alias("item_id"), "length", "mime_type")
+
+
+_LANDED = "SELECT item_id, CAST(octet_length(encode(text)) + 1 AS BIGINT) AS length, 'text/plain' AS mime_type FROM benchmark"
+
+
+@query("file_inventory", _LANDED)
 def file_inventory(spark, sf):
-    return files.read_files(spark, sf)
+    """Files landed in two goes, listed without opening any."""
+    folder = run_folder(spark, "inventory")
+    for parity in (0, 1):
+        _land(spark, sf, folder, parity)
+    return _listed(files.read_files(spark, folder))
 
 
-@query("files_modified_since")
+@query("files_modified_since", f"{_LANDED} WHERE item_id % 2 = 1")
 def files_modified_since(spark, sf):
-    return files.read_files(spark, sf, since="1971-01-01T00:00:00").select("path", "name", "length", "mime_type")
+    """Items with even ids are landed first; the newest of their times is the mark, and only what was landed after it is listed."""
+    folder = run_folder(spark, "modified")
+    _land(spark, sf, folder, 0)
+    mark = files.read_files(spark, folder).select(F.date_format(F.max("updated_at"), "yyyy-MM-dd'T'HH:mm:ss.SSS")).first()[0]
+    time.sleep(1.1)  # file systems that keep whole seconds
+    _land(spark, sf, folder, 1)
+    return _listed(files.read_files(spark, folder, since=mark))
 
 
 @query(
@@ -63,24 +91,32 @@ def table_incremental_scan(spark, sf):
 
 @query(
     "json_feed_explode",
-    X.sql_with("articles", "SELECT id, title, body_html, url, author, coalesce(status, 'none') AS status FROM articles"),
+    X.sql_with(
+        "articles",
+        """SELECT id, title, body_html, url, author, CASE WHEN id % 50 = 7 THEN NULL ELSE coalesce(status, 'none') END AS status,
+array_to_string(tags, ',') AS tags, array_to_string(reader_users, ',') AS reader_users, array_to_string(reader_groups, ',') AS reader_groups,
+strftime(updated_at, '%Y-%m-%dT%H:%M:%SZ') AS updated_at, is_public, CASE WHEN id % 50 = 7 THEN 'status:BIGINT' ELSE '' END AS mistyped,
+CASE WHEN id % 3 = 0 THEN '{"review":{"stars":' || id % 5 || '}}' ELSE '{}' END AS rest FROM articles""",
+    ),
 )
 def json_feed_explode(spark, sf):
-    """Pages of twenty articles are landed in both shapes, then read back as one feed."""
+    """Pages of twenty articles are landed in both shapes, then read back whole as one feed; some hold a field nobody told of, some a number for a status."""
     articles = X.articles(spark, sf).withColumn("page", F.floor(F.col("id") / 20))
-    fields = F.struct("id", "title", "body_html", "url", "author", "status")
-    pages = articles.groupBy("page").agg(F.collect_list(fields).alias("rows"))
-    first_shape = F.col("page") % 2 == 0
-    landed = pages.select(
-        F.when(first_shape, F.col("rows")).alias("articles"),
-        F.when(first_shape, F.concat(F.lit("after-"), F.col("page"))).alias("next_page_token"),
-        F.when(~first_shape, F.col("rows")).alias("items"),
-        F.when(~first_shape, F.col("page") + 1).alias("next_page"),
-        F.size("rows").cast("bigint").alias("total"),
-    )
+    fields = F.struct(
+        "id", "title", "body_html", "url", "author", "tags", "reader_users", "reader_groups", "is_public",
+        F.date_format("updated_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("updated_at"),
+        F.when(F.col("id") % 3 == 0, F.struct((F.col("id") % 5).alias("stars"))).alias("review"),
+    )
+    status = F.when(F.col("id") % 50 == 7, F.col("id").cast("string")).otherwise(F.coalesce(F.concat(F.lit('"'), "status", F.lit('"')), F.lit("null")))
+    text = F.concat(F.regexp_replace(F.to_json(fields), r"\}$", ""), F.lit(',"status":'), status, F.lit("}"))
+    pages = articles.groupBy("page").agg(F.array_join(F.collect_list(text), ",").alias("rows"), F.count("*").alias("n"))
+    first, second = (F.concat(F.lit(f'{{"{name}":['), "rows", F.lit('],"next":'), "page", F.lit(',"total":'), "n", F.lit("}")) for name in ("articles", "items"))
     folder = run_folder(spark, "feed")
-    landed.write.json(folder)
-    return feeds.read_feed(spark, folder).withColumn("status", F.coalesce("status", F.lit("none")))
+    pages.select(F.when(F.col("page") % 2 == 0, first).otherwise(second).alias("value")).write.text(folder)
+    feed = feeds.read_records(spark, folder, feeds.ARTICLE_FIELDS)
+    lists = {c: F.array_join(c, ",") for c in ("tags", "reader_users", "reader_groups")}
+    absent = F.col("status").isNull() & (F.col("mistyped") == "")
+    return feed.withColumns({**lists, "status": F.when(absent, "none").otherwise(F.col("status"))})
 
 
 @query(
@@ -97,17 +133,12 @@ def active_category_filter(spark, sf):
 
 @query(
     "multi_source_union",
-    X.sql_with(
-        "files",
-        """SELECT CASE WHEN length('databricks_volume:' || path) > 1024 OR contains(path, '_') THEN left(replace('databricks_volume:' || path, '/', '_'), 991) || '_' || md5(path) ELSE replace('databricks_volume:' || path, '/', '_') END AS id, name AS title, NULL AS primary_key FROM files
-UNION ALL SELECT 'databricks_row:main.sales.customer:' || c_custkey, 'customer row ' || c_custkey, CAST(c_custkey AS VARCHAR) FROM customer""",
-    ),
+    X.sql_with("files", f"""SELECT *, NULL AS primary_key FROM ({FILE_DOCUMENTS}) UNION ALL SELECT *, split_part(id, ':', 3) FROM ({CUSTOMER_DOCUMENTS})"""),
 )
 def multi_source_union(spark, sf):
-    from tidemark.operators.documents import file_to_document, row_to_document
-
-    rows = row_to_document(X.table(spark, sf, "customer"), "main", "sales", "customer", "c_custkey", ["c_name"])
-    return tables.union_sources(file_to_document(X.files(spark, sf)), rows).select("id", "title", "primary_key")
+    """Whole documents of files and of table rows."""
+    found = file_to_document(X.files(spark, sf, with_body=True), ["docs_readers"]).withColumn("body", F.decode("body", "UTF-8"))
+    return flat(tables.union_sources(found, customer_documents(spark, sf)), "id", "title", "body", "mime_type", "metadata", "updated_at", "primary_key")
 
 
 @query(

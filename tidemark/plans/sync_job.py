@@ -18,7 +18,7 @@ from tidemark.functions.access import access_key, principal_text
 from tidemark.functions.payload import import_line
 from tidemark.operators import changes as C
 from tidemark.operators.documents import duplicate_ids
-from tidemark.sinks.batching import purge_requests
+from tidemark.sinks.batching import purge_lines, purge_requests
 from tidemark.sinks.shard_writer import LINE, read_state, write_shards
 from tidemark.sinks.shards import import_manifest
 
@@ -146,5 +146,6 @@ def _stage(documents, difference, shards, folder, run_id, reconcile) -> None:
     patches = C.acl_only(difference).join(documents.select("id", readers), "id").select("id", "readers")
     patches.write.mode("overwrite").json(f"{folder}/patches")
     gone = difference.where("change = 'delete'").select("id")
+    purge_lines(gone, "id").write.mode("overwrite").json(f"{folder}/deletes")
     purge_requests(gone, "id").write.mode("overwrite").json(f"{folder}/purges")
     import_manifest(shards, run_id, reconcile).write.mode("overwrite").parquet(f"{folder}/manifest")

@@ -86,3 +86,8 @@ def purge_requests(ids: DataFrame, key: str, size: int = IDS_PER_PURGE) -> DataF
     """One filter string per request; a request holds at most ``size`` ids."""
     batches = numbered_batches(ids.select(key), key, size)
     return batches.groupBy("batch").agg(F.count("*").alias("ids"), any_filter(F.col(key)).alias("filter"))
+
+
+def purge_lines(ids: DataFrame, key: str, size: int = IDS_PER_PURGE) -> DataFrame:
+    """(id, request): one line per id with the number of its request, for deletes that are handed over as files."""
+    return numbered_batches(ids.select(F.col(key).cast("string").alias("id")), "id", size).withColumnRenamed("batch", "request")
