@@ -43,35 +43,29 @@ def attach_embeddings(documents: DataFrame, vectors: DataFrame, dimension: int)
     )
 
 
-def keyword_matches(documents: DataFrame, queries: DataFrame) -> DataFrame:
+def keyword_matches(documents: DataFrame, queries: DataFrame, since: Column | None = None) -> DataFrame:
     """(query_id, doc_id, score) for documents that hold every word of a query (an action).
 
-    Candidates come from each query's rarest word alone, so common words never pair
-    documents with queries; a candidate is then checked against all words. ``score``
-    is the number of query word occurrences in the document.
+    ``since`` is a condition on documents, such as newer than a mark; it is applied before their texts are read. Texts are read and cut into words
+    once: words that some query has are counted per document and written, and all that follows comes from these counts. Candidates come from each query's rarest
+    word alone, so common words never pair documents with queries; a candidate is then checked for all words. ``score`` is the number of query word
+    occurrences in the document.
 
-    Rarest words and candidates are written as small tables. Their real size then
-    decides the joins: broadcast next to a document scan that is not shuffled, or a
-    shuffle join when a batch of queries is too big for that.
+    Vocabulary, counts and candidates are written as tables. Their real size then decides the joins: a broadcast, or a shuffle where they are large.
     """
     wanted = queries.select("query_id", F.array_distinct(tokens(F.col("text"))).alias("words")).where("size(words) > 0")
-    query_words = wanted.select("query_id", F.explode("words").alias("word"))
-    doc_words = documents.select("doc_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("word"))
-    vocabulary = cut_lineage(query_words.select("word").distinct())
-    frequency = doc_words.join(vocabulary, "word", "left_semi").groupBy("word").agg(F.count("*").alias("df"))
+    query_words = cut_lineage(wanted.select("query_id", F.size("words").alias("n_words"), F.explode("words").alias("word")))
+    read = documents if since is None else documents.where(since)
+    found = read.select("doc_id", F.explode(tokens(F.col("text"))).alias("word")).join(query_words.select("word").distinct(), "word", "left_semi")
+    counts = cut_lineage(found.groupBy("doc_id", "word").agg(F.count("*").alias("times")))
+    frequency = counts.groupBy("word").agg(F.count("*").alias("df"))
     # A word no document holds has no frequency; NULL sorts first, and the query finds nothing.
     counted = query_words.join(frequency, "word", "left")
-    rarest = cut_lineage(counted.groupBy("query_id").agg(F.min_by("word", F.struct("df", "word")).alias("word")))
-    candidates = cut_lineage(doc_words.join(rarest, "word").select("query_id", "doc_id"))
-    checked = (
-        documents.select("doc_id", "text")
-        .join(candidates, "doc_id")
-        .withColumn("found", tokens(F.col("text")))
-        .join(wanted, "query_id")
-        .where(F.size(F.array_except("words", "found")) == 0)
-    )
-    hits = F.size(F.filter("found", lambda w: F.array_contains("words", w)))
-    return checked.select("query_id", "doc_id", hits.cast("bigint").alias("score"))
+    rarest = counted.groupBy("query_id").agg(F.min_by("word", F.struct("df", "word")).alias("word"))
+    candidates = cut_lineage(counts.join(rarest, "word").select("query_id", "doc_id"))
+    held = candidates.join(query_words, "query_id").join(counts, ["doc_id", "word"])
+    scored = held.groupBy("query_id", "doc_id").agg(F.count("*").alias("n"), F.first("n_words").alias("n_words"), F.sum("times").alias("score"))
+    return scored.where("n = n_words").select("query_id", "doc_id", "score")
 
 
 def top_hits(matches: DataFrame, k: int) -> DataFrame:

@@ -60,9 +60,10 @@ def _top(source: str) -> str:
 CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INT) AS rank FROM {source}) WHERE rank <= {TOP}"""
 
 
-def _matches(spark, sf):
+def _matches(spark, sf, since=None):
     queries = X.table(spark, sf, "benchmark").withColumnRenamed("item_id", "query_id")
-    return R.keyword_matches(X.table(spark, sf, "documents").select("doc_id", "text"), queries)
+    documents = X.table(spark, sf, "documents").select("doc_id", "text", X._hours_after("2024-01-01", "doc_id").alias("updated_at"))
+    return R.keyword_matches(documents, queries, since)
 
 
 @query("keyword_search_topk", _MATCHES + "\n" + _top("matches"))
@@ -70,6 +71,19 @@ def keyword_search_topk(spark, sf):
     return R.top_hits(_matches(spark, sf), TOP).select("query_id", "doc_id", "score", "rank")
 
 
+MARK = "2024-01-20 00:00:00"
+
+
+@query(
+    "keyword_search_newer",
+    _MATCHES.replace("FROM documents)", f"FROM documents WHERE TIMESTAMP '2024-01-01' + to_hours(doc_id % 8760) > TIMESTAMP '{MARK}')") + "\n" + _top("matches"),
+)
+def keyword_search_newer(spark, sf):
+    """Best hits among the documents changed after a mark."""
+    since = F.col("updated_at") > F.to_timestamp_ntz(F.lit(MARK))
+    return R.top_hits(_matches(spark, sf, since), TOP).select("query_id", "doc_id", "score", "rank")
+
+
 @query(
     "secure_search",
     _MATCHES
