@@ -7,8 +7,9 @@ and a body is joined back only for ids whose content really changed.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 CLASSES = ("insert", "update", "acl", "delete", "same")
@@ -110,18 +111,29 @@ def change_counts(diff: DataFrame) -> DataFrame:
     return diff.agg(*[F.count_if(F.col("change") == c).alias(c) for c in CLASSES])
 
 
-def sync_history(diff: DataFrame, run_id: str, source_key: str, mode: str) -> DataFrame:
-    """One audit row per run."""
-    names = {"insert": "inserts", "update": "updates", "acl": "acl_updates", "delete": "deletes", "same": "unchanged"}
+HISTORY = {"insert": "inserts", "update": "updates", "acl": "acl_updates", "delete": "deletes", "same": "unchanged"}
+
+
+def sync_history(diff: DataFrame, run_id: str, source_key: str, mode: str, outcomes: DataFrame | None = None) -> DataFrame:
+    """One audit row per run. ``errors``: requests that failed or were not answered, by their ``outcome``; none without outcomes."""
+    missed = F.lit(0).cast("bigint") if outcomes is None else outcomes.agg(F.count_if(F.col("outcome") != "acknowledged")).scalar()
     counted = change_counts(diff)
     return counted.select(
         F.lit(run_id).alias("run_id"),
         F.lit(source_key).alias("source_key"),
         F.lit(mode).alias("mode"),
-        *[F.col(c).alias(n) for c, n in names.items()],
+        *[F.col(c).alias(n) for c, n in HISTORY.items()],
+        missed.alias("errors"),
     )
 
 
+def counted_while_written(df: DataFrame, write: Callable[[DataFrame], None], **totals: Column) -> dict:
+    """Write ``df`` and return ``totals`` over its rows, gathered by the write itself and not by another read (an action)."""
+    seen = Observation()
+    write(df.observe(seen, *[c.alias(name) for name, c in totals.items()]))
+    return seen.get
+
+
 def advance_watermarks(stored: DataFrame, rows: DataFrame, source: str, updated: str) -> DataFrame:
     """The next mark per source: the newest change among the rows read, or the old
     mark when nothing was read. A source without a mark is read in full.

@@ -6,8 +6,11 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import inputs as X
 from tidemark.plans.registry import query
-from tidemark.session import run_folder
+from tidemark.plans.sinks import _place
+from tidemark.session import cut_lineage, run_folder
 from tidemark.sources.tables import union_sources
+from tidemark.sinks.batching import numbered_batches
+from tidemark.streaming import acknowledge as K
 from tidemark.streaming import jobs as J
 
 # Three arrivals that together hold every event.
@@ -105,3 +108,60 @@ def stream_change_counts(spark, sf):
         stream = J.read_landed(spark, folder, events.schema).withColumn("at", F.col("ts").cast("timestamp"))
         J.windowed_counts(stream, "at", "op", "1 hour", "1 day", sink, checkpoint)
     return spark.read.parquet(sink).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "op", "changes")
+
+
+PER_REQUEST = 10
+SENT = "2024-02-01 00:00:00"
+_REQUESTS = f""", requests AS (SELECT id, {_place("id")} // {PER_REQUEST} AS request FROM diff WHERE change <> 'same')"""
+
+
+def _acknowledged(spark, sf):
+    """(changes, requests, outcomes). Of three requests one is acknowledged, one fails and one is never answered; a later run moves time on."""
+    changes = cut_lineage(X.diff(spark, sf))
+    requests = cut_lineage(numbered_batches(changes.where("change <> 'same'").select("id"), "id", PER_REQUEST).withColumnRenamed("batch", "request"))
+    at = F.to_timestamp(F.lit(SENT)) + F.make_dt_interval(secs=F.col("request").cast("decimal(18,6)"))
+    numbers = requests.select("request").distinct()
+    sent = numbers.select("request", at.alias("sent_at"))
+    error = F.when(F.col("request") % 3 == 1, "quota")
+    told = numbers.where("request % 3 <> 2").select("request", (at + F.expr("INTERVAL 20 SECONDS")).alias("answered_at"), error.alias("error"))
+    later = spark.range(1).select((-F.col("id") - 1).alias("request"), F.to_timestamp(F.lit("2024-02-20 00:00:00")).alias("at"))
+    folders = [run_folder(spark, x) for x in ("requests", "results", "outcomes", "checkpoint")]
+    arrivals = [(sent, told), (later.select("request", F.col("at").alias("sent_at")), later.select("request", F.col("at").alias("answered_at"), F.lit(None).cast("string").alias("error")))]
+    for rows in arrivals:
+        for one, folder in zip(rows, folders):
+            one.write.mode("append").parquet(folder)
+        streams = [J.read_landed(spark, folder, one.schema) for one, folder in zip(rows, folders)]
+        K.request_outcomes(*streams, "10 MINUTES", "1 hour", *folders[2:])
+    outcomes = spark.read.parquet(folders[2]).where("request >= 0")
+    return changes, requests, cut_lineage(K.final_outcomes(outcomes))
+
+
+@query(
+    "request_outcomes",
+    X.sql_with("diff", "").rstrip()
+    + _REQUESTS
+    + """ SELECT CAST(request AS BIGINT) AS request, ['acknowledged', 'failed', 'unanswered'][request % 3 + 1] AS outcome, CASE WHEN request % 3 = 1 THEN 'quota' END AS error,
+count(*) AS ids FROM requests GROUP BY request""",
+)
+def request_outcomes(spark, sf):
+    _, requests, outcomes = _acknowledged(spark, sf)
+    return outcomes.join(requests.groupBy("request").agg(F.count("*").alias("ids")), "request").select("request", "outcome", "error", "ids")
+
+
+@query(
+    "acknowledged_mirror",
+    X.sql_with("diff act mir", "").rstrip()
+    + _REQUESTS
+    + f""", done AS (SELECT diff.id, change FROM diff JOIN requests USING (id) WHERE request % 3 = 0)
+SELECT id, content_hash, acl_hash, TIMESTAMP '{X.MIRROR_CUT}' AS last_synced, id IN (SELECT id FROM requests) AS staged_again FROM mir WHERE id NOT IN (SELECT id FROM done)
+UNION ALL SELECT act.id, content_hash, acl_hash, TIMESTAMP '{SENT}', false FROM act JOIN done ON act.id = done.id AND change <> 'delete'
+UNION ALL SELECT id, NULL, NULL, NULL, true FROM requests WHERE request % 3 <> 0 AND id NOT IN (SELECT id FROM mir)""",
+)
+def acknowledged_mirror(spark, sf):
+    """The mirror after a run of which a third was acknowledged, and what has to be sent again (not in the mirror yet, or still as it was)."""
+    changes, requests, outcomes = _acknowledged(spark, sf)
+    done = cut_lineage(K.acknowledged_changes(changes, requests, outcomes))
+    old = X.mir(spark, sf).withColumn("last_synced", F.to_timestamp_ntz(F.lit(X.MIRROR_CUT)))
+    mirror = K.acknowledged_mirror(X.act(spark, sf), old, done, F.to_timestamp_ntz(F.lit(SENT)))
+    again = K.staged_again(changes, done).select("id", F.lit(True).alias("staged_again"))
+    return mirror.join(again, "id", "full_outer").withColumn("staged_again", F.coalesce("staged_again", F.lit(False)))

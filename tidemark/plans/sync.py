@@ -11,6 +11,8 @@ from tidemark.operators.documents import route_by_status
 from tidemark.plans import inputs as X
 from tidemark.plans.documents import ROUTED
 from tidemark.plans.registry import query
+from tidemark.session import cut_lineage
+from tidemark.sinks.batching import numbered_batches
 from tidemark.session import run_folder
 from tidemark.sinks.tables import append_events
 from tidemark.sources.tables import incremental_scan
@@ -151,10 +153,15 @@ count(*) FILTER (change = 'acl') AS acl_updates, count(*) FILTER (change = 'dele
 @_q(
     "sync_history",
     "diff",
-    f"SELECT 'run-1' AS run_id, 'events' AS source_key, 'incremental' AS mode, {_CLASS_COUNTS} FROM diff",
+    f"""SELECT 'run-1' AS run_id, 'events' AS source_key, 'incremental' AS mode, {_CLASS_COUNTS},
+(SELECT count(*) FROM (SELECT DISTINCT (row_number() OVER (ORDER BY substr(md5(CAST(id AS VARCHAR)), 1, 4), id) - 1) // 10 AS r FROM diff WHERE change <> 'same') WHERE r % 3 <> 0) AS errors FROM diff""",
 )
 def sync_history(spark, sf):
-    return C.sync_history(X.diff(spark, sf), "run-1", "events", "incremental")
+    """Two of three requests of ten ids fail."""
+    difference = cut_lineage(X.diff(spark, sf))
+    requests = numbered_batches(difference.where("change <> 'same'").select("id"), "id", 10).select("batch").distinct()
+    outcomes = requests.select(F.when(F.col("batch") % 3 == 0, "acknowledged").otherwise("failed").alias("outcome"))
+    return C.sync_history(difference, "run-1", "events", "incremental", outcomes)
 
 
 @_q(

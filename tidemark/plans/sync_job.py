@@ -19,7 +19,7 @@ from tidemark.functions.payload import import_line
 from tidemark.operators import changes as C
 from tidemark.operators.documents import duplicate_ids
 from tidemark.sinks.batching import purge_lines, purge_requests
-from tidemark.sinks.shard_writer import LINE, read_state, write_shards
+from tidemark.sinks.shard_writer import LINE, read_manifest, read_state, write_shards
 from tidemark.sinks.shards import import_manifest
 
 HASHES = ["content_hash", "acl_hash"]
@@ -77,43 +77,43 @@ def run_sync(
     # The source is read and hashed once; every later step sees the same rows. On the first run every document goes out, so the pass that
     # hashes them writes them as shards, once; later only those that changed are joined back and written.
     hashed, limits = with_hashes(read_source(since)), (docs_per_shard, bytes_per_shard)
+    totals = {"docs": F.count(F.lit(1)), "no_id": F.count_if(F.col("id").isNull()), "newest": F.max(F.col("updated_at").cast("timestamp_ntz"))}
     if mirror is None:
         kept = hashed.select(*(c for c in hashed.columns if c != "body"), import_line(F.col("body")).alias(LINE))
-        shards = write_shards(kept, f"{folder}/shards", *limits)
+        seen = C.counted_while_written(kept, lambda df: write_shards(df, f"{folder}/shards", *limits), **totals)
+        shards = read_manifest(spark, f"{folder}/shards")
         documents = read_state(spark, f"{folder}/shards", kept.drop(LINE).schema)
     else:
-        hashed.write.mode("overwrite").parquet(f"{folder}/documents")
+        seen = C.counted_while_written(hashed, lambda df: df.write.mode("overwrite").parquet(f"{folder}/documents"), **totals)
         documents = spark.read.parquet(f"{folder}/documents")
     state = documents.select("id", *HASHES)
-    _check(documents, mirror, reconcile, allow_empty)
-    difference = _difference(spark, state, mirror, reconcile, deleted_ids, folder)
+    _check(documents, seen, mirror, reconcile, allow_empty)
+    difference, counts = _difference(spark, state, mirror, reconcile, deleted_ids, folder)
     if mirror is not None:
         lines = C.import_batch(difference, documents).select(import_line(F.col("body")).alias(LINE))
         shards = write_shards(lines, f"{folder}/shards", *limits)
-    _stage(documents, difference, shards, folder, run_id, reconcile)
+    requests = _stage(documents, difference, shards, folder, run_id, reconcile)
     stamp = F.lit(synced_at).cast("timestamp_ntz")
     _next_mirror(state, difference, mirror, reconcile, stamp).write.mode("overwrite").parquet(f"{folder}/mirror")
-    C.sync_history(difference, run_id, source_key, mode).write.mode("overwrite").parquet(f"{home}/history/run={run_id}")
-
-    newest = documents.select(F.max("updated_at").cast("timestamp_ntz").alias("newest")).first()["newest"]
-    advanced = max((t for t in (newest, mark) if t is not None), default=None)
-    counts = C.change_counts(difference).first().asDict()
-    requests = spark.read.parquet(f"{folder}/manifest").count()
+    row = {"run_id": run_id, "source_key": source_key, "mode": mode, **{n: counts[c] for c, n in C.HISTORY.items()}, "errors": 0}
+    columns = ", ".join(f"{c} {'string' if isinstance(v, str) else 'long'}" for c, v in row.items())
+    spark.createDataFrame([tuple(row.values())], columns).write.mode("overwrite").parquet(f"{home}/history/run={run_id}")
+    advanced = max((t for t in (seen["newest"], mark) if t is not None), default=None)
     return SyncResult(run_id, reconcile, counts, requests, advanced, folder)
 
 
-def _check(documents, mirror, reconcile, allow_empty) -> None:
-    if not documents.where("id IS NULL").isEmpty():
+def _check(documents, seen, mirror, reconcile, allow_empty) -> None:
+    if seen["no_id"]:
         raise ValueError("some documents have no id")
     if not duplicate_ids(documents).isEmpty():
         raise ValueError("some ids are produced more than once; see duplicate_ids")
-    empty_snapshot = reconcile == "FULL" and documents.isEmpty()
+    empty_snapshot = reconcile == "FULL" and not seen["docs"]
     if empty_snapshot and not allow_empty and mirror is not None and not mirror.isEmpty():
         raise ValueError("the snapshot is empty and would delete everything; pass allow_empty to mean it")
 
 
-def _difference(spark, state, mirror, reconcile, deleted_ids, folder) -> DataFrame:
-    """(id, change), written once. An incremental run looks only at the ids it was given."""
+def _difference(spark, state, mirror, reconcile, deleted_ids, folder) -> tuple[DataFrame, dict[str, int]]:
+    """(id, change), written once, and how many there are of each; the write counts them. An incremental run looks only at the ids it was given."""
     if mirror is None:
         difference = state.select("id", F.lit("insert").alias("change"))
     elif reconcile == "FULL":
@@ -125,8 +125,9 @@ def _difference(spark, state, mirror, reconcile, deleted_ids, folder) -> DataFra
             gone = deleted_ids.select("id").distinct().join(state.select("id"), "id", "left_anti")
             gone = gone.join(mirror.select("id"), "id", "left_semi")
             difference = difference.unionByName(gone.withColumn("change", F.lit("delete")))
-    difference.write.mode("overwrite").parquet(f"{folder}/diff")
-    return spark.read.parquet(f"{folder}/diff")
+    classes = {c: F.count_if(F.col("change") == c) for c in C.CLASSES}
+    counts = C.counted_while_written(difference, lambda df: df.write.mode("overwrite").parquet(f"{folder}/diff"), **classes)
+    return spark.read.parquet(f"{folder}/diff"), counts
 
 
 def _next_mirror(state, difference, mirror, reconcile, stamp) -> DataFrame:
@@ -140,12 +141,13 @@ def _next_mirror(state, difference, mirror, reconcile, stamp) -> DataFrame:
     return mirror.select("id", *HASHES, "last_synced").join(touched.select("id"), "id", "left_anti").unionByName(fresh)
 
 
-def _stage(documents, difference, shards, folder, run_id, reconcile) -> None:
-    """Write the manifest of the shards, access patches and purge requests."""
+def _stage(documents, difference, shards, folder, run_id, reconcile) -> int:
+    """Write the manifest of the shards, access patches and purge requests; the number of import requests."""
     readers = principal_text(F.col("principals")).alias("readers")
     patches = C.acl_only(difference).join(documents.select("id", readers), "id").select("id", "readers")
     patches.write.mode("overwrite").json(f"{folder}/patches")
     gone = difference.where("change = 'delete'").select("id")
     purge_lines(gone, "id").write.mode("overwrite").json(f"{folder}/deletes")
     purge_requests(gone, "id").write.mode("overwrite").json(f"{folder}/purges")
-    import_manifest(shards, run_id, reconcile).write.mode("overwrite").parquet(f"{folder}/manifest")
+    manifest = import_manifest(shards, run_id, reconcile)
+    return C.counted_while_written(manifest, lambda df: df.write.mode("overwrite").parquet(f"{folder}/manifest"), n=F.count(F.lit(1)))["n"]
