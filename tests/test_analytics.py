@@ -68,6 +68,19 @@ def test_sketches_merge_as_if_taken_at_once(spark):
     assert plan.count("Range (") == 1
 
 
+def test_cells_with_late_lines_equal_the_rollup(star):
+    metrics, dimensions = ["net_revenue", "total_orders", "units_sold", "avg_order_value"], ["category", "region", "fiscal_year"]
+    parts = [star.lines.where(c) for c in ("product_id = 0", "product_id = 1 AND order_id = 1", "order_id > 1 AND product_id = 1")]
+    cells = None
+    for lines in parts:
+        more = M.metric_cells(replace(star, lines=lines), dimensions)
+        cells = more if cells is None else M.merge_cells(cells, more)
+    for kept in (dimensions, dimensions[:2], dimensions[:1], []):
+        got = sorted(map(str, M.rollup_cells(cells, metrics, kept).collect()))
+        assert got == sorted(map(str, M.metric_rollup(star, metrics, kept).collect())) if kept else len(got) == 1
+    assert "Expand" not in M.rollup_cells(cells, metrics, dimensions)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_catalog_inventory(spark):
     spark.range(7).createOrReplaceTempView("seven_rows")
     got = C.catalog_inventory(spark, "default").where("name = 'seven_rows'").first()

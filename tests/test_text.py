@@ -132,3 +132,14 @@ def test_files_changed_strictly_after(spark, tmp_path):
     ]
     later = read_files(spark, str(tmp_path), since="2023-11-14T22:13:20").collect()
     assert sorted(r["name"] for r in later) == ["b.pdf", "c"]
+
+
+def test_objects_are_opened_by_name(spark, tmp_path):
+    from tidemark.sources.files import read_objects
+
+    (tmp_path / "a.bin").write_bytes(b"\x00\x01" * 10)
+    (tmp_path / "empty").write_bytes(b"")
+    uris = [(f"file:{tmp_path}/a.bin",), (f"file://{tmp_path}/empty",), (f"file:{tmp_path}/gone",), (None,)]
+    got = {r.uri.rsplit("/", 1)[1]: (r.body, r.error is None) for r in read_objects(spark.createDataFrame(uris, "uri string"), 2).collect()}
+    assert got == {"a.bin": (b"\x00\x01" * 10, True), "empty": (b"", True), "gone": (None, False)}
+    assert read_objects(spark.createDataFrame([], "uri string")).count() == 0

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -169,3 +170,42 @@ def metric_rollup(star: Star, metrics: list[str], dimensions: list[str]) -> Data
         )
     )
     return detail.rollup(*dimensions).agg(level, *_measures(metrics, F.sum("orders"), star.minor_digits))
+
+
+def _cell_sums(wide: str) -> list[Column]:
+    return [F.sum(F.col(c).cast(wide)).alias(c) for c in ("net", "gross", "units")]
+
+
+def metric_cells(star: Star, dimensions: list[str]) -> DataFrame:
+    """Cells that can be merged: per combination of dimensions, and per 32,768 order numbers, the sums and one bitmap of the orders in it.
+
+    Order ids are whole numbers, 0 or more. A line that comes late only adds to its cell: the order's bit may be set already.
+    """
+    dimensions = [resolve_term(d) for d in dimensions]
+    wide = "decimal(28,0)" if star.minor_digits else "decimal(38,6)"
+    facts = per_order(star, dimensions).withColumn("bucket", F.bitmap_bucket_number("order_id"))
+    return facts.groupBy(*dimensions, "bucket").agg(*_cell_sums(wide), F.bitmap_construct_agg(F.bitmap_bit_position("order_id")).alias("orders"))
+
+
+def merge_cells(cells: DataFrame, more: DataFrame) -> DataFrame:
+    """Stored cells with those of further lines."""
+    both = cells.unionByName(more)
+    keys = [c for c in cells.columns if c not in ("net", "gross", "units", "orders")]
+    return both.groupBy(*keys).agg(*_cell_sums("decimal(38,6)" if dict(cells.dtypes)["net"].endswith(",6)") else "decimal(28,0)"), F.bitmap_or_agg("orders").alias("orders"))
+
+
+def rollup_cells(cells: DataFrame, metrics: list[str], dimensions: list[str], minor_digits: int = 0) -> DataFrame:
+    """Subtotals as ``metric_rollup`` gives them, from cells alone.
+
+    Each level is made from the one before by adding sums and uniting bitmaps, so an order that spans products is counted once at every level
+    without meeting the facts, or a copy of them per level, again.
+    """
+    metrics, dimensions = [resolve_term(m) for m in metrics], [resolve_term(d) for d in dimensions]
+    levels, types = [], dict(cells.dtypes)
+    for kept in range(len(dimensions), -1, -1):
+        names, gone = dimensions[:kept], dimensions[kept:]
+        cells = cells.groupBy(*names, "bucket").agg(*_cell_sums("decimal(38,6)" if not minor_digits else "decimal(28,0)"), F.bitmap_or_agg("orders").alias("orders"))
+        level = F.lit((1 << len(gone)) - 1).cast("bigint").alias("level")
+        told = cells.groupBy(*names).agg(*_measures(metrics, F.sum(F.bitmap_count("orders")), minor_digits))
+        levels.append(told.select(*names, *[F.lit(None).cast(types[c]).alias(c) for c in gone], level, *metrics))
+    return reduce(DataFrame.unionByName, levels)

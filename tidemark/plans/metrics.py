@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import metrics as M
 from tidemark.plans import inputs as X
 from tidemark.plans.registry import query
+from tidemark.session import cut_lineage
 
 NET = "CAST(sum(gross_amount - discount_amount) AS DOUBLE) AS net_revenue"
 ORDERS = "count(DISTINCT order_id) AS total_orders"
@@ -143,3 +144,18 @@ def metric_rollup(spark, sf):
 )
 def metric_rollup_products(spark, sf):
     return M.metric_rollup(X.star(spark, sf), ["revenue", "order count", "units", "AOV"], ["category", "geo"])
+
+
+@_q(
+    "metric_cells_rollup",
+    "star",
+    f"SELECT category, region, CAST(grouping_id(category, region) AS BIGINT) AS level, {NET}, {ORDERS}, {UNITS}, {AOV} FROM star GROUP BY ROLLUP (category, region)",
+)
+def metric_cells_rollup(spark, sf):
+    """Stored cells after two further increments, each with lines of orders that are in them already."""
+    star, dimensions, cells = X.star(spark, sf), ["category", "region", "fiscal_year"], None
+    numbered = star.lines.withColumn("part", F.pmod(F.xxhash64("order_id", "product_id"), F.lit(3)))
+    for part in range(3):
+        more = M.metric_cells(replace(star, lines=numbered.where(F.col("part") == part).drop("part")), dimensions)
+        cells = cut_lineage(more if cells is None else M.merge_cells(cells, more))
+    return M.rollup_cells(cells, ["revenue", "order count", "units", "AOV"], ["category", "geo"], star.minor_digits)

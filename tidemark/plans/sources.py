@@ -11,7 +11,7 @@ from tidemark.operators.documents import file_to_document
 from tidemark.plans import inputs as X
 from tidemark.plans.documents import CUSTOMER_DOCUMENTS, FILE_DOCUMENTS, customer_documents, flat
 from tidemark.plans.registry import query
-from tidemark.session import run_folder
+from tidemark.session import cut_lineage, run_folder
 from tidemark.sources import feeds, files, tables
 
 SINCE = dt.datetime(2000, 1, 1)
@@ -160,6 +160,21 @@ def object_delta(spark, sf):
     return files.changed_objects(objects, mirror)
 
 
+@query("object_bodies", "SELECT item_id, CAST(octet_length(encode(text)) + 1 AS BIGINT) AS size, md5(text || chr(0)) AS body_md5 FROM benchmark WHERE item_id % 2 = 1")
+def object_bodies(spark, sf):
+    """A table names all landed objects; only the bodies of those changed since the newest sync are opened."""
+    folder = run_folder(spark, "objects")
+    for parity in (0, 1):
+        _land(spark, sf, folder, parity)
+    item = F.regexp_extract("path", "/item=(\\d+)", 1).cast("bigint")
+    changed = F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00")) + F.make_dt_interval(days=(F.col("item_id") % 2).cast("int"))
+    objects = cut_lineage(files.read_files(spark, folder).select(F.col("path").alias("uri"), item.alias("item_id"), F.col("length").alias("size")).withColumn("updated", changed))
+    mirror = spark.range(1).select(F.to_timestamp_ntz(F.lit("2024-01-01 12:00:00")).alias("last_synced"))
+    found = files.changed_objects(objects, mirror)
+    bodies = files.read_objects(found, 8).select("uri", F.octet_length("body").cast("bigint").alias("size"), F.md5("body").alias("body_md5"))
+    return found.select("uri", "item_id").join(bodies, "uri").select("item_id", "size", "body_md5")
+
+
 @query(
     "attachment_join",
     """SELECT d.doc_id AS attachment_id, d.source, d.n_chars, l.quality, l.toxic

@@ -24,6 +24,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
 from tidemark.constants import BYTES_PER_FILE, DOCS_PER_SHARD
+from tidemark.sinks.storage import storage
 
 FORMAT = "tidemark_shards"
 LINE = "line"
@@ -31,16 +32,6 @@ TOO_LONG = "longer than a file may be"
 MANIFEST = "uri string, docs long, bytes long"
 
 
-def storage(folder: str) -> tuple[pafs.FileSystem, str]:
-    """The file system of a folder and the folder's path in it. Hadoop's ``s3a`` is what Arrow names ``s3``."""
-    for theirs, ours in (("s3a://", "s3://"), ("s3n://", "s3://")):
-        if folder.startswith(theirs):
-            folder = ours + folder[len(theirs) :]
-    if folder.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + folder[len("file:") :].lstrip("/")
-    return pafs.FileSystem.from_uri(folder)
-
-
 @dataclass
 class Written(WriterCommitMessage):
     """The files of one task: the n-th has ``docs[n]`` lines and ``sizes[n]`` bytes."""

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.constants import MIME_BY_EXTENSION, MIME_DEFAULT
+from tidemark.sinks.storage import storage
+
+#: Bytes of bodies that a task holds before it hands them on.
+BODIES_AT_ONCE = 32_000_000
 
 
 def mime_by_extension(name: Column) -> Column:
@@ -47,3 +54,33 @@ def changed_objects(objects: DataFrame, mirror: DataFrame) -> DataFrame:
     start = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
     mark = mirror.select(F.coalesce(F.max("last_synced"), start)).scalar()
     return objects.where(F.col("updated") > mark)
+
+
+def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Open each named object in the task. One that is not there has no body and an error."""
+    names = ["uri", "body", "error"]
+    for batch in batches:
+        rows, held = [], 0
+        for uri in batch.column(0).to_pylist():
+            body, error = None, None
+            try:
+                fs, path = storage(uri)
+                with fs.open_input_stream(path) as stream:
+                    body = stream.read()
+            except (OSError, pa.ArrowException) as problem:
+                error = str(problem)[:300]
+            rows.append((uri, body, error))
+            held += len(body or b"")
+            if held >= BODIES_AT_ONCE:
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.binary(), pa.string()))], names=names)
+                rows, held = [], 0
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.binary(), pa.string()))], names=names)
+
+
+def read_objects(objects: DataFrame, partitions: int | None = None) -> DataFrame:
+    """(uri, body, error) of the objects that a table names in ``uri``, opened in tasks; nothing is listed and the driver sees no name.
+
+    With ``partitions`` the names, not the bodies, are dealt out evenly first. NULL names are left out; an object that cannot be read has an ``error``.
+    """
+    named = objects.where("uri is not null").select("uri")
+    return (named.repartition(partitions) if partitions else named).mapInArrow(_bodies, "uri string, body binary, error string")
