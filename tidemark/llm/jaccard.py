@@ -35,6 +35,8 @@ HOT_SHINGLES = 250_000
 #: Points per leaf, and per cell of a key.
 LEAF = 32
 CELL = 2048
+#: Hubs tried per key before trees are searched.
+HUBS = 5
 REMEMBERED = 500_000
 MIX = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
 
@@ -252,7 +254,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     firsts = stored.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(cut_lineage(copies), "doc_id", "left_anti")
     rows = firsts.select(F.explode("first").alias("key"), F.col("doc_id").alias("id"))
     items = firsts.select(F.col("doc_id").alias("id"), "n_shingles", "counts").dropDuplicates(["id"])
-    _, roots = find_components(rows, items, may_link(percent), verifier(docs, percent), lambda left: forest_search(left, items, percent))
+    _, roots = find_components(rows, items, may_link(percent), verifier(docs, percent), lambda left: forest_search(left, items, percent), rounds=HUBS)
     named = classes.join(roots, "id", "left").select("digest", "n_shingles", "n_copies", F.coalesce("root", "id").alias("component_id"))
     joined = stored.select("doc_id", "n_shingles", "digest").join(named, ["digest", "n_shingles"], "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))

@@ -52,23 +52,40 @@ def _sided(items: DataFrame, side: str) -> DataFrame:
     return items.select(F.col("id").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in items.columns if c != "id"))
 
 
-def find_components(rows: DataFrame, items: DataFrame, test: Callable[[str, str], Column], verify: Verify, search: Callable[[DataFrame], DataFrame] | None = None, kinds: bool = False) -> tuple[DataFrame, DataFrame]:
+def find_components(rows: DataFrame, items: DataFrame, test: Callable[[str, str], Column], verify: Verify, search: Callable[[DataFrame], DataFrame] | None = None, rounds: int = 1) -> tuple[DataFrame, DataFrame]:
     """(verified pairs used, ``id, root``) over all links between items that share a key.
 
     ``rows``: distinct (``key``, ``id``). ``items``: ``id`` and what the cheap necessary condition ``test("a", "b")`` needs, its columns named ``*_a`` and
     ``*_b`` there. ``verify`` gets distinct pairs (``a``, ``b``) and returns the linked ones. ``search`` may replace the pairing of the
-    second step: it gets ``key, id, root, hub_root`` for keys that still hold several groups. With ``kinds`` the condition may name ``kind``, the
-    lowest bit of the key that a pair meets in.
+    second step: it gets ``key, id, root, hub_root`` for keys that still hold several groups.
+    ``rounds``: hubs that are tried in each key before its other items are paired; from the second on the hub is
+    the smallest id that is apart from those before, so groups that drift away from the first hub are joined at a cost that follows their rows, too.
     """
-    kind = F.col("key").bitwiseAND(F.lit(1)).alias("kind")
     keys = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("hub")).filter("n > 1")
     shared = cut_lineage(rows.join(keys.select("key", "hub"), "key"))
-    spokes = shared.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b"), *([kind] if kinds else [])).distinct()
+    spokes = shared.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     spokes = spokes.join(_sided(items, "b"), "b").join(_sided(items, "a"), "a").filter(test("a", "b")).select("a", "b")
-    spokes = spokes.distinct() if kinds else spokes
     edges = cut_lineage(verify(spokes))
     roots = cut_lineage(components(edges))
     placed = cut_lineage(_rooted(_rooted(shared, roots, "id", "root"), roots, "hub", "hub_root").drop("hub"))
+    left, linked_later = placed.filter("root <> hub_root").select("key", "id", "root"), False
+    for _ in range(rounds - 1):
+        hubs = left.groupBy("key").agg(F.min(F.struct("id", "root")).alias("h"), F.count_distinct("root").alias("n")).filter("n > 1")
+        left = cut_lineage(left.join(hubs.select("key", F.col("h.id").alias("hub"), F.col("h.root").alias("hub_root")), "key").filter("root <> hub_root"))
+        spokes = left.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+        spokes = spokes.join(_sided(items, "b"), "b").join(_sided(items, "a"), "a").filter(test("a", "b")).select("a", "b")
+        more = cut_lineage(verify(spokes))
+        if not more.isEmpty():
+            edges, linked_later = edges.unionByName(more), True
+            # groups found so far are joined by their roots, so a round's graph is as small as what it adds
+            joined = _rooted(_rooted(more, roots, "a", "root_a"), roots, "b", "root_b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+            upper = cut_lineage(components(joined))
+            known = _rooted(roots, upper, "root", "top").select("id", F.col("top").alias("root"))
+            roots = cut_lineage(known.unionByName(upper.join(known.select("id"), "id", "left_anti")))
+            left = _rooted(_rooted(left, upper, "root", "top"), upper, "hub_root", "hub_top").select("key", "id", F.col("top").alias("root"), F.col("hub_top").alias("hub_root"))
+        left = left.filter("root <> hub_root").select("key", "id", "root")
+    if linked_later:
+        placed = cut_lineage(_rooted(_rooted(shared, roots, "id", "root"), roots, "hub", "hub_root").drop("hub"))
     mixed = placed.filter("root <> hub_root").select("key").distinct()
     apart = cut_lineage(placed.join(mixed, "key", "left_semi"))
     if search:
@@ -76,7 +93,6 @@ def find_components(rows: DataFrame, items: DataFrame, test: Callable[[str, str]
     else:
         apart = apart.join(items, "id")
         one = _sided(apart.filter("root <> hub_root"), "a")
-        one = one.withColumn("kind", F.col("key_a").bitwiseAND(F.lit(1))) if kinds else one
         two = _sided(apart.drop("hub_root"), "b").withColumnRenamed("key_b", "key_a")
         # a pair of two items that are both apart from the hub is met from both sides: keep one of them
         once = (F.col("a") < F.col("b")) | (F.col("root_b") == F.col("hub_root_a"))
