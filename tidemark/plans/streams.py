@@ -11,6 +11,7 @@ from tidemark.session import cut_lineage, run_folder
 from tidemark.sources.tables import union_sources
 from tidemark.sinks.batching import numbered_batches
 from tidemark.streaming import acknowledge as K
+from tidemark.streaming import expiring as V
 from tidemark.streaming import jobs as J
 
 # Three arrivals that together hold every event.
@@ -78,6 +79,30 @@ def stream_out_of_order(spark, sf):
     return _folded(spark, sf, SLICES[::-1])
 
 
+KEEP_MS = 3 * 86_400_000 + 500  # half a second more than three days: no event lies on the limit
+
+
+@query(
+    "stream_state_with_expiry",
+    X.sql_with(
+        "ev",
+        """, newest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts DESC, event_id DESC) AS r FROM ev) WHERE r = 1)
+SELECT id, ts, event_id, op, content_hash FROM newest
+WHERE op <> 'delete' OR ts + INTERVAL 3 DAY + INTERVAL 500 MILLISECOND > (SELECT max(ts) FROM ev) - INTERVAL 12 HOUR""",
+    ),
+)
+def stream_state_with_expiry(spark, sf):
+    """Three arrivals, a restart before each; of the deleted ids, those of the last three days are still known."""
+    events = _events(spark, sf).select("id", F.col("ts").cast("timestamp").alias("at"), F.col("event_id").alias("number"), "op", F.col("content_hash").cast("string").alias("carried"))
+    folder, sink, checkpoint, now = (run_folder(spark, x) for x in ("landing", "sink", "checkpoint", "now"))
+    for bounds in SLICES:
+        low, high = (F.to_timestamp(F.lit(f"{b} 00:00:00")) for b in bounds)
+        _land_shuffled(events.where((F.col("at") >= low) & (F.col("at") < high)), folder)
+        V.fold_expiring(J.read_landed(spark, folder, events.schema), KEEP_MS, "12 hours", sink, checkpoint)
+    rows = V.compact(spark, sink, now)
+    return rows.select("id", F.col("at").cast("timestamp_ntz").alias("ts"), F.col("number").alias("event_id"), "op", F.col("carried").cast(X.ev(spark, sf).schema["content_hash"].dataType).alias("content_hash"))
+
+
 @query("stream_redelivery_dedup", "SELECT event_id, user_id, event_type FROM events")
 def stream_redelivery_dedup(spark, sf):
     """The second arrival repeats the first one whole."""
