@@ -51,8 +51,8 @@ named AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ')
 kinds AS (SELECT conv_id, turn, role, text, {crc32('name')} % 20 AS kind FROM named, crc_table),
 changed AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
     unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM kinds),
-placed AS (SELECT *, rtrim(text, {blanks}) AS shown, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
-    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS place, count(*) OVER (PARTITION BY conv_id) AS n FROM changed),
+seen AS (SELECT *, rtrim(text, {blanks}) AS shown, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again FROM changed),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, again) AS place, count(*) OVER (PARTITION BY conv_id) AS n FROM seen),
 judged AS (SELECT *, CASE WHEN shown = '' THEN 1 WHEN again THEN 2 WHEN right(shown, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault, left(role, 1) AS initial FROM placed),
 ids AS (SELECT conv_id, row_number() OVER (ORDER BY conv_id) AS c FROM (SELECT DISTINCT conv_id FROM conversations)),
 steps AS (SELECT c, n - place + 1 AS k, n, role, text, fault, initial FROM judged JOIN ids ON judged.conv_id IS NOT DISTINCT FROM ids.conv_id),
