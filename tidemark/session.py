@@ -5,8 +5,14 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+import weakref
+from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+#: Folders of written steps, by the frame that reads them, and the steps of every ``settle`` that is under way, the innermost last.
+_folders: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+_under_way: list[list[str]] = []
 
 
 def local_session(cpus: int | str = "*", **conf: str) -> SparkSession:
@@ -49,12 +55,45 @@ def run_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/tidemark/{purpose}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df):
+def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back (an action).
 
     Lost executors cost nothing before this point, nothing above it runs twice, and
     the file size is known, so Spark broadcasts the result only when it really is small.
     """
     folder = run_folder(df.sparkSession, "step")
+    if _under_way:
+        _under_way[-1].append(folder)
     df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    step = df.sparkSession.read.schema(df.schema).parquet(folder)
+    _folders[step] = folder
+    return step
+
+
+def discard(step: DataFrame) -> None:
+    """Delete the table that ``cut_lineage`` wrote for ``step``, which nothing reads from here on."""
+    _delete(step.sparkSession, _folders.pop(step))
+
+
+def settle(make: Callable[..., DataFrame], *given) -> DataFrame:
+    """``make(*given)`` as a written table; every other step that was written meanwhile is deleted, also when ``make`` fails.
+
+    Inside another ``settle`` the table itself is one of that one's steps. A frame that reads steps of ``make`` may leave it as its result only.
+    """
+    spark = SparkSession.active()
+    _under_way.append([])
+    try:
+        done = cut_lineage(make(*given))
+        _under_way[-1].remove(_folders[done])
+    finally:
+        for folder in _under_way.pop():
+            _delete(spark, folder)
+    if _under_way:
+        _under_way[-1].append(_folders[done])
+    return done
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    """Through the file system that wrote it; a folder that is gone already is no error."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
