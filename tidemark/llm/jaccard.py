@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_texts
 from tidemark.llm.linking import find_components
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, discard, settle
 
 WIDTH = 5
 #: A link needs 100 * intersection >= PERCENT * union.
@@ -244,8 +244,12 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Per row of documents: ``doc_id, n_shingles, component_id`` (the smallest id it reaches by links) and ``n_copies``, how many documents have its very set.
 
     A NULL, empty or blank text has an empty set and no links. Rows that repeat a doc_id should have the same text; each row is returned, with a NULL
-    component_id where doc_id is NULL. An empty table gives no rows.
+    component_id where doc_id is NULL. An empty table gives no rows. The result is a written table.
     """
+    return settle(_components, docs, percent)
+
+
+def _components(docs: DataFrame, percent: int) -> DataFrame:
     stored = cut_lineage(points(docs, frequent(docs), percent))
     one = F.min("doc_id").alias("id")
     classes = stored.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("digest", "n_shingles").agg(one, F.count("*").alias("n_copies"))
@@ -266,6 +270,7 @@ def keep_one_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     found = jaccard_components(docs, percent)
     gone = cut_lineage(found.filter("component_id <> doc_id").select("doc_id").distinct())
     twice = cut_lineage(found.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id"))
+    discard(found)
     rest = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
     once = rest.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
     return rest.join(twice, "doc_id", "left_anti").select(docs.columns).unionByName(once)

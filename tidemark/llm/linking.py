@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, discard, settle
 
 #: Pairs (a, b) with what each side carries -> verified pairs (a, b).
 Verify = Callable[[DataFrame], DataFrame]
@@ -38,8 +38,9 @@ def components(edges: DataFrame) -> DataFrame:
         told = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if told == state or not told[0]:
             return now.select(F.col("a").alias("id"), F.col("b").alias("root")).union(now.select(F.col("b").alias("id"), F.col("b").alias("root")).distinct())
-        state = told
+        state, before = told, now
         now = cut_lineage(_star(_star(now, large=True), large=False))
+        discard(before)
 
 
 def _rooted(rows: DataFrame, roots: DataFrame, column: str, name: str) -> DataFrame:
@@ -65,29 +66,38 @@ def find_components(rows: DataFrame, items: DataFrame, test: Callable[[str, str]
     shared = cut_lineage(rows.join(keys.select("key", "hub"), "key"))
     spokes = shared.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     spokes = spokes.join(_sided(items, "b"), "b").join(_sided(items, "a"), "a").filter(test("a", "b")).select("a", "b")
-    edges = cut_lineage(verify(spokes))
-    roots = cut_lineage(components(edges))
+    edges = settle(verify, spokes)
+    roots = settle(components, edges)
     placed = cut_lineage(_rooted(_rooted(shared, roots, "id", "root"), roots, "hub", "hub_root").drop("hub"))
     left, linked_later = placed.filter("root <> hub_root").select("key", "id", "root"), False
+    step = None  # what ``left`` reads, from the second hub on
     for _ in range(rounds - 1):
         hubs = left.groupBy("key").agg(F.min(F.struct("id", "root")).alias("h"), F.count_distinct("root").alias("n")).filter("n > 1")
-        left = cut_lineage(left.join(hubs.select("key", F.col("h.id").alias("hub"), F.col("h.root").alias("hub_root")), "key").filter("root <> hub_root"))
+        tried = cut_lineage(left.join(hubs.select("key", F.col("h.id").alias("hub"), F.col("h.root").alias("hub_root")), "key").filter("root <> hub_root"))
+        if step is not None:
+            discard(step)
+        left = step = tried
         spokes = left.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
         spokes = spokes.join(_sided(items, "b"), "b").join(_sided(items, "a"), "a").filter(test("a", "b")).select("a", "b")
-        more = cut_lineage(verify(spokes))
+        more = settle(verify, spokes)
         if not more.isEmpty():
             edges, linked_later = edges.unionByName(more), True
             # groups found so far are joined by their roots, so a round's graph is as small as what it adds
             joined = _rooted(_rooted(more, roots, "a", "root_a"), roots, "b", "root_b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
-            upper = cut_lineage(components(joined))
+            upper = settle(components, joined)
             known = _rooted(roots, upper, "root", "top").select("id", F.col("top").alias("root"))
             roots = cut_lineage(known.unionByName(upper.join(known.select("id"), "id", "left_anti")))
             left = _rooted(_rooted(left, upper, "root", "top"), upper, "hub_root", "hub_top").select("key", "id", F.col("top").alias("root"), F.col("hub_top").alias("hub_root"))
         left = left.filter("root <> hub_root").select("key", "id", "root")
+    if step is not None:
+        discard(step)
     if linked_later:
+        discard(placed)
         placed = cut_lineage(_rooted(_rooted(shared, roots, "id", "root"), roots, "hub", "hub_root").drop("hub"))
     mixed = placed.filter("root <> hub_root").select("key").distinct()
     apart = cut_lineage(placed.join(mixed, "key", "left_semi"))
+    discard(shared)
+    discard(placed)
     if search:
         pairs = search(apart)
     else:
@@ -98,7 +108,7 @@ def find_components(rows: DataFrame, items: DataFrame, test: Callable[[str, str]
         once = (F.col("a") < F.col("b")) | (F.col("root_b") == F.col("hub_root_a"))
         pairs = one.join(two, "key_a").filter((F.col("root_a") != F.col("root_b")) & once & test("a", "b")).select("a", "b")
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    late = cut_lineage(verify(pairs))
+    late = settle(verify, pairs)
     # the groups found first stand for their pairs
     joined = roots.select(F.col("id").alias("a"), F.col("root").alias("b")).union(late)
-    return edges.union(late).distinct(), cut_lineage(components(joined))
+    return edges.union(late).distinct(), settle(components, joined)
