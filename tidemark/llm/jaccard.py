@@ -30,14 +30,14 @@ PERCENT = 75
 GROUPS = 64
 #: A shingle counts as frequent from so many sightings on, in blocks of COUNTED_CHARS that have it SEEN_LOCALLY times; the list is cut at
 #: HOT_SHINGLES, the most frequent first. Links do not depend on it.
-SEEN_OFTEN, SEEN_LOCALLY, COUNTED_CHARS = 16, 3, 24_000_000
+SEEN_OFTEN, SEEN_LOCALLY, COUNTED_CHARS = 16, 3, 12_000_000
 HOT_SHINGLES = 250_000
 #: Points per leaf, and per cell of a key.
 LEAF = 32
 CELL = 2048
 #: Hubs tried per key before trees are searched.
 HUBS = 5
-REMEMBERED = 500_000
+REMEMBERED = 100_000
 MIX = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
 
 
@@ -159,15 +159,15 @@ def forest_search(rows: DataFrame, items: DataFrame, percent: int = PERCENT) ->
     """Pairs (``a``, ``b``) of different groups that share a key and may link.
 
     Items apart from their key's hub are queries; all items of the key are points. Both are dealt into cells by hash, ``CELL`` of each, so
-    that no task holds more than one cell's points however many documents share a key. A pair is found once for every key that it shares, and
-    stays only if these are as many as a link needs.
+    that no task holds more than one cell's points however many documents share a key. A pair is found once for every kind of key that it shares, and
+    stays only if the keys they stand for are as many as a link needs.
     """
     sizes = rows.groupBy("key").agg(F.count("*").alias("n"), F.count(F.when(F.col("root") != F.col("hub_root"), 1)).alias("m"))
     sizes = sizes.select("key", F.ceil(F.col("n") / CELL).cast("int").alias("right"), F.ceil(F.col("m") / CELL).cast("int").alias("left"))
     dealt = rows.join(sizes, "key").withColumns({"h": F.xxhash64("id"), "apart": F.col("root") != F.col("hub_root")})
     upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     own = lambda n: F.pmod(F.col("h"), F.col(n).cast("long")).cast("int")
-    columns = ("key", "i", "j", "side", "id", "root", "apart")
+    columns = ("key", "i", "j", "side", "id", "root", "apart", "weight")
     query = dealt.filter("apart").select("*", own("left").alias("i"), F.explode(upto("right")).alias("j"), F.lit(0).alias("side"))
     point = dealt.select("*", F.explode(upto("left")).alias("i"), own("right").alias("j"), F.lit(1).alias("side"))
     cells = query.select(*columns).unionByName(point.select(*columns)).join(items.select("id", "counts"), "id")
@@ -187,13 +187,13 @@ def forest_search(rows: DataFrame, items: DataFrame, percent: int = PERCENT) ->
         if kept:
             yield _search_cells(kept[0], np.array([0, kept[0].num_rows]), percent)
 
-    pairs = cells.select(*columns, "counts").mapInArrow(task, "a long, b long, least long")
-    return pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max("least").alias("least")).filter("shared >= least").select("a", "b")
+    pairs = cells.select(*columns, "counts").mapInArrow(task, "a long, b long, least long, weight long")
+    return pairs.groupBy("a", "b").agg(F.sum("weight").alias("shared"), F.max("least").alias("least")).filter("shared >= least").select("a", "b")
 
 
 def _search_cells(rows: pa.Table, bounds: np.ndarray, percent: int) -> pa.RecordBatch:
     rows = rows.combine_chunks()
-    side, ids, roots = (rows.column(c).to_numpy() for c in ("side", "id", "root"))
+    side, ids, roots, weight = (rows.column(c).to_numpy() for c in ("side", "id", "root", "weight"))
     apart = rows.column("apart").to_numpy(zero_copy_only=False)
     counts = np.asarray(rows.column("counts").combine_chunks().flatten()).reshape(-1, GROUPS)
     pairs = []
@@ -209,8 +209,8 @@ def _search_cells(rows: pa.Table, bounds: np.ndarray, percent: int) -> pa.Record
     left, right = np.concatenate([*pairs, np.zeros((0, 2), np.int64)]).astype(np.int64).T
     size = counts.sum(axis=1)
     a, b = np.minimum(ids[left], ids[right]), np.maximum(ids[left], ids[right])
-    out = (a, b, least_shared(size[left], size[right], percent))
-    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["a", "b", "least"])
+    out = (a, b, least_shared(size[left], size[right], percent), weight[left])
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["a", "b", "least", "weight"])
 
 
 def verifier(docs: DataFrame, percent: int = PERCENT):

@@ -53,17 +53,28 @@ def _sided(items: DataFrame, side: str) -> DataFrame:
     return items.select(F.col("id").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in items.columns if c != "id"))
 
 
+def _kinds(rows: DataFrame) -> DataFrame:
+    """``key, hub, weight``: one key for all keys that the very same items have, two at least, and how many these are.
+
+    Most keys are like others: what two texts share is many keys with the same two items. Items are told apart by how many they are, the smallest, and
+    two sums over a 64-bit hash of their ids.
+    """
+    h = F.xxhash64("id")
+    parts = {"low": h.bitwiseAND(F.lit(0x7FFFFFFF)), "high": F.shiftrightunsigned(h, 33)}
+    keys = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("hub"), *(F.sum(x).alias(c) for c, x in parts.items())).filter("n > 1")
+    return keys.groupBy("n", "hub", *parts).agg(F.min("key").alias("key"), F.count("*").alias("weight")).select("key", "hub", "weight")
+
+
 def find_components(rows: DataFrame, items: DataFrame, test: Callable[[str, str], Column], verify: Verify, search: Callable[[DataFrame], DataFrame] | None = None, rounds: int = 1) -> tuple[DataFrame, DataFrame]:
     """(verified pairs used, ``id, root``) over all links between items that share a key.
 
     ``rows``: distinct (``key``, ``id``). ``items``: ``id`` and what the cheap necessary condition ``test("a", "b")`` needs, its columns named ``*_a`` and
     ``*_b`` there. ``verify`` gets distinct pairs (``a``, ``b``) and returns the linked ones. ``search`` may replace the pairing of the
-    second step: it gets ``key, id, root, hub_root`` for keys that still hold several groups.
+    second step: it gets ``key, id, root, hub_root, weight`` for keys that still hold several groups; a key with ``weight`` n stands for n keys of the same items.
     ``rounds``: hubs that are tried in each key before its other items are paired; from the second on the hub is
     the smallest id that is apart from those before, so groups that drift away from the first hub are joined at a cost that follows their rows, too.
     """
-    keys = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("hub")).filter("n > 1")
-    shared = cut_lineage(rows.join(keys.select("key", "hub"), "key"))
+    shared = cut_lineage(rows.join(_kinds(rows), "key"))
     spokes = shared.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     spokes = spokes.join(_sided(items, "b"), "b").join(_sided(items, "a"), "a").filter(test("a", "b")).select("a", "b")
     edges = settle(verify, spokes)
@@ -103,7 +114,7 @@ def find_components(rows: DataFrame, items: DataFrame, test: Callable[[str, str]
     else:
         apart = apart.join(items, "id")
         one = _sided(apart.filter("root <> hub_root"), "a")
-        two = _sided(apart.drop("hub_root"), "b").withColumnRenamed("key_b", "key_a")
+        two = _sided(apart.drop("hub_root", "weight"), "b").withColumnRenamed("key_b", "key_a")
         # a pair of two items that are both apart from the hub is met from both sides: keep one of them
         once = (F.col("a") < F.col("b")) | (F.col("root_b") == F.col("hub_root_a"))
         pairs = one.join(two, "key_a").filter((F.col("root_a") != F.col("root_b")) & once & test("a", "b")).select("a", "b")
