@@ -86,6 +86,18 @@ def test_visibility_against_brute_force(spark):
         assert sorted(r[0] for r in O.hidden_documents(acl, opened).collect()) == sorted(set(texts) - docs)
 
 
+def test_sum_of_visible_numbers(spark):
+    """Numbers in several bitmaps, 0 and the ends of bitmaps among them, some of them named by the user and by a group of theirs."""
+    numbers = [0, 1, 2, 32767, 32768, 32769, 65536, 65537, 9_000_000]
+    documents = spark.createDataFrame([(n, [p for p, c in (("group:g", i % 2), ("user:a", i % 3), ("idp_wide", i != 4)) if not c]) for i, n in enumerate(numbers)], "n long, names array<string>")
+    acl = documents.select("n", F.transform("names", lambda p: F.struct(F.substring_index(p, ":", 1).alias("kind"), F.when(F.contains(p, F.lit(":")), F.substring_index(p, ":", -1)).alias("id"))).alias("principals"))
+    texts = {r["n"]: set(r["p"]) for r in acl.select("n", A.principal_text(F.col("principals")).alias("p")).collect()}
+    held = spark.createDataFrame([("a", "group:g", True), ("a", "user:a", False), ("b", "group:other", True)], "user string, principal string, shared boolean")
+    tokens = {"a": {"group:g", "user:a", "idp_wide"}, "b": {"idp_wide", "group:other"}}
+    want = {u: (len(d), sum(d)) for u, t in tokens.items() for d in [[n for n, p in texts.items() if p & t]]}
+    assert {r["user"]: (r["visible"], r["checksum"]) for r in O.visible_counts(acl, held, F.col("n")).collect()} == want
+
+
 def test_unresolved(spark):
     acl = spark.createDataFrame([(1, [("group", "external_group:gone")]), (2, [("user", "u1")])], f"doc_id long, principals {A.PRINCIPALS}")
     mappings = spark.createDataFrame([("g", "u1", None)], "external_identity string, target_user string, target_group string")

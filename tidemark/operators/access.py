@@ -8,6 +8,8 @@ ever multiplies documents by group members.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -174,19 +176,48 @@ def visible_bitmaps(index: DataFrame, user_principals: DataFrame) -> tuple[DataF
     return users, cut_lineage(of_profiles), cut_lineage(own.select("user", "profile", "bucket", "docs"))
 
 
+#: Per value of a byte: the sum of the places of its bits, and how many there are.
+_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
+_PLACES, _ONES = _BITS @ np.arange(8), _BITS.sum(axis=1)
+
+
+def _sum_of_places(bitmaps: pd.Series) -> pd.Series:
+    """The sum of the places of the bits that are set."""
+
+    def places(bitmap) -> int:
+        held = np.frombuffer(bitmap, dtype=np.uint8)
+        at = held.nonzero()[0]
+        return int((8 * at * _ONES[held[at]] + _PLACES[held[at]]).sum())
+
+    return bitmaps.map(places)
+
+
+def sum_of_numbers(bucket: Column, docs: Column) -> Column:
+    """The sum of the numbers in one bitmap; bucket 0 holds the number 0 alone."""
+    first = (bucket - 1) * 32768 + 1
+    return F.when(bucket > 0, first * F.bitmap_count(docs) + F.pandas_udf(_sum_of_places, "bigint")(docs)).otherwise(F.lit(0)).cast("bigint")
+
+
 def visible_counts(documents: DataFrame, user_principals: DataFrame, number: Column) -> DataFrame:
-    """Documents each user may read, for all users at once (an action: the index and the unions are written).
+    """Documents each user may read, for all users at once, as a count and the sum of their numbers (an action: the index and the unions are written).
 
     Counted per profile; where a user has documents of their own, the union with the profile is counted for those buckets alone.
     """
     users, of_profiles, own = visible_bitmaps(cut_lineage(principal_bitmaps(documents, number)), user_principals)
-    shared = of_profiles.groupBy("profile").agg(F.sum(F.bitmap_count("docs")).alias("shared"))
-    beside = own.select("user", "profile", "bucket").join(of_profiles, ["profile", "bucket"])
-    both = own.select("user", "bucket", "docs", F.lit(0).alias("less")).unionByName(beside.select("user", "bucket", "docs", F.bitmap_count("docs").alias("less")))
-    more = both.groupBy("user", "bucket").agg(F.bitmap_count(F.bitmap_or_agg("docs")).alias("all"), F.sum("less").alias("less"))
-    more = more.groupBy("user").agg(F.sum(F.col("all") - F.col("less")).alias("more"))
-    total = F.coalesce("shared", F.lit(0)) + F.coalesce("more", F.lit(0))
-    return users.join(shared, "profile", "left").join(more, "user", "left").select("user", total.cast("bigint").alias("visible"))
+    told = of_profiles.select("profile", "bucket", "docs", F.bitmap_count("docs").alias("n"), sum_of_numbers(F.col("bucket"), F.col("docs")).alias("sum"))
+    shared = told.groupBy("profile").agg(F.sum("n").alias("shared"), F.sum("sum").alias("shared_sum"))
+    beside = own.select("user", "profile", "bucket").join(told, ["profile", "bucket"])
+    zeros = F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("sum")
+    both = own.select("user", "bucket", "docs", *zeros).unionByName(beside.select("user", "bucket", "docs", "n", "sum"))
+    both = both.groupBy("user", "bucket").agg(F.bitmap_or_agg("docs").alias("docs"), F.sum("n").alias("n"), F.sum("sum").alias("sum"))
+    more = both.select("user", (F.bitmap_count("docs") - F.col("n")).alias("n"), (sum_of_numbers(F.col("bucket"), F.col("docs")) - F.col("sum")).alias("sum"))
+    more = more.groupBy("user").agg(F.sum("n").alias("more"), F.sum("sum").alias("more_sum"))
+
+    def total(of_profile: str, of_user: str) -> Column:
+        return (F.coalesce(of_profile, F.lit(0)) + F.coalesce(of_user, F.lit(0))).cast("bigint")
+
+    counted = users.join(shared, "profile", "left").join(more, "user", "left")
+    return counted.select("user", total("shared", "more").alias("visible"), total("shared_sum", "more_sum").alias("checksum"))
 
 
 def documents_without_readers(documents: DataFrame, id_column: str = "doc_id") -> DataFrame:
