@@ -98,6 +98,16 @@ def test_sum_of_visible_numbers(spark):
     assert {r["user"]: (r["visible"], r["checksum"]) for r in O.visible_counts(acl, held, F.col("n")).collect()} == want
 
 
+def test_principals_that_no_document_names_make_no_profiles(spark):
+    """The table of profiles and buckets grows with what documents name, not with the users."""
+    index = O.principal_bitmaps(spark.range(5).select("id", F.array(F.struct(F.lit("group").alias("kind"), F.lit("g").alias("id"))).alias("principals")), F.col("id"))
+    held = spark.range(40).select(F.format_string("u%d", "id").alias("user"), F.explode(F.array(F.format_string("group:own%d", "id"), F.lit("group:g"))).alias("principal"), F.lit(True).alias("shared"))
+    held = held.unionByName(spark.createDataFrame([("nobody", "user:nobody", False)], held.schema))
+    users, of_profiles, own = O.visible_bitmaps(index, held)
+    assert (users.count(), users.select("profile").distinct().count(), own.count()) == (41, 2, 0)
+    assert of_profiles.groupBy("profile").count().count() == 1
+
+
 def test_unresolved(spark):
     acl = spark.createDataFrame([(1, [("group", "external_group:gone")]), (2, [("user", "u1")])], f"doc_id long, principals {A.PRINCIPALS}")
     mappings = spark.createDataFrame([("g", "u1", None)], "external_identity string, target_user string, target_group string")

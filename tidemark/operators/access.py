@@ -148,12 +148,12 @@ def principal_bitmaps(documents: DataFrame, number: Column) -> DataFrame:
     return placed.groupBy("principal", "bucket").agg(F.bitmap_construct_agg("bit").alias("docs"))
 
 
-def user_profiles(user_principals: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """((user, profile), (profile, principal)): users with the same shared principals have one profile.
+def user_profiles(users: DataFrame, user_principals: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((user, profile), (profile, principal)): users with the same shared principals have one profile. ``users`` (distinct) need not hold any.
 
     A profile's name is made of sums over hashes of its principals, so no list of them is gathered; its principals are those of one of its users.
     """
-    everyone = user_principals.select("user").distinct().withColumns({"principal": F.lit("idp_wide"), "shared": F.lit(True)})
+    everyone = users.withColumns({"principal": F.lit("idp_wide"), "shared": F.lit(True)})
     rows = user_principals.unionByName(everyone).where("shared").select("user", "principal").distinct()
     parts = [F.count("*"), F.bit_xor(F.xxhash64("principal")), F.bit_xor(F.xxhash64(F.lit("again"), "principal"))]
     users = rows.groupBy("user").agg(F.concat_ws(":", *[p.cast("string") for p in parts]).alias("profile"))
@@ -165,9 +165,13 @@ def visible_bitmaps(index: DataFrame, user_principals: DataFrame) -> tuple[DataF
     """((user, profile), (profile, bucket, docs), (user, profile, bucket, docs)) from ``principal_bitmaps`` and ``user_principals``.
 
     A profile reads the union of its principals' bitmaps. The third table has only what personal principals name, before the union with the
-    user's profile. No row stands for a profile or a user together with a document or a reader list.
+    user's profile. No row stands for a profile or a user together with a document or a reader list. Principals that no document names
+    make no profiles: each user has some of their own, which would give every user a profile and each of them all public documents.
     """
-    users, shared = user_profiles(user_principals)
+    named = index.select("principal").distinct()
+    users = user_principals.select("user").distinct()
+    user_principals = cut_lineage(user_principals.join(named, "principal", "left_semi"))
+    users, shared = user_profiles(users, user_principals)
     users = cut_lineage(users)
     union = F.bitmap_or_agg("docs").alias("docs")
     of_profiles = shared.join(index, "principal").groupBy("profile", "bucket").agg(union)
