@@ -234,6 +234,12 @@ def test_every_trusted_document_counts(spark):
     assert all(r.weight == 0 for r in rules.log_ratios(docs, docs.select("doc_id"), 64).collect())
 
 
+def test_trusted_documents_have_no_limit(spark, monkeypatch):
+    monkeypatch.setattr(rules, "FIT_DOCUMENTS", 10, raising=False)  # the limit there used to be
+    docs = spark.range(300).selectExpr("id AS doc_id", "concat('w', id % 97, ' v', id % 89) AS text")
+    assert all(r.weight == 0 for r in rules.log_ratios(docs, docs.select("doc_id"), 64).collect())
+
+
 def test_account_numbers_where_every_candidate_passes(spark):
     docs = spark.createDataFrame([(i, "pay DE89370400440532013000 now") for i in range(20)], "doc_id long, text string")
     got = {r.spans for r in pii.scan_pii(docs, pii.Trees()).collect()}

@@ -15,8 +15,6 @@ from tidemark.llm.common import WORD
 
 #: Hash buckets of the multinomials.
 BUCKETS = 1 << 14
-#: Trusted documents that the target multinomial is fitted to, at most: those with the least hashes of their ids. The raw one counts all documents.
-FIT_DOCUMENTS = 200_000
 ENDING = 3
 #: Documents whose mean log ratio is lower are rejected.
 THRESHOLD = -0.5
@@ -68,11 +66,12 @@ def with_grams(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
 def log_ratios(docs: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """``bucket, weight``: log of the target's share over the raw corpus' share, each with half a count added per bucket.
 
-    ``trusted_ids``: distinct ``doc_id``; up to ``FIT_DOCUMENTS`` of these labelled rows are fitted to, so the broadcast is bounded and no text is shuffled.
+    ``trusted_ids``: distinct ``doc_id``; the target counts every one of these documents, the raw corpus all. Documents and ids meet by a shuffle at any
+    size, as ids grow with the documents and nothing that is sent to every task may; a partition's ids are the hashed side, so no text is sorted.
     Every bucket has a row. The number of buckets is fixed: the weights reach the tasks as one array, whose size then does not follow the input.
     """
-    fitted = trusted_ids.select("doc_id", F.lit(1).alias("trusted")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_DOCUMENTS)
-    known = docs.select("doc_id", "text").join(F.broadcast(fitted), "doc_id", "left")
+    fitted = trusted_ids.select("doc_id", F.lit(1).alias("trusted"))
+    known = docs.select("doc_id", "text").join(fitted.hint("shuffle_hash"), "doc_id", "left")
     read = known.select("trusted", words_of(F.coalesce(F.col("text"), F.lit(""))).alias("words"))
     # the outer form: the plain one adds a filter on the array's size, which would be worked out a second time, inside out
     grams = with_grams(read, buckets).select(F.coalesce("trusted", F.lit(0)).alias("trusted"), F.explode_outer("grams").alias("bucket")).filter("bucket IS NOT NULL")
