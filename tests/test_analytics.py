@@ -36,6 +36,15 @@ def test_candidate_keys_with_nulls(spark):
     assert got == {"a": True, "b": False, "c": False}
 
 
+def test_distinct_values_are_compared_as_values(spark):
+    """0.0 is -0.0, as SQL counts it; arrays differ by NULL elements and their places, texts by where one ends."""
+    rows = [(0.0, [1, None], "a", "bc", 1), (-0.0, [None, 1], "ab", "c", 1), (2.0, [1], "a", "b", None)]
+    table = spark.createDataFrame(rows, "x double, l array<int>, s string, t string, n int")
+    got = {tuple(r) for r in C.candidate_keys({"t": table}).select("column", "distinct_values", "is_key").collect()}
+    assert got == {("x", 2, False), ("l", 3, True), ("s", 2, False), ("t", 3, True), ("n", 1, False)}
+    assert C.distinct_values(table, [("s", "t"), ("x", "n")]).where("repeated or has_null > 0").select("set").collect() == [(1,)]
+
+
 def test_minimal_keys_by_trying_all_sets(spark, monkeypatch):
     monkeypatch.setattr(C, "REFUTING_ROWS", 5)
     rows = [(i % 4, i // 4 % 3, i // 12 % 5, i if i % 9 else None, f"{i % 7}|", f"{i // 7}") for i in range(60)]

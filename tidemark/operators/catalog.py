@@ -105,24 +105,38 @@ def merge_sketches(stored: DataFrame) -> DataFrame:
     )
 
 
-def _unpivoted(df: DataFrame, sets: list[tuple[str, ...]]) -> DataFrame:
-    """(place in ``sets``, digest) of every row for every set of columns; the digest is NULL where a column is. One scan for all sets."""
-    texts = [F.col(f.name).cast("string") if _scalar(f.dataType) else F.to_json(f.name) for f in df.schema.fields]
-    values = df.select(F.array(*[F.concat(F.length(t).cast("string"), F.lit(":"), t) for t in texts]).alias("values"))
-    wanted = F.array(*[F.array(*[F.lit(df.columns.index(c)) for c in columns]) for columns in sets])
+def _parts(column: str, dtype: T.DataType) -> list[Column]:
+    """What hashes tell the values of a column apart by. A hash passes over NULL elements, so arrays have their places beside them; other nested values are JSON."""
+    if isinstance(dtype, T.ArrayType) and _scalar(dtype.elementType):
+        return [F.col(column), F.transform(column, lambda x: x.isNull())]
+    return [F.col(column) if _scalar(dtype) else F.to_json(column)]
 
-    def entry(columns: Column, i: Column) -> Column:
-        parts = F.transform(columns, lambda c: F.get("values", c))
-        return F.struct(i.alias("set"), F.when(~F.exists(parts, lambda p: p.isNull()), F.md5(F.array_join(parts, "").cast("binary"))).alias("digest"))
 
-    return values.select(F.explode(F.transform(wanted, entry)).alias("e")).select("e.set", "e.digest")
+def _hashed(df: DataFrame, columns: tuple[str, ...]) -> tuple[Column, Column]:
+    """Two numbers that tell the values of a set of columns apart: 128 bits of hashes over the values as they are, or the one hash of a value of up to
+    8 bytes, which no other value has. Both are NULL where a column is."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    values = [p for c in columns for p in _parts(c, kinds[c])]
+    short = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    one = len(columns) == 1 and isinstance(kinds[columns[0]], short)
+    full = reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
+    return F.when(full, F.xxhash64(*values)), F.when(full, F.lit(0).cast("bigint") if one else F.xxhash64(F.lit("again"), *values))
+
+
+def _unpivoted(df: DataFrame, sets: list[tuple[str, ...]], numbers: list[int] | None = None) -> DataFrame:
+    """(set, h1, h2) of every row for every set of columns; a set's number is its place, or that in ``numbers``. One scan for all sets."""
+    entries = []
+    for i, columns in zip(numbers or range(len(sets)), sets):
+        h1, h2 = _hashed(df, columns)
+        entries.append(F.struct(F.lit(i).alias("set"), h1.alias("h1"), h2.alias("h2")))
+    return df.select(F.explode(F.array(*entries)).alias("e")).select("e.set", "e.h1", "e.h2")
 
 
 def distinct_values(df: DataFrame, sets: list[tuple[str, ...]]) -> DataFrame:
     """(set, distinct_values, repeated): exact counts for sets of columns. Values are counted in the task before the shuffle, so a hot value is one row per task."""
-    counted = _unpivoted(df, sets).groupBy("set", "digest").agg(F.count("*").alias("n"))
-    repeated = F.coalesce(F.max(F.when(F.col("digest").isNotNull(), F.col("n"))), F.lit(0)) > 1
-    return counted.groupBy("set").agg(F.count("digest").alias("distinct_values"), repeated.alias("repeated"), F.count_if(F.col("digest").isNull()).alias("has_null"))
+    counted = _unpivoted(df, sets).groupBy("set", "h1", "h2").agg(F.count("*").alias("n"))
+    repeated = F.coalesce(F.max(F.when(F.col("h1").isNotNull(), F.col("n"))), F.lit(0)) > 1
+    return counted.groupBy("set").agg(F.count("h1").alias("distinct_values"), repeated.alias("repeated"), F.count_if(F.col("h1").isNull()).alias("has_null"))
 
 
 def first_values(df: DataFrame, order: list[str], samples: int = 5, width: int = 60) -> DataFrame:
