@@ -61,6 +61,18 @@ def test_minimal_keys_by_trying_all_sets(spark, monkeypatch):
     assert C.minimal_keys(table.where("false")) == []
 
 
+def test_repeats_are_found_in_the_slice_that_holds_them(spark, monkeypatch):
+    """A pair that repeats once anywhere is refuted, a pair that never does is not; each row is looked at once for a set."""
+    monkeypatch.setattr(C, "REFUTING_ROWS", 5)
+    table = spark.range(3000).selectExpr("id % 1000 AS a", "IF(id = 2999, 0, id div 1000) AS b", "id div 1000 AS c", "id % 2 AS d")
+    assert C.repeated_sets(table, [("a", "b"), ("a", "c"), ("a", "b", "d")], ["a", "a", "a"]) == {0, 2}
+    assert C.minimal_keys(table) == [("a", "c")]
+    looked = []
+    monkeypatch.setattr(C, "_unpivoted", lambda df, sets, numbers=None, real=C._unpivoted: looked.append(df.count()) or real(df, sets, numbers))
+    C.repeated_sets(table, [("a", "c")], ["a"])
+    assert sum(looked) == 3000 and looked[0] < 100
+
+
 def test_sketches_merge_as_if_taken_at_once(spark):
     table = spark.range(30_000).selectExpr("id % 5000 AS n", "id * 0.5 AS x", "concat('v', id % 300) AS s", "IF(id % 10 = 0, NULL, id) AS m", "array(id % 3) AS l")
     parts = [C.column_sketches("t", table.where(f"pmod(x, 3) {test} 1")) for test in ("<", ">=")]

@@ -186,6 +186,28 @@ def candidate_keys(tables: dict[str, DataFrame]) -> DataFrame:
 
 #: Rows that are looked at before whole tables: a set of columns that repeats among them is no key.
 REFUTING_ROWS = 20_000
+#: A table is searched for repeated sets in this many slices by value, up to these ends: few slices refute most sets.
+SLICES, SLICE_ENDS = 512, (1, 16, 128, 512)
+
+
+def repeated_sets(df: DataFrame, sets: list[tuple[str, ...]], by: list[str]) -> set[int]:
+    """Places of the sets whose values repeat (an action), for columns without NULLs.
+
+    Rows are dealt into slices by the value of one column of a set, named in ``by``, so rows that agree on the set are in one slice and a slice alone
+    can refute it. What the first slices do not refute goes on to the next; a set that none refutes tells all rows apart. No row is looked at twice for a set.
+    """
+    gone: set[int] = set()
+    for low, high in zip((0, *SLICE_ENDS), SLICE_ENDS):
+        rest = [i for i in range(len(sets)) if i not in gone]
+        parts = []
+        for column in dict.fromkeys(by[i] for i in rest):
+            ours = [i for i in rest if by[i] == column]
+            slice_ = F.pmod(F.xxhash64(F.lit("slice"), *_parts(column, df.schema[column].dataType)), F.lit(SLICES))
+            parts.append(_unpivoted(df.where((slice_ >= low) & (slice_ < high)), [sets[i] for i in ours], ours))
+        if parts:
+            counted = reduce(DataFrame.unionByName, parts).groupBy("set", "h1", "h2").agg(F.count("*").alias("n"))
+            gone |= {r.set for r in counted.where("n > 1").select("set").distinct().collect()}
+    return gone
 
 
 def minimal_keys(df: DataFrame, most: int = 3) -> list[tuple[str, ...]]:
@@ -193,7 +215,7 @@ def minimal_keys(df: DataFrame, most: int = 3) -> list[tuple[str, ...]]:
 
     Level by level over the lattice of column sets. A set is left out if it holds a key, if a column of it has NULLs, or if its parts have too few
     distinct values to tell all rows apart. What remains is tried on some rows, which can only refute it, and the survivors of a level are
-    counted over the whole table in one scan. An empty table has no keys.
+    searched for repeats over the whole table, slice by slice. An empty table has no keys.
     """
     rows = df.count()
     if not rows:
@@ -202,13 +224,15 @@ def minimal_keys(df: DataFrame, most: int = 3) -> list[tuple[str, ...]]:
     place, counts, keys = {c: i for i, c in enumerate(df.columns)}, {}, []
     level = [(c,) for c in df.columns]
     for size in range(1, most + 1):
-        # single columns are all counted whole, as the counts prune the levels above
-        tried = level if size == 1 else [level[r.set] for r in (distinct_values(some, level).where("not repeated and has_null = 0").collect() if level else [])]
-        told = distinct_values(df, tried).collect() if tried else []
-        found = sorted((tried[r.set] for r in told if not r.repeated and not r.has_null), key=lambda s: [place[c] for c in s])
-        keys += found
-        if size == 1:
-            counts = {tried[r.set][0]: 0 if r.has_null else r.distinct_values for r in told}
+        if size == 1:  # single columns are all counted whole, as the counts prune the levels above
+            told = distinct_values(df, level).collect()
+            counts = {level[r.set][0]: 0 if r.has_null else r.distinct_values for r in told}
+            found = [level[r.set] for r in told if not r.repeated and not r.has_null]
+        else:
+            tried = [level[r.set] for r in (distinct_values(some, level).where("not repeated and has_null = 0").collect() if level else [])]
+            again = repeated_sets(df, tried, [max(s, key=counts.get) for s in tried])
+            found = [s for i, s in enumerate(tried) if i not in again]
+        keys += sorted(found, key=lambda s: [place[c] for c in s])
         usable = [c for c in df.columns if counts.get(c, 0) > 1 and (c,) not in keys]
         level = [s for s in combinations(usable, size + 1) if prod(counts[c] for c in s) >= rows and not any(set(k) <= set(s) for k in keys)]
     return keys
