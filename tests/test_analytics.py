@@ -141,6 +141,24 @@ def test_rollup_levels(star):
     assert [tuple(r) for r in products.where("level = 1").select("total_orders", "units_sold").collect()] == [(3, 95)]
 
 
+def test_rollup_counts_orders_without_sets_of_them(star):
+    """Orders that span products, at every level of product, customer and date dimensions in any order; no copy of an order per level."""
+    lost = star.lines.limit(1).withColumn("order_id", F.lit(None).cast("int"))
+    star = replace(star, lines=star.lines.unionByName(lost))
+    for dimensions in (["category", "region", "sku"], ["region", "sku", "category"], ["sku", "category"]):
+        rollup = M.metric_rollup(star, ["order count"], dimensions)
+        assert "order_id" not in "".join(line for line in rollup._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Expand" in line)
+        facts = M.per_order(star, dimensions).collect()
+        want = set()
+        for kept in range(len(dimensions) + 1):
+            orders = {}
+            for r in facts:
+                orders.setdefault(tuple(r[d] for d in dimensions[:kept]), set()).add(r["order_id"])
+            gone = len(dimensions) - kept
+            want |= {(*k, *[None] * gone, (1 << gone) - 1, len(v - {None})) for k, v in orders.items()}
+        assert {(*(r[d] for d in dimensions), r["level"], r["total_orders"]) for r in rollup.collect()} == want
+
+
 def test_lines_without_an_order_are_no_order(star):
     first = star.lines.schema["order_id"]
     lost = star.lines.limit(1).withColumn("order_id", F.lit(None).cast(first.dataType))

@@ -86,8 +86,9 @@ def calendar(first: Column, last: Column, source: DataFrame, fiscal_start_month:
     )
 
 
-def per_order(star: Star, dimensions: list[str]) -> DataFrame:
-    """One row per order and requested product attribute, with all requested dimensions."""
+def per_order(star: Star, dimensions: list[str], firsts: bool = False) -> DataFrame:
+    """One row per order and requested product attribute, with all requested dimensions. With ``firsts``, ``first0``, ``first1``, ...: whether (1 or 0)
+    the row is the first of its order among those with the same first 0, 1, ... product attributes; lines without an order are none."""
     by_product = [d for d in dimensions if d in PRODUCT_DIMENSIONS]
     lines = star.lines
     if star.narrowed:
@@ -99,6 +100,11 @@ def per_order(star: Star, dimensions: list[str]) -> DataFrame:
         F.sum("gross_amount").alias("gross"),
         F.sum("quantity").alias("units"),
     )
+    if firsts:
+        for k in range(len(by_product)):
+            order = W.partitionBy("order_id", *by_product[:k]).orderBy(*by_product[k:])
+            facts = facts.withColumn(f"first{k}", ((F.row_number().over(order) == 1) & F.col("order_id").isNotNull()).cast("int"))
+        facts = facts.withColumn(f"first{len(by_product)}", F.col("order_id").isNotNull().cast("int"))
     by_customer = [d for d in dimensions if d in CUSTOMER_DIMENSIONS]
     by_date = [d for d in dimensions if d in DATE_DIMENSIONS]
     if by_customer or by_date:
@@ -150,26 +156,30 @@ def year_over_year(yearly: DataFrame, year: str, value: str, by: list[str]) -> D
 def metric_rollup(star: Star, metrics: list[str], dimensions: list[str]) -> DataFrame:
     """Subtotals from the most detailed level up to the grand total.
 
-    With customer and date dimensions one row is one order at every level: the detailed level is aggregated first and its few
-    rows are rolled up. An order can span products, so with a product dimension orders are counted distinct at each level.
+    The detailed level is aggregated first and its few rows are rolled up. Customer and date dimensions are the same for all of an order, so there one
+    row is one order at every level. An order can span products: then a level counts the rows that are the first of their order among those with the
+    same product attributes of that level, so no order is held in a set.
     """
     metrics, dimensions = [resolve_term(m) for m in metrics], [resolve_term(d) for d in dimensions]
     level = F.grouping_id().cast("bigint").alias("level")
-    if set(dimensions) & set(PRODUCT_DIMENSIONS):
-        facts = per_order(star, dimensions)
-        return facts.rollup(*dimensions).agg(level, *_measures(metrics, F.count_distinct("order_id"), star.minor_digits))
+    by_product = [d for d in dimensions if d in PRODUCT_DIMENSIONS]
     wide = "decimal(28,0)" if star.minor_digits else "decimal(38,6)"
+    firsts = [F.sum(f"first{k}").alias(f"orders{k}") for k in range(len(by_product) + 1)]
     detail = (
-        per_order(star, dimensions)
+        per_order(star, dimensions, firsts=True)
         .groupBy(*dimensions)
         .agg(
             F.sum(F.col("net").cast(wide)).alias("net"),
             F.sum(F.col("gross").cast(wide)).alias("gross"),
             F.sum("units").alias("units"),
-            F.count("order_id").alias("orders"),
+            *firsts,
         )
     )
-    return detail.rollup(*dimensions).agg(level, *_measures(metrics, F.sum("orders"), star.minor_digits))
+    orders = F.sum(f"orders{len(by_product)}")
+    for kept in reversed(range(len(dimensions))):  # a level's id is that of its least detailed dimensions, all ones
+        products = len(set(dimensions[:kept]) & set(by_product))
+        orders = F.when(F.grouping_id() == (1 << len(dimensions) - kept) - 1, F.sum(f"orders{products}")).otherwise(orders)
+    return detail.rollup(*dimensions).agg(level, *_measures(metrics, orders, star.minor_digits))
 
 
 def _cell_sums(wide: str) -> list[Column]:
