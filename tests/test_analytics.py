@@ -89,6 +89,12 @@ def test_sketches_merge_as_if_taken_at_once(spark):
     assert plan.count("Range (") == 1
 
 
+def test_distinct_sketch_tells_close_doubles_apart(spark):
+    """Values that agree in their first six decimals are values of their own."""
+    table = spark.range(2000).selectExpr("id * 1e-9 AS x")
+    assert abs(C.column_sketches("t", table).select(F.hll_sketch_estimate("distinct_sketch")).first()[0] - 2000) < 60
+
+
 def test_cells_with_late_lines_equal_the_rollup(star):
     metrics, dimensions = ["net_revenue", "total_orders", "units_sold", "avg_order_value"], ["category", "region", "fiscal_year"]
     parts = [star.lines.where(c) for c in ("product_id = 0", "product_id = 1 AND order_id = 1", "order_id > 1 AND product_id = 1")]

@@ -61,13 +61,13 @@ HLL_BITS, KLL_K = 14, 400
 
 def column_sketches(table: str, df: DataFrame) -> DataFrame:
     """One row per column with what can be merged later: rows, nulls, smallest and largest value, a distinct-count sketch and, for numbers,
-    a quantile sketch. One aggregate over one scan, whatever the number of columns."""
+    a quantile sketch. One aggregate over one scan, whatever the number of columns. Values enter the distinct-count sketch as hashes, never as text."""
     aggregates, entries = [F.count("*").alias("rows")], []
     for i, field in enumerate(df.schema.fields):
         value = F.col(field.name)
-        text, number = shown_as(value, field.dataType), isinstance(field.dataType, T.NumericType)
+        number = isinstance(field.dataType, T.NumericType)
         low, high = (F.min(value), F.max(value)) if _scalar(field.dataType) else (F.lit(None), F.lit(None))
-        aggregates += [F.count(value).alias(f"n{i}"), low.alias(f"low{i}"), high.alias(f"high{i}"), F.hll_sketch_agg(text, HLL_BITS).alias(f"h{i}")]
+        aggregates += [F.count(value).alias(f"n{i}"), low.alias(f"low{i}"), high.alias(f"high{i}"), F.hll_sketch_agg(_hashed(df, (field.name,))[0], HLL_BITS).alias(f"h{i}")]
         if number:
             aggregates.append(F.kll_sketch_agg_double(value.cast("double"), KLL_K).alias(f"q{i}"))
         kind = field.dataType if _scalar(field.dataType) else T.StringType()
