@@ -45,6 +45,17 @@ def test_diff_then_mirror_then_nothing_to_do(spark):
     }
 
 
+def test_diff_and_next_mirror_from_one_join(spark):
+    """As ``state_mirror_diff`` and ``advance_mirror`` give them, NULL hashes included."""
+    active = spark.createDataFrame([("a", "1", "x"), ("b", "2", "x"), ("c", "3", "y"), ("d", "4", "x"), ("n", None, "x")], STATE)
+    mirror = spark.createDataFrame([(i, c, a, T0) for i, c, a in (("b", "9", "x"), ("c", "3", "x"), ("d", "4", "x"), ("e", "5", "x"), ("n", None, "x"))], STATE + ", last_synced timestamp_ntz")
+    stamp = F.lit(dt.datetime(2024, 5, 1)).cast("timestamp_ntz")
+    both = C.diff_with_mirror(active, mirror, stamp)
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(both.select("id", "change")) == rows(C.state_mirror_diff(active, mirror))
+    assert rows(both.where("change <> 'delete'").drop("change")) == rows(C.advance_mirror(active, mirror, stamp))
+
+
 def test_upsert_never_deletes_and_is_idempotent(spark):
     target = spark.createDataFrame([("a", "1", "x"), ("b", "2", "x")], STATE)
     changed = spark.createDataFrame([("b", "3", "x"), ("c", "4", "x")], STATE)

@@ -37,17 +37,29 @@ def state_mirror_diff(active: DataFrame, mirror: DataFrame, key: str = "id") ->
     Both sides hold (key, content_hash, acl_hash); states that come out of
     ``active_state`` are already partitioned by the key and are not shuffled again.
     """
-    a, m = active.alias("a"), mirror.alias("m")
-    change = (
+    return _compared(active, mirror, key).select(F.coalesce(f"a.{key}", f"m.{key}").alias(key), _change(key).alias("change"))
+
+
+def diff_with_mirror(active: DataFrame, mirror: DataFrame, synced_at: Column, key: str = "id") -> DataFrame:
+    """``state_mirror_diff`` with what the next mirror holds of each id, from the same join: the rows that are no delete, without ``change``, are
+    those of ``advance_mirror``."""
+    stamp = F.when(F.col("change") == "same", F.col("m.last_synced")).otherwise(synced_at)
+    compared = _compared(active, mirror, key).withColumn("change", _change(key))
+    return compared.select(F.coalesce(f"a.{key}", f"m.{key}").alias(key), "change", "a.content_hash", "a.acl_hash", stamp.alias("last_synced"))
+
+
+def _compared(active: DataFrame, mirror: DataFrame, key: str) -> DataFrame:
+    return active.alias("a").join(mirror.alias("m"), F.col(f"a.{key}") == F.col(f"m.{key}"), "full_outer")
+
+
+def _change(key: str) -> Column:
+    return (
         F.when(F.col(f"m.{key}").isNull(), "insert")
         .when(F.col(f"a.{key}").isNull(), "delete")
         .when(~F.col("a.content_hash").eqNullSafe(F.col("m.content_hash")), "update")
         .when(~F.col("a.acl_hash").eqNullSafe(F.col("m.acl_hash")), "acl")
         .otherwise("same")
     )
-    return a.join(m, F.col(f"a.{key}") == F.col(f"m.{key}"), "full_outer").select(
-        F.coalesce(f"a.{key}", f"m.{key}").alias(key), change.alias("change")
-    )
 
 
 def acl_only(diff: DataFrame) -> DataFrame:

@@ -88,13 +88,14 @@ def run_sync(
         documents = spark.read.parquet(f"{folder}/documents")
     state = documents.select("id", *HASHES)
     _check(documents, seen, mirror, reconcile, allow_empty)
-    difference, counts = _difference(spark, state, mirror, reconcile, deleted_ids, folder)
+    stamp = F.lit(synced_at).cast("timestamp_ntz")
+    compared, counts = _difference(spark, state, mirror, reconcile, deleted_ids, stamp, folder)
+    difference = compared.select("id", "change")
     if mirror is not None:
         lines = C.import_batch(difference, documents).select(import_line(F.col("body")).alias(LINE))
         shards = write_shards(lines, f"{folder}/shards", *limits)
     requests = _stage(documents, difference, shards, folder, run_id, reconcile)
-    stamp = F.lit(synced_at).cast("timestamp_ntz")
-    _next_mirror(state, difference, mirror, reconcile, stamp).write.mode("overwrite").parquet(f"{folder}/mirror")
+    _next_mirror(state, compared, mirror, reconcile, stamp).write.mode("overwrite").parquet(f"{folder}/mirror")
     row = {"run_id": run_id, "source_key": source_key, "mode": mode, **{n: counts[c] for c, n in C.HISTORY.items()}, "errors": 0}
     columns = ", ".join(f"{c} {'string' if isinstance(v, str) else 'long'}" for c, v in row.items())
     spark.createDataFrame([tuple(row.values())], columns).write.mode("overwrite").parquet(f"{home}/history/run={run_id}")
@@ -112,12 +113,13 @@ def _check(documents, seen, mirror, reconcile, allow_empty) -> None:
         raise ValueError("the snapshot is empty and would delete everything; pass allow_empty to mean it")
 
 
-def _difference(spark, state, mirror, reconcile, deleted_ids, folder) -> tuple[DataFrame, dict[str, int]]:
-    """(id, change), written once, and how many there are of each; the write counts them. An incremental run looks only at the ids it was given."""
+def _difference(spark, state, mirror, reconcile, deleted_ids, stamp, folder) -> tuple[DataFrame, dict[str, int]]:
+    """(id, change), written once, and how many there are of each; the write counts them. An incremental run looks only at the ids it was given.
+    A whole run that has a mirror writes the rows of the next one beside them, so states meet the mirror once."""
     if mirror is None:
         difference = state.select("id", F.lit("insert").alias("change"))
     elif reconcile == "FULL":
-        difference = C.state_mirror_diff(state, mirror)
+        difference = C.diff_with_mirror(state, mirror, stamp)
     else:
         known = mirror.join(state.select("id"), "id", "left_semi")
         difference = C.state_mirror_diff(state, known)
@@ -135,7 +137,7 @@ def _next_mirror(state, difference, mirror, reconcile, stamp) -> DataFrame:
     if mirror is None:
         return state.withColumn("last_synced", stamp)
     if reconcile == "FULL":
-        return C.advance_mirror(state, mirror, stamp)
+        return difference.where("change <> 'delete'").select("id", *HASHES, "last_synced")
     touched = difference.where("change <> 'same'").select("id", "change")
     fresh = state.join(touched.where("change <> 'delete'").select("id"), "id", "left_semi").withColumn("last_synced", stamp)
     return mirror.select("id", *HASHES, "last_synced").join(touched.select("id"), "id", "left_anti").unionByName(fresh)
