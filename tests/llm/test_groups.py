@@ -7,6 +7,7 @@ import random
 import brute
 import duckdb
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -363,3 +364,53 @@ def test_letter_counts_keep_every_similar_pair(spark):
     more = lambda x, y: sum(max(n - y.get(k, 0), 0) for k, n in x.items())
     want = {i for i, ((a, b), (x, y)) in enumerate(zip(pairs, capped)) if max(more(x, y), more(y, x)) <= max(len(a), len(b)) * (1 - 0.85) + 1e-9}
     assert kept == want and alike <= kept and len(alike) > 100 and len(kept) < 290
+
+
+def test_a_pair_of_several_shared_kinds_is_found_once():
+    counts = np.zeros((2, jaccard.GROUPS), np.int32)
+    counts[:, :20] = 1
+
+    def rows(carried):
+        cells = [(key, side, i) for key in (5, 9) for side, i in ((0, 0), (0, 1), (1, 0), (1, 1))]
+        columns = {"key": [c[0] for c in cells], "side": [c[1] for c in cells], "id": [c[2] for c in cells], "root": [c[2] for c in cells], "apart": [True] * 8, "weight": [2] * 8}
+        lists = {"counts": [counts[c[2]].tolist() for c in cells], "keys": [carried] * 8, "weights": [[2] * len(carried)] * 8}
+        return pa.table(columns | lists)
+
+    need = int(jaccard.least_shared(np.array([20]), np.array([20]))[0])
+    found = lambda carried: jaccard._search_cells(rows(carried), np.array([0, 4, 8]), 75).to_pylist()
+    assert found([5, 9, 11]) == [{"a": 0, "b": 1, "least": need, "weight": 6}]
+    assert need > 2 and found([5]) == []
+    assert found([]) == [{"a": 0, "b": 1, "least": need, "weight": 2}] * 2
+
+
+def test_shared_kinds():
+    pick = random.Random(3)
+    lists = [sorted(pick.sample(range(-9, 9), pick.randint(1, 9))) for _ in range(12)]
+    weight = {k: pick.randint(1, 4) for k in range(-9, 9)}
+    left, right = np.array([(i, j) for i in range(12) for j in range(12)]).T
+    total, least = jaccard.shared_kinds(left, right, np.concatenate(lists), np.array([weight[k] for x in lists for k in x]), np.array([len(x) for x in lists]))
+    for i, j, t, k in zip(left, right, total, least):
+        both = set(lists[i]) & set(lists[j])
+        assert t == sum(weight[b] for b in both) and (not both or k == min(both))
+
+
+def test_words_are_hashed_the_same_in_any_block():
+    texts = ["", " \t", "One two\x0bTWO  three", "é" * 40 + "a " + "é" * 40 + "b", "x", "ünï x\x1cy one", "a" * 64 + "bc", "a" * 64 + "cb"]
+    alone = [jaccard.word_hashes([t])[0].tolist() for t in texts]
+    assert [w.tolist() for w in jaccard.word_hashes(texts)] == alone
+    known = {}
+    for t, hashes in zip(texts, alone):
+        words = t.encode().lower().split()
+        assert len(words) == len(hashes)
+        assert all(known.setdefault(w, h) == h for w, h in zip(words, hashes))
+    assert len(set(known.values())) == len(known)
+
+
+def test_further_hubs_and_none_give_the_same_components(spark, monkeypatch):
+    rows = near_copies()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute.components(dict(rows))
+    for few, carried in ((1, 0), (1000, 2)):
+        monkeypatch.setattr(linking, "FEW_GROUPS", few)
+        monkeypatch.setattr(jaccard, "CARRIED", carried)
+        assert {r.doc_id: r.component_id for r in jaccard.jaccard_components(docs).collect()} == want

@@ -1,11 +1,12 @@
 """Written steps: which of them stay."""
 
+import time
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.session import cut_lineage, discard, settle, shared_folder
+from tidemark.session import CLEANUP, cut_lineage, discard, settle, shared_folder
 
 
 @pytest.fixture
@@ -61,3 +62,18 @@ def test_failure_leaves_no_steps(spark, steps):
     with pytest.raises(ValueError):
         settle(fails)
     assert not steps()
+
+
+def test_written_steps_leave_no_shuffle_files(spark):
+    def shuffle_files():
+        blocks = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {blocks.apply(i).getName() for i in range(blocks.size()) if blocks.apply(i).getName().endswith(".data")}
+
+    before, was = shuffle_files(), spark.conf.get(CLEANUP, None)
+    step = cut_lineage(spark.range(1000).repartition(4, "id"))
+    for _ in range(50):
+        if shuffle_files() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffle_files() <= before and spark.conf.get(CLEANUP, None) == was
+    assert step.count() == 1000

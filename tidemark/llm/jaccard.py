@@ -37,24 +37,45 @@ LEAF = 32
 CELL = 2048
 #: Hubs tried per key before trees are searched.
 HUBS = 5
-REMEMBERED = 100_000
+#: Kinds of keys that a row carries at most.
+CARRIED = 64
 MIX = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word)
-        return found
-
-
-def shingles(text: str, hashes: WordHashes, width: int = WIDTH) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a text's shingles. Words are split at ASCII white space, and only A-Z become lower-case."""
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    if not words:
+#: Hashes of words are sums of a number for each byte times a number for its place, so that all words of a block are hashed side by side; a word of more
+#: than PLACES bytes is hashed by itself.
+PLACES = 64
+BYTES = np.array([xxhash.xxh64_intdigest(b"byte %d" % i) for i in range(256)], np.uint64)
+PLACE = np.array([xxhash.xxh64_intdigest(b"place %d" % i) | 1 for i in range(PLACES)], np.uint64)
+IS_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+#: Characters whose words are hashed at once.
+HASHED_CHARS = 250_000
+
+
+def word_hashes(texts: list[str]) -> list[np.ndarray]:
+    """64-bit hashes of the words of every text. Words are split at ASCII white space, and only A-Z become lower-case."""
+    parts = [t.encode("utf-8", "surrogatepass") for t in texts]
+    whole = b" ".join(parts).lower()
+    solid = ~IS_SPACE[np.frombuffer(whole, np.uint8)]
+    edges = np.flatnonzero(np.diff(solid, prepend=False, append=False))
+    begin, sizes = edges[::2], edges[1::2] - edges[::2]
+    if not len(begin):
+        return [np.zeros(0, np.uint64) for _ in texts]
+    first = np.cumsum(sizes) - sizes
+    place = np.arange(first[-1] + sizes[-1]) - np.repeat(first, sizes)
+    words = np.add.reduceat(BYTES[np.frombuffer(whole, np.uint8)[solid]] * PLACE[np.minimum(place, PLACES - 1)], first)
+    for k in np.flatnonzero(sizes > PLACES):
+        words[k] = xxhash.xxh64_intdigest(whole[begin[k] : begin[k] + sizes[k]])
+    words ^= words >> np.uint64(32)
+    words *= np.uint64(MIX[2])
+    ends = np.cumsum([len(p) + 1 for p in parts])
+    return np.split(words, np.searchsorted(begin, ends[:-1]))
+
+
+def shingles(w: np.ndarray, width: int = WIDTH) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of a text's shingles, from the hashes of its words."""
+    if not len(w):
         return np.zeros(0, np.uint64)
-    w = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     k = min(width, len(w))
     out = np.full(len(w) - k + 1, k, np.uint64)
     for i in range(k):
@@ -62,7 +83,20 @@ def shingles(text: str, hashes: WordHashes, width: int = WIDTH) -> np.ndarray:
     out ^= out >> np.uint64(31)
     out *= np.uint64(MIX[1])
     out ^= out >> np.uint64(29)
-    return np.unique(out)
+    out.sort()
+    return out[np.concatenate([[True], out[1:] != out[:-1]])]
+
+
+def shingle_sets(texts: list[str]) -> Iterator[np.ndarray]:
+    """``shingles`` of every text, ``HASHED_CHARS`` at once or one text that has more."""
+    begin, size = 0, 0
+    for i, t in enumerate(texts):
+        if i > begin and size + len(t) > HASHED_CHARS:
+            yield from map(shingles, word_hashes(texts[begin:i]))
+            begin, size = i, 0
+        size += len(t)
+    if texts:
+        yield from map(shingles, word_hashes(texts[begin:]))
 
 
 def needed(n: int, percent: int = PERCENT) -> int:
@@ -72,11 +106,9 @@ def needed(n: int, percent: int = PERCENT) -> int:
 
 def frequent(docs: DataFrame) -> np.ndarray:
     """Shingles that many documents have, as far as blocks of texts show it: those seen several times in a block are added up."""
-    hashes = WordHashes()
 
     def run(ids: list, texts: list[str]) -> dict[str, list]:
-        every = [shingles(t, hashes) for t in texts]
-        found, times = np.unique(np.concatenate(every), return_counts=True)
+        found, times = np.unique(np.concatenate(list(shingle_sets(texts))), return_counts=True)
         often = times >= SEEN_LOCALLY
         return {"shingle": found[often].view(np.int64), "times": times[often]}
 
@@ -87,18 +119,16 @@ def frequent(docs: DataFrame) -> np.ndarray:
 
 def points(docs: DataFrame, hot: np.ndarray, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles``, ``digest`` (of the set), ``counts`` (the point) and ``first`` (the shingles to meet by)."""
-    hashes = WordHashes()
 
     def run(ids: list, texts: list[str]) -> dict[str, list]:
         out = {"doc_id": ids, "n_shingles": [], "digest": [], "counts": [], "first": []}
-        for text in texts:
-            s = shingles(text, hashes)
+        for s in shingle_sets(texts):
             at = np.minimum(np.searchsorted(hot, s), max(len(hot) - 1, 0))
             common = hot[at] == s if len(hot) else np.zeros(len(s), bool)
             ordered = np.concatenate([s[~common], s[common]])
             out["n_shingles"].append(len(s))
             out["digest"].append(xxhash.xxh3_128_digest(s.tobytes()))
-            out["counts"].append(np.bincount((s & np.uint64(GROUPS - 1)).astype(int), minlength=GROUPS).tolist())
+            out["counts"].append(np.bincount((s & np.uint64(GROUPS - 1)).astype(int), minlength=GROUPS))
             out["first"].append(ordered[: len(s) - needed(len(s), percent) + 1].view(np.int64) if len(s) else [])
         return out
 
@@ -159,18 +189,23 @@ def forest_search(rows: DataFrame, items: DataFrame, percent: int = PERCENT) ->
     """Pairs (``a``, ``b``) of different groups that share a key and may link.
 
     Items apart from their key's hub are queries; all items of the key are points. Both are dealt into cells by hash, ``CELL`` of each, so
-    that no task holds more than one cell's points however many documents share a key. A pair is found once for every kind of key that it shares, and
-    stays only if the keys they stand for are as many as a link needs.
+    that no task holds more than one cell's points however many documents share a key. A pair shares one kind of key or more, and stays only if
+    the keys that these stand for are as many as a link needs. Rows carry their item's kinds, so a pair is found once, with the smallest kind that both have, and not
+    at all if they share too few; an item of more than ``CARRIED`` kinds carries none, and its pairs are found once for every kind and added up.
     """
     sizes = rows.groupBy("key").agg(F.count("*").alias("n"), F.count(F.when(F.col("root") != F.col("hub_root"), 1)).alias("m"))
     sizes = sizes.select("key", F.ceil(F.col("n") / CELL).cast("int").alias("right"), F.ceil(F.col("m") / CELL).cast("int").alias("left"))
     dealt = rows.join(sizes, "key").withColumns({"h": F.xxhash64("id"), "apart": F.col("root") != F.col("hub_root")})
     upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     own = lambda n: F.pmod(F.col("h"), F.col(n).cast("long")).cast("int")
+    kinds = rows.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("key", "weight"))).alias("kinds"))
+    few = F.size("kinds") <= CARRIED
+    kinds = kinds.select("id", *(F.when(few, F.col(f"kinds.{c}")).otherwise(F.array().cast("array<long>")).alias(f"{c}s") for c in ("key", "weight")))
+    told = items.select("id", "counts").join(kinds, "id")
     columns = ("key", "i", "j", "side", "id", "root", "apart", "weight")
     query = dealt.filter("apart").select("*", own("left").alias("i"), F.explode(upto("right")).alias("j"), F.lit(0).alias("side"))
     point = dealt.select("*", F.explode(upto("left")).alias("i"), own("right").alias("j"), F.lit(1).alias("side"))
-    cells = query.select(*columns).unionByName(point.select(*columns)).join(items.select("id", "counts"), "id")
+    cells = query.select(*columns).unionByName(point.select(*columns)).join(told, "id")
     cells = cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,16 +222,46 @@ def forest_search(rows: DataFrame, items: DataFrame, percent: int = PERCENT) ->
         if kept:
             yield _search_cells(kept[0], np.array([0, kept[0].num_rows]), percent)
 
-    pairs = cells.select(*columns, "counts").mapInArrow(task, "a long, b long, least long, weight long")
+    pairs = cells.select(*columns, "counts", "keys", "weights").mapInArrow(task, "a long, b long, least long, weight long")
     return pairs.groupBy("a", "b").agg(F.sum("weight").alias("shared"), F.max("least").alias("least")).filter("shared >= least").select("a", "b")
 
 
+def _lists(rows: pa.Table, column: str) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a column of lists one after the other, and how many each row has."""
+    chunk = rows.column(column).combine_chunks()
+    chunk = chunk.chunk(0) if isinstance(chunk, pa.ChunkedArray) else chunk
+    return chunk.flatten().to_numpy(zero_copy_only=False), np.diff(chunk.offsets.to_numpy())
+
+
+def shared_kinds(left: np.ndarray, right: np.ndarray, keys: np.ndarray, weights: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For pairs of rows: the weight of the kinds that both carry, and the smallest of these. ``keys`` has each row's kinds, ``sizes`` of them, in order."""
+    names, rank = np.unique(keys, return_inverse=True)
+    begin = np.cumsum(sizes) - sizes
+    codes = np.repeat(np.arange(len(sizes)), sizes) * len(names) + rank
+    total, least = np.zeros(len(left), np.int64), np.zeros(len(left), np.int64)
+    for a in range(0, len(left), 100_000):
+        x, y = left[a : a + 100_000], right[a : a + 100_000]
+        many = sizes[x]
+        pair = np.repeat(np.arange(len(x)), many)
+        place = np.arange(len(pair)) - np.repeat(np.cumsum(many) - many, many) + begin[x][pair]
+        code = y[pair] * len(names) + rank[place]
+        at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+        both = codes[at] == code
+        pair, place = pair[both], place[both]
+        np.add.at(total, a + pair, weights[place])
+        with_any, first = np.unique(pair, return_index=True)
+        least[a + with_any] = keys[place[first]]
+    return total, least
+
+
 def _search_cells(rows: pa.Table, bounds: np.ndarray, percent: int) -> pa.RecordBatch:
     rows = rows.combine_chunks()
-    side, ids, roots, weight = (rows.column(c).to_numpy() for c in ("side", "id", "root", "weight"))
+    side, ids, roots, own, weight = (rows.column(c).to_numpy() for c in ("side", "id", "root", "key", "weight"))
     apart = rows.column("apart").to_numpy(zero_copy_only=False)
-    counts = np.asarray(rows.column("counts").combine_chunks().flatten()).reshape(-1, GROUPS)
-    pairs = []
+    counts = _lists(rows, "counts")[0].reshape(-1, GROUPS)
+    (keys, carried), (weights, _) = _lists(rows, "keys"), _lists(rows, "weights")
+    size, begins = counts.sum(axis=1), np.cumsum(carried) - carried
+    out = []
     for begin, end in zip(bounds, bounds[1:]):
         turn = begin + int(np.searchsorted(side[begin:end], 1))
 
@@ -204,21 +269,29 @@ def _search_cells(rows: pa.Table, bounds: np.ndarray, percent: int) -> pa.Record
             """Other groups; two queries meet twice, and count once."""
             return (roots[begin + i] != roots[turn + j]) & (~apart[turn + j] | (ids[begin + i] < ids[turn + j]))
 
-        if begin < turn < end:
-            pairs.append(tree_pairs(counts[begin:turn], counts[turn:end], wanted, percent) + [begin, turn])
-    left, right = np.concatenate([*pairs, np.zeros((0, 2), np.int64)]).astype(np.int64).T
-    size = counts.sum(axis=1)
-    a, b = np.minimum(ids[left], ids[right]), np.maximum(ids[left], ids[right])
-    out = (a, b, least_shared(size[left], size[right], percent), weight[left])
-    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["a", "b", "least", "weight"])
+        if not begin < turn < end:
+            continue
+        left, right = (tree_pairs(counts[begin:turn], counts[turn:end], wanted, percent) + [begin, turn]).T
+        least, shared = least_shared(size[left], size[right], percent), weight[left]
+        told = (carried[left] > 0) & (carried[right] > 0)
+        if told.any():
+            here = slice(begins[begin], begins[end - 1] + carried[end - 1])
+            total, smallest = shared_kinds(left[told] - begin, right[told] - begin, keys[here], weights[here], carried[begin:end])
+            shared = shared.copy()
+            shared[told] = total
+            once = ~told
+            once[told] = (total >= least[told]) & (smallest == own[left[told]])
+            left, right, least, shared = left[once], right[once], least[once], shared[once]
+        out.append(np.stack([np.minimum(ids[left], ids[right]), np.maximum(ids[left], ids[right]), least, shared]))
+    done = np.concatenate([*out, np.zeros((4, 0), np.int64)], axis=1).astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in done], names=["a", "b", "least", "weight"])
 
 
 def verifier(docs: DataFrame, percent: int = PERCENT):
     """Exact check of pairs of documents on their sets."""
-    hashes = WordHashes()
 
     def run(ids: list, texts: list[str]) -> dict[str, list]:
-        return {"doc_id": ids, "shingles": [shingles(t, hashes).tobytes() for t in texts]}
+        return {"doc_id": ids, "shingles": [s.tobytes() for s in shingle_sets(texts)]}
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -257,7 +330,7 @@ def _components(docs: DataFrame, percent: int) -> DataFrame:
     copies = stored.select("doc_id", "digest", "n_shingles").join(classes, ["digest", "n_shingles"]).filter("doc_id <> id").select("doc_id").distinct()
     firsts = stored.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(cut_lineage(copies), "doc_id", "left_anti")
     rows = firsts.select(F.explode("first").alias("key"), F.col("doc_id").alias("id"))
-    items = firsts.select(F.col("doc_id").alias("id"), "n_shingles", "counts").dropDuplicates(["id"])
+    items = cut_lineage(firsts.select(F.col("doc_id").alias("id"), "n_shingles", "counts").dropDuplicates(["id"]))
     _, roots = find_components(rows, items, may_link(percent), verifier(docs, percent), lambda left: forest_search(left, items, percent), rounds=HUBS)
     named = classes.join(roots, "id", "left").select("digest", "n_shingles", "n_copies", F.coalesce("root", "id").alias("component_id"))
     joined = stored.select("doc_id", "n_shingles", "digest").join(named, ["digest", "n_shingles"], "left")
