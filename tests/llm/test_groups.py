@@ -414,3 +414,33 @@ def test_further_hubs_and_none_give_the_same_components(spark, monkeypatch):
         monkeypatch.setattr(linking, "FEW_GROUPS", few)
         monkeypatch.setattr(jaccard, "CARRIED", carried)
         assert {r.doc_id: r.component_id for r in jaccard.jaccard_components(docs).collect()} == want
+
+
+def test_unlike_lines_are_told_apart_by_pairs_of_characters(monkeypatch):
+    pick = random.Random(12)
+    for i in range(300):
+        a = brute.prose(7000 + i, 12)
+        b = list(a) if i % 3 else list(brute.prose(8000 + i, 12))
+        for _ in range(pick.randint(0, 16)):
+            b[pick.randrange(len(b))] = pick.choice("abé漢 ")
+        b, distance = "".join(b), brute.edit_distance(a, "".join(b))
+        assert line_dedup.pairs_allow(a, b, distance)
+        assert line_dedup.edit_similarity(a, b, 0.85) == (distance <= int(max(len(a), len(b)) * 0.15 + 1e-9))
+    assert not line_dedup.pairs_allow(brute.prose(1, 40), brute.prose(2, 40), 10)
+
+
+def test_normal_words_of_any_script():
+    pick = random.Random(13)
+    letters = "aBcÉÿß_09²µ\xa0\x85\x1c\t\r.-  漢Σςİ٣ĞΑ"
+    for _ in range(400):
+        text = "\n".join("".join(pick.choices(letters[: pick.choice([18, len(letters)])], k=pick.randint(0, 12))) for _ in range(4))
+        assert line_dedup.normal_lines(text) == [line_dedup.normal_words(line) for line in text.split("\n")]
+
+
+def test_a_wanted_line_is_taken_from_its_place_alone(monkeypatch):
+    looked = []
+    monkeypatch.setattr(line_dedup, "normal_lines", lambda text, real=line_dedup.normal_lines: looked.append(text) or real(text))
+    keys = [int(np.uint64(line_dedup.key_of(w)).view(np.int64)) for w in (["one", "two"], ["six"])]
+    batch = pa.RecordBatch.from_arrays([pa.array([[1, 2], [1]]), pa.array([keys, keys[:1]]), pa.array(["zero\nOne two\nsix\nend", "other row"])], names=["line", "id", "text"])
+    assert [r for out in line_dedup._pick([batch]) for r in out.to_pylist()] == [{"id": keys[0], "body": "one two"}, {"id": keys[1], "body": "six"}]
+    assert looked == ["One two\nsix", ""]
