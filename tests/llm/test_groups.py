@@ -444,3 +444,29 @@ def test_a_wanted_line_is_taken_from_its_place_alone(monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array([[1, 2], [1]]), pa.array([keys, keys[:1]]), pa.array(["zero\nOne two\nsix\nend", "other row"])], names=["line", "id", "text"])
     assert [r for out in line_dedup._pick([batch]) for r in out.to_pylist()] == [{"id": keys[0], "body": "one two"}, {"id": keys[1], "body": "six"}]
     assert looked == ["One two\nsix", ""]
+
+
+def test_linked_sets_share_more_with_extra_first_shingles():
+    pick = random.Random(10)
+    for _ in range(2000):
+        n, m = pick.randint(60, 300), pick.randint(60, 300)
+        both = min(n, m) - pick.randint(0, min(n, m) // 4)
+        order = pick.sample(range(2000), n + m - both)
+        x, y = sorted(order[:n]), sorted(order[n - both :])
+        if 100 * both >= 75 * (n + m - both):
+            first = [set(s[: len(s) - int(jaccard.behind(len(s))) + 1]) for s in (x, y)]
+            least = jaccard.least_shared(np.array([n]), np.array([m]), tail=jaccard.behind)[0]
+            assert len(first[0] & first[1]) >= least > n // jaccard.EXTRA or m < n
+
+
+def test_sets_that_share_little_by_chance_reach_no_pairing(spark, monkeypatch):
+    """Every text shares five words in a row with each of a few others, which no link can come from."""
+    passage = [brute.prose(9000 + i, 8) for i in range(40)]
+    rows = [(i, f"{brute.prose(9100 + i, 200)} {passage[i % 40]} {brute.prose(9400 + i, 200)}") for i in range(200)] + [(200, brute.prose(9050, 200))] * 2
+    rows += [(300 + i, brute.prose(9900, 300) + " " + brute.prose(9901 + i, 10)) for i in range(3)]
+    seen, real = [], linking._kinds
+    monkeypatch.setattr(linking, "_kinds", lambda r: seen.append(r.select("id").distinct().collect()) or real(r))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(docs).collect()}
+    assert got == brute.components(dict(rows))
+    assert {r.id for r in seen[0]} <= {200, 300, 301, 302}

@@ -5,14 +5,15 @@ point. The overlap of two sets is at most the sum of the coordinate-wise minima
 point and the node's upper corner, so nodes and points that cannot reach the overlap a link needs are passed over.
 
 One tree over everything prunes nothing between unrelated texts (their points lie close together), so there is a forest: documents meet in a tree only if they share
-a shingle among the first ``n - ceil(0.75 n) + 1`` of a fixed order, which no linked pair can avoid. The order puts shingles
+a shingle among the first ``n - ceil(0.75 n) + 1`` of a fixed order, which no linked pair can avoid. A few more are taken, so that linked sets share several, and sets
+that share fewer with all others together are left out early. The order puts shingles
 that many documents have last; which those are is estimated from local counts, and only changes how much work there is, not what is linked.
 Equal sets are one item. Large groups are joined through hubs first (see ``linking``), and trees are cut into cells of bounded size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_texts
-from tidemark.llm.linking import find_components
+from tidemark.llm.linking import find_components, meeting
 from tidemark.session import cut_lineage, discard, settle
 
 WIDTH = 5
@@ -39,6 +40,8 @@ CELL = 2048
 HUBS = 5
 #: Kinds of keys that a row carries at most.
 CARRIED = 64
+#: One in so many shingles is taken on top of the first ones that a link needs.
+EXTRA = 40
 MIX = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
 
 
@@ -104,6 +107,13 @@ def needed(n: int, percent: int = PERCENT) -> int:
     return -(-n * percent // 100)
 
 
+def behind(n, percent: int = PERCENT):
+    """How many shingles of a set of ``n`` are behind its first ones, and one more: ``needed`` less the extra ones, for numbers, arrays or columns."""
+    if isinstance(n, Column):
+        return F.greatest(F.lit(1), F.ceil(percent * n / 100) - F.floor(n / EXTRA))
+    return np.maximum(1, -(-n * percent // 100) - n // EXTRA)
+
+
 def frequent(docs: DataFrame) -> np.ndarray:
     """Shingles that many documents have, as far as blocks of texts show it: those seen several times in a block are added up."""
 
@@ -129,7 +139,7 @@ def points(docs: DataFrame, hot: np.ndarray, percent: int = PERCENT) -> DataFram
             out["n_shingles"].append(len(s))
             out["digest"].append(xxhash.xxh3_128_digest(s.tobytes()))
             out["counts"].append(np.bincount((s & np.uint64(GROUPS - 1)).astype(int), minlength=GROUPS))
-            out["first"].append(ordered[: len(s) - needed(len(s), percent) + 1].view(np.int64) if len(s) else [])
+            out["first"].append(ordered[: len(s) - behind(len(s), percent) + 1].view(np.int64) if len(s) else [])
         return out
 
     return map_texts(docs, run, "doc_id long, n_shingles long, digest binary, counts array<int>, first array<long>")
@@ -175,14 +185,25 @@ def tree_pairs(q: np.ndarray, p: np.ndarray, wanted, percent: int = PERCENT) ->
     return np.concatenate(found) if found else np.zeros((0, 2), int)
 
 
-def least_shared(n: np.ndarray, m: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """How many of their first shingles two linked sets of these sizes share at least.
+def least_shared(n: np.ndarray, m: np.ndarray, percent: int = PERCENT, tail: Callable = needed) -> np.ndarray:
+    """How many of their first shingles two linked sets of these sizes share at least, if ``n - tail(n) + 1`` of ``n`` are first ones.
 
     Of the two, take the set whose first shingles end earlier in the order. Up to there the sets share only first shingles, and behind it that
     set has fewer than the overlap that it needs with any set.
     """
     overlap = -(-percent * (n + m) // (100 + percent))
-    return np.maximum(1, overlap - np.maximum(-(-percent * n // 100), -(-percent * m // 100)) + 1)
+    return np.maximum(1, overlap - np.maximum(tail(n, percent), tail(m, percent)) + 1)
+
+
+def share_enough(percent: int):
+    """``least_shared`` as a condition on the number ``shared`` of first shingles that two items have in common."""
+
+    def test(left: str, right: str) -> Column:
+        n, m = F.col(f"n_shingles_{left}"), F.col(f"n_shingles_{right}")
+        overlap = F.ceil(percent * (n + m) / (100 + percent))
+        return F.col("shared") >= overlap - F.greatest(behind(n, percent), behind(m, percent)) + 1
+
+    return test
 
 
 def forest_search(rows: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -272,7 +293,7 @@ def _search_cells(rows: pa.Table, bounds: np.ndarray, percent: int) -> pa.Record
         if not begin < turn < end:
             continue
         left, right = (tree_pairs(counts[begin:turn], counts[turn:end], wanted, percent) + [begin, turn]).T
-        least, shared = least_shared(size[left], size[right], percent), weight[left]
+        least, shared = least_shared(size[left], size[right], percent, behind), weight[left]
         told = (carried[left] > 0) & (carried[right] > 0)
         if told.any():
             here = slice(begins[begin], begins[end - 1] + carried[end - 1])
@@ -329,11 +350,16 @@ def _components(docs: DataFrame, percent: int) -> DataFrame:
     classes = cut_lineage(classes)
     copies = stored.select("doc_id", "digest", "n_shingles").join(classes, ["digest", "n_shingles"]).filter("doc_id <> id").select("doc_id").distinct()
     firsts = stored.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(cut_lineage(copies), "doc_id", "left_anti")
-    rows = firsts.select(F.explode("first").alias("key"), F.col("doc_id").alias("id"))
+    rows = cut_lineage(meeting(firsts.select(F.explode("first").alias("key"), F.col("doc_id").alias("id"))))
     items = cut_lineage(firsts.select(F.col("doc_id").alias("id"), "n_shingles", "counts").dropDuplicates(["id"]))
-    _, roots = find_components(rows, items, may_link(percent), verifier(docs, percent), lambda left: forest_search(left, items, percent), rounds=HUBS)
+    sets = cut_lineage(stored.select("doc_id", "n_shingles", "digest"))
+    discard(stored)  # the first shingles are most of it
+    n = F.col("n_shingles")
+    least = items.select("id", (F.ceil(percent * n / 100) - behind(n, percent) + 1).alias("least"))
+    search = lambda left: forest_search(left, items, percent)
+    _, roots = find_components(rows, items, may_link(percent), verifier(docs, percent), search, rounds=HUBS, least=least, enough=share_enough(percent))
     named = classes.join(roots, "id", "left").select("digest", "n_shingles", "n_copies", F.coalesce("root", "id").alias("component_id"))
-    joined = stored.select("doc_id", "n_shingles", "digest").join(named, ["digest", "n_shingles"], "left")
+    joined = sets.join(named, ["digest", "n_shingles"], "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return joined.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"))
 
