@@ -470,3 +470,14 @@ def test_sets_that_share_little_by_chance_reach_no_pairing(spark, monkeypatch):
     got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(docs).collect()}
     assert got == brute.components(dict(rows))
     assert {r.id for r in seen[0]} <= {200, 300, 301, 302}
+
+
+def test_lines_with_other_letters_are_not_even_paired(spark, monkeypatch):
+    """Lines of one length that begin with the same words: their letters tell them apart before a pair is formed."""
+    rows = [(i, " ".join(["alpha beta gamma", *(chr(97 + (i + k) % 26) * 8 for k in range(3))])) for i in range(0, 24, 3)]
+    rows.append((100, rows[0][1][:-1] + "x"))
+    seen, real = [], line_dedup.verifier
+    monkeypatch.setattr(line_dedup, "verifier", lambda docs, lines: lambda pairs: seen.append(pairs.count()) or real(docs, lines)(pairs))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r.doc_id, r.line) for r in line_dedup.removed_lines(docs).collect()} == {(100, 0)}
+    assert sum(seen) == 1
